@@ -16,7 +16,9 @@ order) into blocks of equal size; a block may start in the middle of a track.
 
 from __future__ import annotations
 
-import pandas as pd
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -30,15 +32,19 @@ TAIL_ROWS = 256
 _POS_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
 
-def _walk(rows: pd.DataFrame, track: str | None, prev, alpha: float, min_iou: float) -> list:
-    """Smoothed boxes of one block, sorted by position."""
+def _walk(tracks: list, boxes: list, track: str | None, prev, alpha: float, min_iou: float) -> list:
+    """Smoothed boxes of rows in order; ``prev`` is the state ``track`` brings along."""
     out: list = []
-    for key, part in rows.groupby("_track", sort=False):
+    for key, run in groupby(range(len(tracks)), key=tracks.__getitem__):
         start = prev if key == track else None
-        out.extend(ema.smooth(zip(*[part[c].tolist() for c in BOX]), start, alpha, min_iou))
+        out.extend(ema.smooth((boxes[i] for i in run), start, alpha, min_iou))
     return out
 
 
+def _boxes(table: pa.Table) -> list:
+    return list(zip(*[table[c].to_pylist() for c in BOX]))
+
+
 def smooth_bbox(
     boxes: DataFrame,
     track_key: list[str],
@@ -118,15 +124,15 @@ def _guess_ends(rows: DataFrame, alpha: float, min_iou: float, tail_rows: int) -
         .drop("_rn")
     )
 
-    def last_state(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_id")
-        track = pdf["_track"].iloc[-1]
-        same = pdf[pdf["_track"] == track]
-        box = _walk(same, None, None, alpha, min_iou)[-1]
-        return pd.DataFrame([[int(pdf["_block"].iloc[0]), track, *box]], columns=["_block", "_track", *BOX])
+    def last_state(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_id")
+        tracks = table["_track"].to_pylist()
+        box = _walk(tracks, _boxes(table), None, None, alpha, min_iou)[-1]
+        row = {"_block": table["_block"][0].as_py(), "_track": tracks[-1], **dict(zip(BOX, box))}
+        return pa.Table.from_pylist([row])
 
     schema = StructType([StructField("_block", LongType()), *_state_type().fields])
-    ends = tail.groupBy("_block").applyInPandas(last_state, schema)
+    ends = tail.groupBy("_block").applyInArrow(last_state, schema)
     first = rows.groupBy("_block").agg(F.min_by("_track", "_id").alias("first_track"))
     return ends.join(first, "_block").select(
         "_block", "first_track", F.struct("_track", *BOX).alias("state"))
@@ -147,23 +153,20 @@ def _starts(ends: DataFrame) -> DataFrame:
 
 def _run(rows: DataFrame, starts: DataFrame, alpha: float, min_iou: float) -> DataFrame:
     """Smoothed rows of every block that has a row in ``starts``."""
-    schema = rows.schema
-
-    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty:
-            return left
-        left = left.sort_values("_id", ignore_index=True)
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by("_id")
         track, prev = None, None
-        if len(right) and right["_known"].iloc[0]:
-            track = right["_s_track"].iloc[0]
-            prev = tuple(float(right[f"_s_{c}"].iloc[0]) for c in BOX)
-        boxes = _walk(left, track, prev, alpha, min_iou)
+        if right.num_rows and right["_s_track"][0].as_py() is not None:
+            track = right["_s_track"][0].as_py()
+            prev = tuple(right[f"_s_{c}"][0].as_py() for c in BOX)
+        boxes = _walk(left["_track"].to_pylist(), _boxes(left), track, prev, alpha, min_iou)
         for i, c in enumerate(BOX):
-            left[c] = [b[i] for b in boxes]
+            at = left.schema.get_field_index(c)
+            left = left.set_column(at, c, pa.array([b[i] for b in boxes], pa.float64()))
         return left
 
     flat = starts.select(
-        "_block", F.col("state").isNotNull().alias("_known"), F.col("state._track").alias("_s_track"),
+        "_block", F.col("state._track").alias("_s_track"),
         *[F.col(f"state.{c}").alias(f"_s_{c}") for c in BOX],
     )
-    return rows.groupBy("_block").cogroup(flat.groupBy("_block")).applyInPandas(block, schema)
+    return rows.groupBy("_block").cogroup(flat.groupBy("_block")).applyInArrow(block, rows.schema)

@@ -214,7 +214,7 @@ _NMS = f"""WITH RECURSIVE {F2_CTE},
    n.det_id, n.hit.id, n.hit.iou
   FROM (
    SELECT b.*, s.kept,
-    list_filter(list_transform(s.kept, k -> {{'id': k.id, 'iou': {_iou('k', 'b')}}}), m -> m.iou >= 0.6)[1] AS hit
+    list_filter(list_transform(s.kept, lambda k: {{'id': k.id, 'iou': {_iou('k', 'b')}}}), lambda m: m.iou >= 0.6)[1] AS hit
    FROM step s JOIN ranked b ON b.store_id = s.store_id AND b.camera_id = s.camera_id
      AND b.fr = s.fr AND b.class_id = s.class_id AND b.r = s.r + 1) n)
 """
@@ -239,15 +239,26 @@ _SMOOTH = f"""WITH RECURSIVE {F2_CTE},
           AND c.track_id = p.track_id AND c.r = p.r + 1) m)
 SELECT store_id, camera_id, track_id, det_id, {_r('x1', 'y1', 'x2', 'y2')} FROM walk"""
 
-_GEO = """SELECT det_id, track_id, round(cx, 9) AS cx, round(cy, 9) AS cy, round(w, 9) AS box_w,
- round(h, 9) AS box_h, round(x1 / 1280, 9) AS norm_x, round(y1 / 720, 9) AS norm_y,
- round(w / 1280, 9) AS norm_w, round(h / 720, 9) AS norm_h,
+_GEO = """SELECT det_id, track_id, cx, cy, w AS box_w, h AS box_h, x1 / 1280 AS norm_x, y1 / 720 AS norm_y,
+ w / 1280 AS norm_w, h / 720 AS norm_h,
  CAST(trunc(cx) AS INTEGER) AS centroid_x, CAST(trunc(cy) AS INTEGER) AS centroid_y,
- round(cx / 1280, 9) AS centroid_norm_x, round(cy / 720, 9) AS centroid_norm_y
+ cx / 1280 AS centroid_norm_x, cy / 720 AS centroid_norm_y
 FROM (SELECT *, x2 - x1 AS w, y2 - y1 AS h, x1 + (x2 - x1) / CAST(2 AS DOUBLE) AS cx,
       y1 + (y2 - y1) / CAST(2 AS DOUBLE) AS cy FROM f2) q"""
 
 
+def _all_gold() -> str:
+    measures = {
+        "minute": ("gold_minute_by_cam", "detection_count"), "hour": ("gold_hour_by_cam", "unique_tracks"),
+        "people": ("gold_people_per_minute", "unique_people"), "heatmap": ("gold_zone_heatmap", "hits"),
+        "dwell": ("gold_zone_dwell", "visits"), "track": ("gold_track_summary", "frames"),
+    }
+    ctes = ["f1", "det", "silver", "pos", "visit", *measures]
+    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ctes) + "\n" + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS groups, CAST(sum({m}) AS BIGINT) AS total FROM {cte}"
+        for cte, (name, m) in measures.items())
+
+
 def oracle_sql() -> dict[str, str]:
     silver = over("silver", f"SELECT {SILVER_COLUMNS} FROM silver")
     gold = {
@@ -415,8 +426,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_gold_heatmap": gold["heatmap"],
         "stream_gold_dwell": gold["dwell"],
         "stream_gold_track": gold["track"],
-        "stream_gold_all": over("heatmap", "SELECT 0 AS x"),
-        "upsert_latest": over("silver", "SELECT 0 AS x"),
+        "stream_gold_all": _all_gold(),
+        "upsert_latest": gold["people"],
         "stream_smooth": _SMOOTH,
     }
     return out

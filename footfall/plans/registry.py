@@ -16,16 +16,22 @@ from pyspark.sql.types import DoubleType
 from footfall.functions.labels import label_lookup, labels
 from footfall.operators import bronze as b
 from footfall.operators import explore as x
+from footfall.operators import geometry as geo
 from footfall.operators import gold as g
 from footfall.operators import panels as p
 from footfall.operators import quality as q
 from footfall.operators import silver as s
+from footfall.operators.smoothing import smooth_bbox
 from footfall.plans import fixtures as fx
+from footfall.plans import live
 from footfall.plans.layers import layers
 from footfall.schemas import FRAME_RECORD
 from footfall.session import shared_dir
 from footfall.sources import frames
 
+F2_FRAME = ["store_id", "camera_id", "fr"]
+F2_TRACK = ["store_id", "camera_id", "track_id"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -61,7 +67,11 @@ def _gold2(name: str, op) -> Query:
 
 
 def _boxes(op) -> Query:
-    return lambda spark, d: settled(op(fx.f2_boxes(spark, d)))
+    return lambda spark, d: op(fx.f2_boxes(spark, d))
+
+
+def _live(name: str) -> Query:
+    return lambda spark, d: settled(live.live(spark, d).view(name))
 
 
 def frames_to_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,5 +191,30 @@ def queries() -> dict[str, Query]:
         "panel_zone_top_visits": _gold("gold_zone_dwell", lambda t: p.zone_top(t, "visits", "visits")),
         "panel_heatmap_table": _gold("gold_zone_heatmap", p.heatmap_table),
         "panel_zone_table": _gold("gold_zone_dwell", p.zone_table),
+        # Geometry
+        "detection_geometry": _boxes(lambda t: frames.detection_geometry(t).select(
+            "det_id", "track_id", "cx", "cy", "box_w", "box_h", "norm_x", "norm_y", "norm_w", "norm_h",
+            "centroid_x", "centroid_y", "centroid_norm_x", "centroid_norm_y")),
+        "active_zone_filter": _boxes(lambda t: geo.active_zone_filter(t).select("det_id", "x1", "x2")),
+        "class_filter": _boxes(lambda t: geo.class_filter(t).select("det_id", "class_id", "conf")),
+        "clip_bbox": _boxes(lambda t: geo.clip_bbox(t).select("det_id", *geo.BOX)),
+        "nms_per_frame": _boxes(lambda t: geo.nms_per_frame(t, F2_FRAME, ["e"]).select(
+            *F2_FRAME, "class_id", "det_id")),
+        "iou_pairs": _boxes(lambda t: settled(geo.suppressed_pairs(t, F2_FRAME, ["e"]))),
+        "smooth_bbox": _boxes(lambda t: settled(smooth_bbox(
+            t.select(*F2_TRACK, "fr", "e", "det_id", "img_w", "img_h", *geo.BOX), F2_TRACK, ["fr", "e"],
+        ).select(*F2_TRACK, "det_id", *geo.BOX))),
+        # Streaming
+        "stream_bronze": live.stream_bronze,
+        "stream_silver": live.stream_silver,
+        "stream_gold_minute": _live("gold_minute_by_cam"),
+        "stream_gold_hour": _live("gold_hour_by_cam"),
+        "stream_gold_people": _live("gold_people_per_minute"),
+        "stream_gold_heatmap": _live("gold_zone_heatmap"),
+        "stream_gold_dwell": _live("gold_zone_dwell"),
+        "stream_gold_track": _live("gold_track_summary"),
+        "stream_gold_all": live.stream_gold_all,
+        "upsert_latest": live.upsert_latest,
+        "stream_smooth": lambda sp, d: settled(live.stream_smooth(sp, d)),
     }
     return out

@@ -23,7 +23,8 @@ def coco_names() -> list[str]:
 
 
 def labels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(coco_names())), "class_id int, label string")
+    names = F.array(*[F.lit(n) for n in coco_names()])
+    return spark.range(1).select(F.posexplode(names).alias("class_id", "label"))
 
 
 def label_lookup(detections: DataFrame, dim: DataFrame) -> DataFrame:

@@ -55,8 +55,13 @@ def partition_stats(table: DataFrame, columns: list[str], k: int = 10, files: bo
 
 def describe(spark: SparkSession, schema) -> DataFrame:
     """Column names, types and places of a table as rows."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(schema.fields)]
-    return spark.createDataFrame(rows, "position int, column_name string, data_type string")
+    rows = F.array(*[
+        F.struct(
+            F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+        ) for i, f in enumerate(schema.fields)
+    ])
+    return spark.range(1).select(F.inline(rows))
 
 
 # Fields every record must have; track_id, runtime and source_uri may be absent.

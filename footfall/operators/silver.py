@@ -11,35 +11,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import cleaning as clean
-from footfall.schemas import FRAME_LENIENT, columns_of, struct_of
+from footfall.schemas import FRAME_BATCH, FRAME_STREAM, columns_of, struct_of
 
 MIN_CONF = 0.4
 DEDUP_KEY = ["store_id", "camera_id", "frame_index", "det_id"]
 _JSON_OPTIONS = {"allowNonNumericNumbers": "false"}
 
 
-def _detections(bronze: DataFrame) -> DataFrame:
-    """Bronze rows x their detections; a payload without a list gives no row."""
-    frame = F.from_json("payload", struct_of(FRAME_LENIENT), _JSON_OPTIONS)
-    return (
-        bronze.withColumn("f", frame)
-        .withColumn("det", F.explode("f.detections"))
-    )
+def _detections(bronze: DataFrame, schema: str, keep: list[str]) -> DataFrame:
+    """Bronze columns ``keep`` x the detections of each payload.
+
+    The parsed frame leaves the first generator as plain columns.  Filters on
+    them stop there, so the payload is parsed once; over a projected struct
+    Catalyst would copy the parser into every filter it pushes down.  A payload
+    without a detection list gives no row.
+    """
+    frame = F.from_json("payload", struct_of(schema), _JSON_OPTIONS)
+    known = [F.col(c).alias(f"b_{c}") for c in keep]
+    return bronze.select(*known, F.inline(F.array(frame))).withColumn("det", F.explode("detections"))
 
 
 def parse_detections(bronze: DataFrame, now: Column | None = None) -> DataFrame:
     """Payload to typed detections under the ``stream`` rules."""
     instant = F.current_timestamp() if now is None else now
     box = {c: clean.pixel(f"det.bbox.{c}") for c in ("x1", "y1", "x2", "y2")}
-    return _detections(bronze).select(
-        "schema_version",
-        F.coalesce("pipeline_run_id", "f.pipeline_run_id").alias("pipeline_run_id"),
-        "store_id",
-        "camera_id",
-        F.col("f.frame_index").try_cast("bigint").alias("frame_index"),
-        clean.capture_time("f.capture_ts", instant).alias("capture_ts"),
-        clean.whole_number("f.image_size.width", 0).alias("img_w"),
-        clean.whole_number("f.image_size.height", 0).alias("img_h"),
+    keep = ["schema_version", "pipeline_run_id", "store_id", "camera_id"]
+    return _detections(bronze, FRAME_STREAM, keep).select(
+        F.col("b_schema_version").alias("schema_version"),
+        F.coalesce("b_pipeline_run_id", "pipeline_run_id").alias("pipeline_run_id"),
+        F.col("b_store_id").alias("store_id"),
+        F.col("b_camera_id").alias("camera_id"),
+        F.col("frame_index").try_cast("bigint").alias("frame_index"),
+        clean.capture_time("capture_ts", instant).alias("capture_ts"),
+        clean.whole_number("image_size.width", 0).alias("img_w"),
+        clean.whole_number("image_size.height", 0).alias("img_h"),
         F.col("det.det_id").alias("det_id"),
         clean.normalize_class("det.class").alias("class_name"),
         clean.whole_number("det.class_id", -1).alias("class_id"),
@@ -57,11 +62,11 @@ def read_detections(bronze: DataFrame) -> DataFrame:
     def number(path: str) -> Column:
         return F.col(path).try_cast("double")
 
-    return _detections(bronze).select(
-        F.col("f.frame_index").try_cast("bigint").alias("frame_index"),
-        clean.ntz_from_instant(clean.zoned_timestamp("f.capture_ts")).alias("capture_ts"),
-        "camera_id",
-        "store_id",
+    return _detections(bronze, FRAME_BATCH, ["camera_id", "store_id", "ingest_ts"]).select(
+        F.col("frame_index").try_cast("bigint").alias("frame_index"),
+        clean.ntz_from_instant(clean.zoned_timestamp("capture_ts")).alias("capture_ts"),
+        F.col("b_camera_id").alias("camera_id"),
+        F.col("b_store_id").alias("store_id"),
         F.col("det.det_id").alias("det_id"),
         F.col("det.class").alias("class"),
         F.col("det.class_id").try_cast("int").alias("class_id"),
@@ -73,7 +78,7 @@ def read_detections(bronze: DataFrame) -> DataFrame:
         number("det.centroid.x").alias("centroid_x"),
         number("det.centroid.y").alias("centroid_y"),
         F.col("det.track_id").try_cast("bigint").alias("track_id"),
-        "ingest_ts",
+        F.col("b_ingest_ts").alias("ingest_ts"),
     )
 
 

@@ -28,6 +28,7 @@ from footfall.operators.geometry import BOX, clip_bbox
 from footfall.session import shared_dir
 
 BLOCK_ROWS = 200_000
+MIN_BLOCK_ROWS = 5_000
 TAIL_ROWS = 256
 _POS_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
@@ -69,7 +70,9 @@ def smooth_bbox(
 
     work = shared_dir(spark, "smooth")
     source = clipped.where("_tracked").drop("_tracked")
-    blocks = max(1, -(-source.count() // block_rows))
+    rows_in = source.count()
+    cores = spark.sparkContext.defaultParallelism
+    blocks = max(1, -(-rows_in // block_rows), min(cores, rows_in // MIN_BLOCK_ROWS))
     placed = (
         source.repartitionByRange(blocks, *track_key, *order)
         .sortWithinPartitions(*track_key, *order)

@@ -21,12 +21,18 @@ FRAME_RECORD = """
     source_uri string
 """
 
-# What the Silver layer reads back.  Leaves are text so that one odd value
-# turns into a default instead of spoiling its neighbours; ``conf`` alone must
-# be a JSON number.
-FRAME_LENIENT = """
+# What the two Silver variants read back, nothing more.  Leaves are text so that
+# one odd value turns into a default instead of spoiling its neighbours; ``conf``
+# alone must be a JSON number.
+FRAME_STREAM = """
     pipeline_run_id string, frame_index string, capture_ts string,
     image_size struct<width:string, height:string>,
+    detections array<struct<
+        det_id:string, class:string, class_id:string, conf:double,
+        bbox:struct<x1:string, y1:string, x2:string, y2:string>, track_id:string>>
+"""
+FRAME_BATCH = """
+    frame_index string, capture_ts string,
     detections array<struct<
         det_id:string, class:string, class_id:string, conf:double,
         bbox:struct<x1:string, y1:string, x2:string, y2:string>,

@@ -127,6 +127,15 @@ def over(cte: str, select: str) -> str:
 
 SILVER_COLUMNS = """schema_version, pipeline_run_id, store_id, camera_id, frame_index, capture_ts,
  img_w, img_h, det_id, class_name, class_id, conf, bbox_x1, bbox_y1, bbox_x2, bbox_y2, track_id"""
+# Columns of the stored Silver table, folder columns last.
+STORED_SILVER = [
+    ("schema_version", "string"), ("pipeline_run_id", "string"), ("camera_id", "string"),
+    ("frame_index", "bigint"), ("capture_ts", "timestamp_ntz"), ("img_w", "int"), ("img_h", "int"),
+    ("det_id", "string"), ("class_name", "string"), ("class_id", "int"), ("conf", "double"),
+    ("bbox_x1", "int"), ("bbox_y1", "int"), ("bbox_x2", "int"), ("bbox_y2", "int"),
+    ("track_id", "bigint"), ("processing_ts", "timestamp"),
+    ("store_id", "string"), ("capture_date", "date"),
+]
 SILVER2_COLUMNS = """frame_index, capture_ts, camera_id, store_id, det_id, class, class_id, conf,
  bbox_x1, bbox_y1, bbox_x2, bbox_y2, centroid_x, centroid_y, track_id, ingest_ts"""
 
@@ -275,6 +284,12 @@ def oracle_sql() -> dict[str, str]:
           CAST(NULL AS BIGINT) AS frame_index, CASE WHEN fr % 79 <> 0 THEN camera_id END AS camera_id,
           CASE WHEN fr % 79 <> 0 THEN store_id END AS store_id,
           TIMESTAMP '2025-06-01 00:00:00' AS ingest_ts FROM ({_FRAMES}) f"""),
+        "bronze_sample": over("f1", f"""SELECT store_id, camera_id, {_ISO} AS ts FROM ({_FRAMES}) f
+          WHERE fr % 79 <> 0
+          ORDER BY concat('{{', CASE WHEN store_id IS NOT NULL THEN '"store_id":"' || store_id || '",' END,
+            CASE WHEN camera_id IS NOT NULL THEN '"camera_id":"' || camera_id || '",' END,
+            '"stream_id":"stream_01"}},', CASE WHEN fr % 83 <> 0 THEN '"frame_index":' || fr || ',' END,
+            '"capture_ts":"', {_ISO}) LIMIT 10"""),
         "bronze_json_extract": over("f1", f"""SELECT CASE WHEN fr % 79 <> 0 THEN {_ISO} END AS ts,
           CAST(CASE WHEN fr % 79 <> 0 THEN n END AS INTEGER) AS num_dets
           FROM (SELECT fr, capture_ts, count(*) AS n FROM f1 GROUP BY ALL) f"""),
@@ -298,6 +313,8 @@ def oracle_sql() -> dict[str, str]:
         "silver_stream": silver,
         "silver_dedup": over("silver", "SELECT store_id, camera_id, frame_index, det_id, conf, track_id FROM silver"),
         "silver_batch": over("silver2", f"SELECT {SILVER2_COLUMNS} FROM silver2"),
+        "describe_silver": "SELECT CAST(p AS INTEGER) AS position, n AS column_name, t AS data_type FROM (VALUES "
+            + ", ".join(f"({i}, '{n}', '{k}')" for i, (n, k) in enumerate(STORED_SILVER)) + ") AS v(p, n, t)",
         "label_lookup": _label_lookup(),
         # Gold
         "gold_minute_by_cam": gold["minute"],

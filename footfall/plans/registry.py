@@ -124,7 +124,8 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         # Bronze
         "bronze_ingest": lambda sp, d: fx.f1_bronze(sp, d).drop("payload"),
-        "bronze_sample": _bronze(b.bronze_sample),
+        "bronze_sample": _bronze(lambda t: b.bronze_sample(t).select(
+            "store_id", "camera_id", F.get_json_object("payload", "$.capture_ts").alias("ts"))),
         "bronze_json_extract": _bronze(bronze_json_extract),
         "bronze_frame_counts": _bronze(b.bronze_frame_counts),
         "frames_to_jsonl": frames_to_jsonl,

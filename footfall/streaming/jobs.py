@@ -1,21 +1,26 @@
 """Bronze, Silver and Gold as streaming queries; the tables are the state.
 
 A better-ranked copy of a detection may arrive after Gold has counted the
-earlier one, and late rows are never dropped.  So Silver stores changes with
-their before-images, and each Gold query recomputes the groups that the changes
-of its micro-batch touch, using the same functions as batch.  A group left
-without rows is marked deleted.  Everything is idempotent: a replayed batch
-overwrites its own folder, and a group touched twice comes out the same.
-
-The key of the Silver log holds every column Gold groups by, so a reader may
-cut the log down to the touched groups before it resolves versions.
-
-Heatmap, dwell and track summary have groups that grow for ever.  They read
-``track_zone_minute``, a keyed roll-up of Silver, instead of Silver itself.
+earlier one, and late rows are never dropped.  So every table stores changes
+with their before-images, and the work of a micro-batch follows the changes:
+
+* minute, hour and people tables, and the roll-up ``track_zone_minute``, hold
+  groups that are bounded in time.  The touched groups are recomputed from
+  Silver with the batch functions; only the touched dates and minutes are read.
+* ``visits`` and ``gold_track_summary`` have groups that grow for ever.  They add
+  the differences of the roll-up's changes to their stored sums and widen their
+  stored extremes.  Only a group whose extreme may have shrunk is recomputed.
+* heatmap and dwell add the differences of the changes of ``visits``.
+
+Replays are harmless.  A replayed batch overwrites its own folder and starts
+from the state before it.  Differences are taken from committed batches of the
+source table, each batch once (``KeyedTable.applied``), never from the files a
+micro-batch happens to see.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,29 +28,42 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from footfall.functions.cleaning import trunc_to
+from footfall.functions.cleaning import seconds_between, trunc_to
 from footfall.operators import gold as g
 from footfall.operators import silver as s
 from footfall.operators.bronze import bronze_ingest
 from footfall.schemas import KEYS, columns_of, struct_of, table_schema
 from footfall.sources.tables import PARTITIONS
-from footfall.streaming.keyed import DELETED, KeyedTable
+from footfall.streaming.keyed import BATCH, DELETED, KeyedTable, committed
 
 # How often each layer commits.
 BRONZE_TRIGGER = "60 seconds"
 SILVER_TRIGGER = "1 second"
 GOLD_TRIGGER = "30 seconds"
 
-FRAMES_PER_BLOCK = 1 << 20  # about ten hours at 30 frames per second
+FRAMES_PER_BLOCK = 1 << 17  # about an hour at 30 frames per second
 PRUNE_LIST = 512            # longest list of folder values put into a filter
+COMMIT_WAIT = 30.0          # seconds to wait for the source query's commit mark
+
 STAGE = "track_zone_minute"
-STAGE_KEY = [*g.CAMERA, "track_id", "zone_x", "zone_y", "ts_minute"]
-STAGE_SCHEMA = """
-    store_id string, camera_id string, track_id bigint, zone_x int, zone_y int,
-    ts_minute timestamp_ntz, hits bigint, start_time timestamp_ntz, end_time timestamp_ntz,
-    min_x double, max_x double, min_y double, max_y double,
-    sum_x double, sum_y double, sum_conf double
-"""
+VISITS = "visits"
+TRACKS = "gold_track_summary"
+SUMS = {"hits": "bigint", "sum_x": "double", "sum_y": "double", "sum_conf": "double"}
+LOWS = {"start_time": "timestamp_ntz", "min_x": "double", "min_y": "double"}
+HIGHS = {"end_time": "timestamp_ntz", "max_x": "double", "max_y": "double"}
+MEASURES = {**SUMS, **LOWS, **HIGHS}
+_MEASURE_DDL = ", ".join(f"{c} {t}" for c, t in MEASURES.items())
+_BEFORE_DDL = "before struct<" + ", ".join(f"{c}:{t}" for c, t in MEASURES.items()) + ">"
+_CAMERA_DDL = "store_id string, camera_id string"
+_ZONE_DDL = "zone_x int, zone_y int"
+VISIT_KEY = [*g.ZONE, "track_id"]
+TRACK_KEY = [*g.CAMERA, "track_id"]
+STAGE_KEY = [*VISIT_KEY, "ts_minute"]
+SCHEMAS = {
+    STAGE: f"{_CAMERA_DDL}, {_ZONE_DDL}, track_id bigint, ts_minute timestamp_ntz, {_MEASURE_DDL}, {_BEFORE_DDL}",
+    VISITS: f"{_CAMERA_DDL}, {_ZONE_DDL}, track_id bigint, {_MEASURE_DDL}, {_BEFORE_DDL}",
+    TRACKS: f"{_CAMERA_DDL}, track_id bigint, {_MEASURE_DDL}, {_BEFORE_DDL}",
+}
 SILVER_IDENTITY = [*s.DEDUP_KEY, "capture_ts", "track_id", "bbox_x1", "bbox_y1", "bbox_x2", "bbox_y2"]
 
 
@@ -74,56 +92,48 @@ def stage_rows(silver: DataFrame) -> DataFrame:
     )
 
 
-def _visits(stage: DataFrame) -> DataFrame:
-    return stage.groupBy(*g.ZONE, "track_id").agg(
-        F.sum("hits").alias("hits"),
-        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
+def roll_up(stage: DataFrame, key: list[str]) -> DataFrame:
+    """The roll-up's measures over a coarser key."""
+    return stage.groupBy(*key).agg(
+        *[F.sum(c).alias(c) for c in SUMS],
+        *[F.min(c).alias(c) for c in LOWS],
+        *[F.max(c).alias(c) for c in HIGHS],
     )
 
 
-def heatmap_of_stage(stage: DataFrame) -> DataFrame:
-    return _visits(stage).groupBy(*g.ZONE).agg(
-        F.sum("hits").alias("hits"), F.count(F.lit(1)).alias("unique_tracks"))
-
-
-def dwell_of_stage(stage: DataFrame) -> DataFrame:
-    return g.dwell_of_visits(_visits(stage), whole_seconds=True)
-
-
-def tracks_of_stage(stage: DataFrame) -> DataFrame:
-    frames = F.sum("hits")
-    return g.finish_track_summary(stage.groupBy(*g.CAMERA, "track_id").agg(
-        frames.alias("frames"),
-        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
-        F.min("min_x").alias("min_x"), F.max("max_x").alias("max_x"),
-        F.min("min_y").alias("min_y"), F.max("max_y").alias("max_y"),
-        (F.sum("sum_x") / frames).alias("avg_x"), (F.sum("sum_y") / frames).alias("avg_y"),
-        (F.sum("sum_conf") / frames).alias("avg_conf"),
-    ), whole_seconds=True)
+def track_summary_of(totals: DataFrame) -> DataFrame:
+    """Public form of the per-track totals."""
+    return g.finish_track_summary(totals.withColumns({
+        "frames": F.col("hits"),
+        "avg_x": F.col("sum_x") / F.col("hits"),
+        "avg_y": F.col("sum_y") / F.col("hits"),
+        "avg_conf": F.col("sum_conf") / F.col("hits"),
+    }), whole_seconds=True)
 
 
 @dataclass(frozen=True)
 class View:
-    """A keyed table derived from another one, group by group."""
+    """A keyed table derived from another one."""
     source: str
     key: tuple[str, ...]
-    groups: Callable[[DataFrame], DataFrame]
-    make: Callable[[DataFrame], DataFrame]
+    how: str  # recompute, accumulate or add
+    groups: Callable[[DataFrame], DataFrame] | None = None
+    make: Callable[[DataFrame], DataFrame] | None = None
 
 
-def _same(rows: DataFrame) -> DataFrame:
-    return rows
+def _recomputed(name: str, groups, make) -> View:
+    return View("silver", tuple(KEYS[name]), "recompute", groups, make)
 
 
 VIEWS = {
-    "gold_minute_by_cam": View("silver", tuple(KEYS["gold_minute_by_cam"]), _minute, g.gold_minute_by_cam),
-    "gold_hour_by_cam": View("silver", tuple(KEYS["gold_hour_by_cam"]), _hour, g.gold_hour_by_cam),
-    "gold_people_per_minute": View(
-        "silver", tuple(KEYS["gold_people_per_minute"]), _minute, g.gold_people_per_minute),
-    STAGE: View("silver", tuple(STAGE_KEY), _stage_groups, stage_rows),
-    "gold_zone_heatmap": View(STAGE, tuple(g.ZONE), _same, heatmap_of_stage),
-    "gold_zone_dwell": View(STAGE, tuple(g.ZONE), _same, dwell_of_stage),
-    "gold_track_summary": View(STAGE, tuple(KEYS["gold_track_summary"]), _same, tracks_of_stage),
+    "gold_minute_by_cam": _recomputed("gold_minute_by_cam", _minute, g.gold_minute_by_cam),
+    "gold_hour_by_cam": _recomputed("gold_hour_by_cam", _hour, g.gold_hour_by_cam),
+    "gold_people_per_minute": _recomputed("gold_people_per_minute", _minute, g.gold_people_per_minute),
+    STAGE: View("silver", tuple(STAGE_KEY), "recompute", _stage_groups, stage_rows),
+    VISITS: View(STAGE, tuple(VISIT_KEY), "accumulate"),
+    TRACKS: View(STAGE, tuple(TRACK_KEY), "accumulate"),
+    "gold_zone_heatmap": View(VISITS, tuple(g.ZONE), "add"),
+    "gold_zone_dwell": View(VISITS, tuple(g.ZONE), "add"),
 }
 
 
@@ -138,18 +148,27 @@ class Pipeline:
         self.tables = {
             "silver": KeyedTable(
                 f"{root}/silver_detections", silver, identity,
-                ["store_id", "capture_date", "frame_block"], ["camera_id", "capture_ts"]),
-            STAGE: KeyedTable(f"{root}/{STAGE}", struct_of(STAGE_SCHEMA), STAGE_KEY, ["store_id"], STAGE_KEY[1:]),
+                ["store_id", "capture_date", "frame_block"], ["camera_id", "frame_index"]),
+        }
+        # Sorted so that file statistics follow the look-ups: by minute, by track.
+        layout = {
+            STAGE: (["store_id"], ["ts_minute", "camera_id"]),
+            VISITS: (["store_id"], ["track_id", "camera_id"]),
+            TRACKS: (["store_id"], ["track_id", "camera_id"]),
         }
-        for name, key in KEYS.items():
-            self.tables[name] = KeyedTable(f"{root}/{name}", table_schema(name), key)
+        for name, view in VIEWS.items():
+            schema = struct_of(SCHEMAS[name]) if name in SCHEMAS else table_schema(name)
+            self.tables[name] = KeyedTable(f"{root}/{name}", schema, list(view.key), *layout.get(name, ([], [])))
 
     # ---- streams ----
 
+    def _checkpoint(self, name: str) -> str:
+        return f"{self.root}/_checkpoints/{name}"
+
     def _start(self, stream: DataFrame, name: str, each, every: str | None) -> StreamingQuery:
         writer = (
             stream.writeStream.foreachBatch(each).queryName(f"{name}-{id(self)}")
-            .option("checkpointLocation", f"{self.root}/_checkpoints/{name}")
+            .option("checkpointLocation", self._checkpoint(name))
         )
         return _trigger(writer, every).start()
 
@@ -176,29 +195,58 @@ class Pipeline:
     def start_view(
         self, name: str, every: str | None = None, files_per_trigger: int | None = None
     ) -> StreamingQuery:
-        """One Gold table (or the roll-up) as its own query with its own checkpoint."""
-        source = self.tables[VIEWS[name].source].create(self.spark)
+        """One derived table as its own query with its own checkpoint."""
+        view = VIEWS[name]
+        source = self.tables[view.source].create(self.spark)
         self.tables[name].create(self.spark)
-        return self._start(
-            source.changes(self.spark, files_per_trigger), name,
-            lambda changes, n: self.refresh(name, changes, n), every)
+
+        def each(changes: DataFrame, n: int) -> None:
+            if view.how == "recompute":
+                self.refresh(name, changes, n)
+            else:
+                self._catch_up(name, changes, n)
+
+        return self._start(source.changes(self.spark, files_per_trigger), name, each, every)
 
     def start_all(self, every: str | None = None, files_per_trigger: int | None = None) -> StreamingQuery:
-        """All Gold tables in one query: one read of the changes feeds every table."""
+        """All derived tables in one query: one read of the changes feeds every table.
+
+        Batch ``n`` of one table is made from batch ``n`` of the table before it.
+        """
         for table in self.tables.values():
             table.create(self.spark)
 
         def each(changes: DataFrame, n: int) -> None:
             changes.persist()
             try:
-                touched = _stage_groups(changes).select(*STAGE_KEY)
                 for name, view in VIEWS.items():
-                    self.refresh(name, changes if view.source == "silver" else touched, n)
+                    if view.how == "recompute":
+                        self.refresh(name, changes, n)
+                    else:
+                        self.apply(name, n, n - 1, n)
             finally:
                 changes.unpersist()
 
         return self._start(self.tables["silver"].changes(self.spark, files_per_trigger), "gold_all", each, every)
 
+    def _catch_up(self, name: str, changes: DataFrame, n: int) -> None:
+        """Applies the source's committed batches that are not yet in ``name``.
+
+        The micro-batch itself only says that there is something new.
+        """
+        seen = changes.agg(F.max(BATCH)).first()[0]
+        source = VIEWS[name].source
+        until = time.monotonic() + COMMIT_WAIT
+        while (done := committed(self.spark, self._checkpoint(source))) < (-1 if seen is None else seen):
+            if time.monotonic() > until:
+                break
+            time.sleep(0.2)
+        table = self.tables[name]
+        applied = table.applied(self.spark, before=n)
+        if done > applied:
+            self.apply(name, n, applied, done)
+            table.mark(self.spark, n, done)
+
     # ---- micro-batches ----
 
     def merge_silver(self, bronze: DataFrame, n: int) -> None:
@@ -215,10 +263,11 @@ class Pipeline:
             where = _folders(new, ["store_id", "frame_block"])
             if where is None:
                 return
+            where = where & _span(new, "frame_index")
             old = table.current(
                 self.spark, before=n,
                 only=lambda log: log.where(where).join(new.select(*key), key, "left_semi"))
-            rank = [c for c in _rank_columns(columns, key)]
+            rank = _rank_columns(columns, key)
             pair = new.select(*key, F.struct(*table.schema.fieldNames()).alias("new")).join(
                 old.select(*key, F.struct(*table.schema.fieldNames()).alias("old")), key, "left")
             better = F.col("old").isNull() | (
@@ -233,30 +282,130 @@ class Pipeline:
             new.unpersist()
 
     def refresh(self, name: str, changes: DataFrame, n: int) -> None:
-        """Recomputes the groups of view ``name`` that ``changes`` touch."""
+        """Recomputes the groups of a view on Silver that ``changes`` touch.
+
+        The key of the Silver log holds every column the views group by, so the
+        log is cut down to the touched groups before versions are resolved.
+        """
         view, table, key = VIEWS[name], self.tables[name], list(VIEWS[name].key)
         touched = view.groups(changes).select(*key).distinct().persist()
         try:
             where = _folders(touched, ["store_id"])
             if where is None:
                 return
-            if view.source == "silver":
-                where = where & _time_range(touched, key)
+            bucket = next(c for c in key if c.startswith("ts_"))
+            source_where = where & _time_range(touched, bucket)
             rows = self.tables[view.source].current(
-                self.spark, only=lambda log: view.groups(log.where(where)).join(touched, key, "left_semi"))
-            fresh = view.make(rows)
+                self.spark,
+                only=lambda log: view.groups(log.where(source_where)).join(touched, key, "left_semi"))
+            fresh = touched.join(view.make(rows), key, "left")
             measure = next(c for c in fresh.columns if c not in key)
-            table.write(n, touched.join(fresh, key, "left").withColumn(DELETED, F.col(measure).isNull()))
+            out = fresh.withColumn(DELETED, F.col(measure).isNull())
+            if name == STAGE:
+                where = where & _span(touched, bucket)
+                out = self._with_before(out, name, n, touched, where)
+            table.write(n, out)
         finally:
             touched.unpersist()
 
+    def _with_before(self, out: DataFrame, name: str, n: int, touched: DataFrame, where: Column) -> DataFrame:
+        """Adds the stored row of each group as ``before``."""
+        key = list(VIEWS[name].key)
+        old = self.tables[name].current(
+            self.spark, before=n, only=lambda log: log.where(where).join(touched, key, "left_semi"))
+        return out.join(old.select(*key, F.struct(*MEASURES).alias("before")), key, "left")
+
+    def apply(self, name: str, n: int, after: int, upto: int) -> None:
+        """Brings ``name`` from batch ``after`` of its source to batch ``upto``."""
+        changes = self.tables[VIEWS[name].source].batches(self.spark, after, upto)
+        if VIEWS[name].how == "accumulate":
+            self._accumulate(name, changes, n, upto)
+        else:
+            self._add(name, changes, n)
+
+    def _accumulate(self, name: str, changes: DataFrame, n: int, upto: int) -> None:
+        table, key = self.tables[name], list(VIEWS[name].key)
+        was = F.col("before")
+        shrunk = F.col(DELETED) & was.isNotNull()
+        for c in LOWS:
+            shrunk = shrunk | (F.col(c) > was[c])
+        for c in HIGHS:
+            shrunk = shrunk | (F.col(c) < was[c])
+        delta = changes.groupBy(*key).agg(
+            *[F.sum(F.coalesce(F.col(c), F.lit(0)) - F.coalesce(was[c], F.lit(0))).alias(c) for c in SUMS],
+            *[F.min(c).alias(c) for c in LOWS],
+            *[F.max(c).alias(c) for c in HIGHS],
+            F.max(F.coalesce(shrunk, F.lit(False))).alias("shrunk"),
+        ).persist()
+        try:
+            where = _folders(delta, ["store_id"])
+            if where is None:
+                return
+            old = table.current(
+                self.spark, before=n,
+                only=lambda log: log.where(where & _tracks(delta)).join(delta, key, "left_semi"))
+            both = delta.join(old.select(*key, F.struct(*MEASURES).alias("before")), key, "left")
+            grown = both.where(~F.col("shrunk")).select(
+                *key,
+                *[(F.col(c) + F.coalesce(was[c], F.lit(0))).alias(c) for c in SUMS],
+                *[F.least(F.col(c), was[c]).alias(c) for c in LOWS],
+                *[F.greatest(F.col(c), was[c]).alias(c) for c in HIGHS],
+                "before",
+            )
+            redo = delta.where("shrunk").select(*key)
+            if not redo.isEmpty():
+                source = self.tables[VIEWS[name].source].current(
+                    self.spark, before=upto + 1,
+                    only=lambda log: log.where(where & _tracks(redo)).join(redo, key, "left_semi"))
+                again = both.where("shrunk").select(*key, "before").join(roll_up(source, key), key, "left")
+                grown = grown.unionByName(again)
+            table.write(n, grown.withColumn(DELETED, F.coalesce(F.col("hits") <= 0, F.lit(True))))
+        finally:
+            delta.unpersist()
+
+    def _add(self, name: str, changes: DataFrame, n: int) -> None:
+        """Heatmap or dwell: differences of visits, summed per zone."""
+        table, key = self.tables[name], list(VIEWS[name].key)
+        was = F.col("before")
+        alive, existed = (~F.col(DELETED)).cast("bigint"), was.isNotNull().cast("bigint")
+        if name == "gold_zone_heatmap":
+            amounts = {
+                "hits": F.coalesce("hits", F.lit(0)) * alive - F.coalesce(was["hits"], F.lit(0)),
+                "unique_tracks": alive - existed,
+            }
+            count = "unique_tracks"
+        else:
+            now = seconds_between(F.col("start_time"), F.col("end_time"), True)
+            then = seconds_between(was["start_time"], was["end_time"], True)
+            amounts = {
+                "visits": alive - existed,
+                "total_dwell_seconds":
+                    F.when(~F.col(DELETED), now).otherwise(F.lit(0.0)) - F.coalesce(then, F.lit(0.0)),
+            }
+            count = "visits"
+        delta = changes.groupBy(*key).agg(*[F.sum(v).alias(f"d_{c}") for c, v in amounts.items()]).persist()
+        try:
+            where = _folders(delta, ["store_id"])
+            if where is None:
+                return
+            old = table.current(self.spark, before=n, only=lambda log: log.where(where))
+            out = delta.join(old, key, "left").select(*key, *[
+                (F.col(f"d_{c}") + F.coalesce(F.col(c), F.lit(0))).alias(c) for c in amounts])
+            if name == "gold_zone_dwell":
+                out = out.withColumn(
+                    "avg_dwell_seconds", F.col("total_dwell_seconds") / F.nullif(F.col("visits"), F.lit(0)))
+            table.write(n, out.withColumn(DELETED, F.col(count) <= 0))
+        finally:
+            delta.unpersist()
+
     # ---- results ----
 
     def silver(self) -> DataFrame:
         return self.tables["silver"].current(self.spark).select(*columns_of("silver_detections"))
 
     def view(self, name: str) -> DataFrame:
-        return self.tables[name].current(self.spark)
+        rows = self.tables[name].current(self.spark)
+        return track_summary_of(rows) if name == TRACKS else rows
 
 
 def _trigger(writer, every: str | None):
@@ -295,9 +444,23 @@ def _folders(rows: DataFrame, columns: list[str]) -> Column | None:
     return test
 
 
-def _time_range(touched: DataFrame, key: list[str]) -> Column:
+def _span(rows: DataFrame, column: str) -> Column:
+    """Range of ``column`` in ``rows``, for row-group pruning."""
+    lo, hi = rows.agg(F.min(column), F.max(column)).first()
+    if isinstance(lo, int):
+        return F.col(column).between(lo, hi)
+    return F.col(column).between(*[F.lit(str(v)).cast("timestamp_ntz") for v in (lo, hi)])
+
+
+def _tracks(rows: DataFrame) -> Column:
+    """Track ids of ``rows`` as a range; the trackless rows would widen it to everything."""
+    lo, hi = rows.where("track_id >= 0").agg(F.min("track_id"), F.max("track_id")).first()
+    trackless = F.col("track_id") < 0
+    return trackless if lo is None else trackless | F.col("track_id").between(lo, hi)
+
+
+def _time_range(touched: DataFrame, bucket: str) -> Column:
     """Dates and the time span of the touched buckets, for folder and row-group pruning."""
-    bucket = next(c for c in key if c.startswith("ts_"))
     step = "1 hour" if bucket == "ts_hour" else "1 minute"
     lo, hi = touched.agg(F.min(bucket), F.max(bucket)).first()
     lo, hi = (F.lit(str(v)).cast("timestamp_ntz") for v in (lo, hi))

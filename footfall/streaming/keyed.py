@@ -2,8 +2,8 @@
 
 Each micro-batch writes its changed rows to its own folder ``batch_id=<n>``,
 overwriting it when the batch is replayed.  The newest row per key wins; a row
-with ``is_deleted`` hides its key.  ``compact`` folds finished batches into a
-base so that readers need only the base and the batches after it.
+with ``is_deleted`` hides its key.  The key decides the partition, so a partition
+can be folded on its own: ``compact`` rewrites only partitions that changed.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql.types import BooleanType, LongType, StructType
 
 DELETED = "is_deleted"
 BATCH = "batch_id"
+KEEP_MARKS = 100
 
 
 @dataclass
@@ -31,15 +32,20 @@ class KeyedTable:
     def log(self) -> str:
         return f"{self.path}/log"
 
+    @property
+    def folded(self) -> str:
+        return f"{self.path}/folded"
+
     def _full(self) -> StructType:
         full = StructType(list(self.schema.fields))
         return full.add(DELETED, BooleanType()).add(BATCH, LongType())
 
     def create(self, spark: SparkSession) -> "KeyedTable":
-        """Makes an empty log unless the table exists."""
-        root, fs = _path(spark, self.log)
-        if not fs.exists(root):
-            fs.mkdirs(root)
+        """Makes an empty table unless it exists."""
+        for folder in (self.log, self.folded):
+            root, fs = _path(spark, folder)
+            if not fs.exists(root):
+                fs.mkdirs(root)
         return self
 
     def write(self, batch_id: int, rows: DataFrame) -> None:
@@ -50,32 +56,22 @@ class KeyedTable:
 
     def _put(self, rows: DataFrame, path: str) -> None:
         hint = rows.hint("rebalance", *self.partitions) if self.partitions else rows.hint("rebalance")
-        columns = [*self.schema.fieldNames(), DELETED]
-        out = hint.select(*columns, *[c for c in rows.columns if c == BATCH])
+        out = hint.select(*self.schema.fieldNames(), DELETED)
         if self.sort:
             out = out.sortWithinPartitions(*self.partitions, *self.sort)
         out.write.mode("overwrite").partitionBy(*self.partitions).parquet(path)
 
-    def base(self, spark: SparkSession) -> int:
-        """Last batch folded into a complete base, -1 when there is none."""
-        root, fs = _path(spark, self.path)
-        done = [-1]
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            if name.startswith("base-") and fs.exists(_path(spark, f"{self.path}/{name}/_SUCCESS")[0]):
-                done.append(int(name[5:]))
-        return max(done)
+    def _read(self, spark: SparkSession, folder: str) -> DataFrame:
+        return spark.read.schema(self._full()).parquet(folder)
 
     def versions(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """All stored versions a reader needs, below batch ``before`` if given."""
-        folded = self.base(spark)
-        rows = spark.read.schema(self._full()).parquet(self.log).where(F.col(BATCH) > folded)
-        if before is not None:
-            rows = rows.where(F.col(BATCH) < before)
-        if folded >= 0:
-            base = spark.read.schema(self._full()).parquet(f"{self.path}/base-{folded}")
-            rows = base.unionByName(rows)
-        return rows
+        """All stored versions, below batch ``before`` if given."""
+        rows = self._read(spark, self.log).unionByName(self._read(spark, self.folded))
+        return rows if before is None else rows.where(F.col(BATCH) < before)
+
+    def batches(self, spark: SparkSession, after: int, upto: int) -> DataFrame:
+        """The changes of the batches in ``(after, upto]``."""
+        return self._read(spark, self.log).where((F.col(BATCH) > after) & (F.col(BATCH) <= upto))
 
     def current(
         self,
@@ -103,22 +99,78 @@ class KeyedTable:
         return reader.parquet(self.log)
 
     def compact(self, spark: SparkSession, upto: int) -> None:
-        """Folds all batches up to ``upto`` (all finished) into a new base."""
-        live = self.current(spark, before=upto + 1).withColumns(
-            {DELETED: F.lit(False), BATCH: F.lit(upto).cast("bigint")})
-        self._put(live, f"{self.path}/base-{upto}")
-
-    def vacuum(self, spark: SparkSession, before: int) -> None:
-        """Removes batches below ``before`` that are in the base and that every
-        downstream stream has read; removes older bases as well."""
-        folded = self.base(spark)
-        for folder, prefix, limit in ((self.log, f"{BATCH}=", min(before, folded + 1)),
-                                      (self.path, "base-", folded)):
-            root, fs = _path(spark, folder)
-            for status in fs.listStatus(root):
-                name = status.getPath().getName()
-                if name.startswith(prefix) and int(name[len(prefix):]) < limit:
-                    fs.delete(status.getPath(), True)
+        """Folds the partitions changed by batches up to ``upto``.
+
+        Only for batches that are finished and that every reader of the change
+        log has applied.  Old files stay until ``vacuum``; until then a row is
+        simply found twice.
+        """
+        changed = self._read(spark, self.log).where(F.col(BATCH) <= upto)
+
+        def only(rows: DataFrame) -> DataFrame:
+            if not self.partitions:
+                return rows
+            parts = changed.select(*self.partitions).distinct()
+            return rows.join(parts, self.partitions, "left_semi")
+
+        live = self.current(spark, before=upto + 1, only=only).withColumn(DELETED, F.lit(False))
+        self._put(live, f"{self.folded}/{BATCH}={upto}")
+
+    def vacuum(self, spark: SparkSession) -> None:
+        """Removes what the newest fold has replaced, oldest first."""
+        folds = _numbered(spark, self.folded)
+        if not folds:
+            return
+        newest = folds[-1]
+        done = [n for n in _numbered(spark, self.log) if n <= newest]
+        replaced = {part for n in done for part in self._parts(spark, f"{self.log}/{BATCH}={n}")}
+        for n in folds[:-1]:
+            for part in replaced:
+                path, fs = _path(spark, f"{self.folded}/{BATCH}={n}{part}")
+                fs.delete(path, True)
+        for n in done:
+            path, fs = _path(spark, f"{self.log}/{BATCH}={n}")
+            fs.delete(path, True)
+
+    def _parts(self, spark: SparkSession, folder: str) -> list[str]:
+        """Partition folders below one batch, as relative paths."""
+        if not self.partitions:
+            return [""]
+        root, fs = _path(spark, folder)
+        cut = len(root.toUri().getPath())
+        found = fs.globStatus(_path(spark, folder + "/*" * len(self.partitions))[0])
+        return [s.getPath().toUri().getPath()[cut:] for s in found]
+
+    # ---- how far this table has applied the batches of the one it derives from
+
+    def mark(self, spark: SparkSession, n: int, source_batch: int) -> None:
+        path, fs = _path(spark, f"{self.path}/applied/{n}-{source_batch}")
+        fs.create(path, True).close()
+        for status in fs.listStatus(path.getParent()):
+            if int(status.getPath().getName().split("-")[0]) < n - KEEP_MARKS:
+                fs.delete(status.getPath(), False)
+
+    def applied(self, spark: SparkSession, before: int) -> int:
+        root, fs = _path(spark, f"{self.path}/applied")
+        if not fs.exists(root):
+            return -1
+        pairs = [s.getPath().getName().split("-") for s in fs.listStatus(root)]
+        return max((int(src) for n, src in pairs if int(n) < before), default=-1)
+
+
+def _numbered(spark: SparkSession, folder: str) -> list[int]:
+    root, fs = _path(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return sorted(int(x[len(BATCH) + 1:]) for x in names if x.startswith(f"{BATCH}="))
+
+
+def committed(spark: SparkSession, checkpoint: str) -> int:
+    """Last batch a streaming query has committed; later ones may be replayed."""
+    root, fs = _path(spark, f"{checkpoint}/commits")
+    if not fs.exists(root):
+        return -1
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return max((int(x) for x in names if x.isdigit()), default=-1)
 
 
 def _path(spark: SparkSession, path: str):

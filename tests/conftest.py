@@ -11,7 +11,7 @@ from footfall.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", spark_sql_shuffle_partitions="4", spark_ui_enabled="false",
+        "tests", "local[4]", spark_sql_shuffle_partitions="2", spark_ui_enabled="false",
         spark_driver_memory="6g",
     )
     session.sparkContext.setLogLevel("ERROR")

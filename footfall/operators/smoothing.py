@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from footfall.functions import ema
+from footfall.functions.ema import ALPHA, MIN_IOU, smooth
 from footfall.operators.geometry import BOX, clip_bbox
-from footfall.session import shared_dir
+from footfall.session import carry_to_workers, shared_dir
+
+carry_to_workers(__name__, "footfall.functions.ema")
 
 BLOCK_ROWS = 200_000
 MIN_BLOCK_ROWS = 5_000
@@ -38,7 +40,7 @@ def _walk(tracks: list, boxes: list, track: str | None, prev, alpha: float, min_
     out: list = []
     for key, run in groupby(range(len(tracks)), key=tracks.__getitem__):
         start = prev if key == track else None
-        out.extend(ema.smooth((boxes[i] for i in run), start, alpha, min_iou))
+        out.extend(smooth((boxes[i] for i in run), start, alpha, min_iou))
     return out
 
 
@@ -50,8 +52,8 @@ def smooth_bbox(
     boxes: DataFrame,
     track_key: list[str],
     order: list[str],
-    alpha: float = ema.ALPHA,
-    min_iou: float = ema.MIN_IOU,
+    alpha: float = ALPHA,
+    min_iou: float = MIN_IOU,
     block_rows: int = BLOCK_ROWS,
     tail_rows: int = TAIL_ROWS,
 ) -> DataFrame:

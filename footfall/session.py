@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -43,3 +45,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="footfall-")
         spark.conf.set("spark.checkpoint.dir", root)
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def carry_to_workers(*modules: str) -> None:
+    """Sends the functions of these modules along with each task, so that workers
+    need no copy of this package."""
+    for name in modules:
+        cloudpickle.register_pickle_by_value(sys.modules[name])

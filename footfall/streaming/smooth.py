@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from footfall.functions import ema
+from footfall.functions.ema import ALPHA, MIN_IOU, smooth
 from footfall.operators.geometry import BOX, clip_bbox
-from footfall.session import SETTINGS
+from footfall.session import SETTINGS, carry_to_workers
+
+carry_to_workers(__name__, "footfall.functions.ema")
 
 _STATE = StructType([StructField(c, DoubleType()) for c in BOX])
 
@@ -23,21 +24,20 @@ class SmoothTrack(StatefulProcessor):
     is blended with the newest state even if it belongs earlier.
     """
 
-    def __init__(self, columns: list[str], order: list[str], alpha: float, min_iou: float):
-        self.columns, self.order, self.alpha, self.min_iou = columns, order, alpha, min_iou
+    def __init__(self, order: list[str], alpha: float, min_iou: float):
+        self.order, self.alpha, self.min_iou = order, alpha, min_iou
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", _STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(self.order, ignore_index=True)
-        prev = tuple(self.last.get()) if self.last.exists() else None
-        boxes = zip(*[batch[c].tolist() for c in BOX])
-        out = list(ema.smooth(boxes, prev, self.alpha, self.min_iou))
-        self.last.update(out[-1])
-        for i, c in enumerate(BOX):
-            batch[c] = [b[i] for b in out]
-        yield batch[self.columns]
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        batch = sorted((r.asDict() for r in rows), key=lambda r: [r[c] for c in self.order])
+        state = self.last.get()
+        boxes = (tuple(r[c] for c in BOX) for r in batch)
+        for row, box in zip(batch, smooth(boxes, state and tuple(state), self.alpha, self.min_iou)):
+            row.update(zip(BOX, box))
+            yield Row(**row)
+        self.last.update(box)
 
     def close(self) -> None:
         pass
@@ -45,15 +45,15 @@ class SmoothTrack(StatefulProcessor):
 
 def smooth_stream(
     boxes: DataFrame, track_key: list[str], order: list[str],
-    alpha: float = ema.ALPHA, min_iou: float = ema.MIN_IOU,
+    alpha: float = ALPHA, min_iou: float = MIN_IOU,
 ) -> DataFrame:
     """Streaming boxes clipped and smoothed; rows without a track are left out."""
     spark: SparkSession = boxes.sparkSession
     provider = "spark.sql.streaming.stateStore.providerClass"
     spark.conf.set(provider, SETTINGS[provider])
     tracked = clip_bbox(boxes.where(f"{track_key[-1]} >= 0"))
-    processor = SmoothTrack(tracked.columns, order, alpha, min_iou)
-    return tracked.groupBy(*track_key).transformWithStateInPandas(
+    processor = SmoothTrack(order, alpha, min_iou)
+    return tracked.groupBy(*track_key).transformWithState(
         processor, tracked.schema, outputMode="append", timeMode="none")
 
 

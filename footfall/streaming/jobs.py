@@ -260,10 +260,9 @@ class Pipeline:
         columns = columns_of("silver_detections")
         new = _silver_parts(s.silver_stream(bronze, self.now, run_scoped=self.run_scoped)).persist()
         try:
-            where = _folders(new, ["store_id", "frame_block"])
+            where = _near(new, ["store_id", "frame_block"], ["frame_index"])
             if where is None:
                 return
-            where = where & _span(new, "frame_index")
             old = table.current(
                 self.spark, before=n,
                 only=lambda log: log.where(where).join(new.select(*key), key, "left_semi"))
@@ -290,11 +289,13 @@ class Pipeline:
         view, table, key = VIEWS[name], self.tables[name], list(VIEWS[name].key)
         touched = view.groups(changes).select(*key).distinct().persist()
         try:
-            where = _folders(touched, ["store_id"])
-            if where is None:
-                return
             bucket = next(c for c in key if c.startswith("ts_"))
-            source_where = where & _time_range(touched, bucket)
+            step = F.expr("INTERVAL 1 HOUR" if bucket == "ts_hour" else "INTERVAL 1 MINUTE")
+            spans = touched.select(
+                "store_id", F.col(bucket).cast("date").alias("capture_date"), F.col(bucket).alias("capture_ts"))
+            source_where = _near(spans, ["store_id", "capture_date"], ["capture_ts"], {"capture_ts": step})
+            if source_where is None:
+                return
             rows = self.tables[view.source].current(
                 self.spark,
                 only=lambda log: view.groups(log.where(source_where)).join(touched, key, "left_semi"))
@@ -302,8 +303,7 @@ class Pipeline:
             measure = next(c for c in fresh.columns if c not in key)
             out = fresh.withColumn(DELETED, F.col(measure).isNull())
             if name == STAGE:
-                where = where & _span(touched, bucket)
-                out = self._with_before(out, name, n, touched, where)
+                out = self._with_before(out, name, n, touched, _near(touched, ["store_id"], [bucket]))
             table.write(n, out)
         finally:
             touched.unpersist()
@@ -338,12 +338,12 @@ class Pipeline:
             F.max(F.coalesce(shrunk, F.lit(False))).alias("shrunk"),
         ).persist()
         try:
-            where = _folders(delta, ["store_id"])
+            where = _near_tracks(delta)
             if where is None:
                 return
             old = table.current(
                 self.spark, before=n,
-                only=lambda log: log.where(where & _tracks(delta)).join(delta, key, "left_semi"))
+                only=lambda log: log.where(where).join(delta, key, "left_semi"))
             both = delta.join(old.select(*key, F.struct(*MEASURES).alias("before")), key, "left")
             grown = both.where(~F.col("shrunk")).select(
                 *key,
@@ -353,10 +353,11 @@ class Pipeline:
                 "before",
             )
             redo = delta.where("shrunk").select(*key)
-            if not redo.isEmpty():
+            near_redo = _near_tracks(redo)
+            if near_redo is not None:
                 source = self.tables[VIEWS[name].source].current(
                     self.spark, before=upto + 1,
-                    only=lambda log: log.where(where & _tracks(redo)).join(redo, key, "left_semi"))
+                    only=lambda log: log.where(near_redo).join(redo, key, "left_semi"))
                 again = both.where("shrunk").select(*key, "before").join(roll_up(source, key), key, "left")
                 grown = grown.unionByName(again)
             table.write(n, grown.withColumn(DELETED, F.coalesce(F.col("hits") <= 0, F.lit(True))))
@@ -385,7 +386,7 @@ class Pipeline:
             count = "visits"
         delta = changes.groupBy(*key).agg(*[F.sum(v).alias(f"d_{c}") for c, v in amounts.items()]).persist()
         try:
-            where = _folders(delta, ["store_id"])
+            where = _near(delta, ["store_id"], [])
             if where is None:
                 return
             old = table.current(self.spark, before=n, only=lambda log: log.where(where))
@@ -426,46 +427,51 @@ def _rank_columns(columns: list[str], key: list[str]) -> list[str]:
     return lead + [c for c in columns if c not in lead and c not in key and c != "processing_ts"]
 
 
-def _folders(rows: DataFrame, columns: list[str]) -> Column | None:
-    """A filter on the folders that ``rows`` fall into; None when there are no rows.
+def _near(
+    rows: DataFrame, folders: list[str], ranges: list[str], wider: dict[str, Column] | None = None
+) -> Column | None:
+    """A filter on where ``rows`` lie: folder names and value ranges, None for no rows.
 
-    Only folder names reach the driver: a list while it is short, else the range.
+    It prunes folders and row groups; the exact match is made by a join.  One
+    small aggregate reaches the driver: bounds, and the folder names of one
+    micro-batch, which become a list while it is short and a range beyond.
+    ``wider`` is added to an upper bound, which is then left open.
     """
+    wider = wider or {}
+    kinds = dict(rows.select(*folders, *ranges).dtypes)
+    both = [*folders, *ranges]
+    found = rows.agg(
+        F.count(F.lit(1)),
+        *[F.min(c).cast("string") for c in both], *[F.max(c).cast("string") for c in both],
+        *[F.collect_set(F.col(c).cast("string")) for c in folders],
+    ).first()
+    if not found[0]:
+        return None
+
+    def value(text: str, c: str) -> Column:
+        return F.lit(text).cast(kinds[c])
+
     test = F.lit(True)
-    for c in columns:
-        values = [r[0] for r in rows.select(c).distinct().limit(PRUNE_LIST + 1).collect()]
-        if not values:
-            return None
-        if len(values) <= PRUNE_LIST:
-            test = test & F.col(c).isin(values)
+    for i, c in enumerate(both):
+        lo, hi = value(found[1 + i], c), value(found[1 + len(both) + i], c)
+        names = found[1 + 2 * len(both) + i] if c in folders else []
+        if 0 < len(names) <= PRUNE_LIST:
+            test = test & F.col(c).isin([value(x, c) for x in names])
+        elif c in wider:
+            test = test & (F.col(c) >= lo) & (F.col(c) < hi + wider[c])
         else:
-            lo, hi = rows.agg(F.min(c), F.max(c)).first()
             test = test & F.col(c).between(lo, hi)
     return test
 
 
-def _span(rows: DataFrame, column: str) -> Column:
-    """Range of ``column`` in ``rows``, for row-group pruning."""
-    lo, hi = rows.agg(F.min(column), F.max(column)).first()
-    if isinstance(lo, int):
-        return F.col(column).between(lo, hi)
-    return F.col(column).between(*[F.lit(str(v)).cast("timestamp_ntz") for v in (lo, hi)])
-
-
-def _tracks(rows: DataFrame) -> Column:
-    """Track ids of ``rows`` as a range; the trackless rows would widen it to everything."""
-    lo, hi = rows.where("track_id >= 0").agg(F.min("track_id"), F.max("track_id")).first()
+def _near_tracks(rows: DataFrame) -> Column | None:
+    """Store folders and the range of track ids; trackless rows would widen it to everything."""
+    tracked = rows.withColumn("track_id", F.when(F.col("track_id") >= 0, F.col("track_id")))
+    lo, hi, stores = tracked.agg(
+        F.min("track_id"), F.max("track_id"), F.collect_set("store_id")).first()
+    if not stores:
+        return None
+    test = F.col("store_id").isin(stores) if len(stores) <= PRUNE_LIST else \
+        F.col("store_id").between(min(stores), max(stores))
     trackless = F.col("track_id") < 0
-    return trackless if lo is None else trackless | F.col("track_id").between(lo, hi)
-
-
-def _time_range(touched: DataFrame, bucket: str) -> Column:
-    """Dates and the time span of the touched buckets, for folder and row-group pruning."""
-    step = "1 hour" if bucket == "ts_hour" else "1 minute"
-    lo, hi = touched.agg(F.min(bucket), F.max(bucket)).first()
-    lo, hi = (F.lit(str(v)).cast("timestamp_ntz") for v in (lo, hi))
-    span = (F.col("capture_ts") >= lo) & (F.col("capture_ts") < hi + F.expr(f"INTERVAL {step}"))
-    days = [r[0] for r in touched.select(F.col(bucket).cast("date")).distinct().limit(PRUNE_LIST + 1).collect()]
-    if len(days) <= PRUNE_LIST:
-        return span & F.col("capture_date").isin(days)
-    return span & F.col("capture_date").between(lo.cast("date"), hi.cast("date"))
+    return test & (trackless if lo is None else trackless | F.col("track_id").between(lo, hi))

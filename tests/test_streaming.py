@@ -62,6 +62,19 @@ def rows(df, columns):
     return sorted((tuple(plain(v) for v in r) for r in df.select(*columns).collect()), key=repr)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def tiny_data(spark):
+    """Compiling a plan takes far longer than running it on a few rows."""
+    keys = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+            "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 @pytest.fixture(scope="module")
 def expected(spark):
     silver = silver_stream(bronze_ingest(lines(spark, sum(WAVES, [])), now()), now()).cache()

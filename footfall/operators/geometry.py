@@ -18,6 +18,8 @@ TRACK_CONF = 0.20
 NMS_IOU = 0.6
 FRAME_KEY = ["store_id", "camera_id", "frame_index"]
 BOX = geo.BOX
+HEAVY_SHARE = 10_000
+MIN_HEAVY = 10_000
 
 
 def active_zone_filter(boxes: DataFrame, start: float = ACTIVE_FROM) -> DataFrame:
@@ -87,35 +89,67 @@ def _gather(leaders: DataFrame, group: list[str]) -> DataFrame:
     return leaders.groupBy(*group).agg(F.sort_array(F.collect_list(row)).alias("boxes"))
 
 
-def _salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str, salts: int) -> DataFrame:
-    """Equi-join that spreads each key of ``big`` over ``salts`` tasks."""
-    spread = F.pmod(F.xxhash64(*[c for c in big.columns if c not in keys]), F.lit(salts))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return big.withColumn("_salt", spread.cast("int")).join(
-        small.withColumn("_salt", copies), [*keys, "_salt"], how
-    ).drop("_salt")
+def _heavy(counted: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Keys with more than a ten-thousandth of all rows.
+
+    There are fewer than ``HEAVY_SHARE`` of them whatever the data, so the list
+    may be broadcast.
+    """
+    least = max(MIN_HEAVY, rows // HEAVY_SHARE)
+    return counted.where(F.col("n") > least).select(*keys)
+
+
+def _spread_join(big: DataFrame, small: DataFrame, keys: list[str], heavy: DataFrame, how: str) -> DataFrame:
+    """Equi-join that spreads the heavy keys of ``big`` over many tasks.
+
+    Only the ``small`` rows of heavy keys are copied.  NULL keys meet each other.
+    """
+    salts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row_hash = F.pmod(F.xxhash64(*[c for c in big.columns if c not in keys]), F.lit(salts)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+
+    def marked(df: DataFrame) -> DataFrame:
+        return _null_safe_join(df, F.broadcast(heavy.withColumn("_hot", F.lit(True))), keys, "left")
+
+    left = marked(big).withColumn("_salt", F.when(F.col("_hot"), row_hash).otherwise(F.lit(0))).drop("_hot")
+    right = marked(small).withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return _null_safe_join(left, right, [*keys, "_salt"], how).drop("_salt")
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    other = right.withColumnsRenamed({c: f"_r_{c}" for c in keys})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys])
+    return left.join(other, same, how).drop(*[f"_r_{c}" for c in keys])
 
 
 def _leaders(boxes: DataFrame, group: list[str], order: list[str], rest: list[str]) -> DataFrame:
+    """The best box of each set of equal boxes, with the size ``n`` of the set."""
     best = F.min(F.struct(_rank(order).alias("rank"), F.struct(*rest).alias("row"))).alias("m")
-    return boxes.groupBy(*group, *BOX).agg(best).select(*group, *BOX, "m.rank", "m.row")
+    return boxes.groupBy(*group, *BOX).agg(best, F.count(F.lit(1)).alias("n")).select(
+        *group, *BOX, "m.rank", "m.row", "n")
+
+
+def _stored(leaders: DataFrame) -> DataFrame:
+    path = shared_dir(leaders.sparkSession, "leaders")
+    leaders.write.parquet(path)
+    return leaders.sparkSession.read.parquet(path)
 
 
 def _judge(leaders: DataFrame, group: list[str], iou: float, fold: int) -> DataFrame:
     """Verdict per leader: ``by`` is NULL for kept ones."""
     spark = leaders.sparkSession
-    work = shared_dir(spark, "overlap")
-    leaders.write.parquet(f"{work}/leaders")
-    leaders = spark.read.parquet(f"{work}/leaders")
-    large = leaders.groupBy(*group).count().where(F.col("count") > fold).select(*group)
-    large.write.parquet(f"{work}/large")
-    large = spark.read.parquet(f"{work}/large")
+    leaders = leaders.drop("n")
+    large = leaders.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold)
     if large.isEmpty():
         return _verdicts(_fold(_gather(leaders, group), group, iou), group, iou)
 
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    mark = large.withColumn("large", F.lit(True))
-    tagged = _salted_join(leaders, mark, group, "left", salts)
+    work = shared_dir(spark, "overlap")
+    large.write.parquet(f"{work}/large")
+    large = spark.read.parquet(f"{work}/large")
+    heavy = _heavy(large, group, leaders.count())
+    mark = large.select(*group, F.lit(True).alias("large"))
+    tagged = _spread_join(leaders, mark, group, heavy, "left")
     small = tagged.where(F.col("large").isNull()).drop("large")
     parts = [_verdicts(_fold(_gather(small, group), group, iou), group, iou)]
     tagged.where("large").drop("large").write.parquet(f"{work}/open-0")
@@ -130,7 +164,7 @@ def _judge(leaders: DataFrame, group: list[str], iou: float, fold: int) -> DataF
         folded = spark.read.parquet(f"{work}/fold-{turn}")
         parts.append(_verdicts(folded, group, iou))
         kept = folded.select(*group, "kept", F.array_max("boxes")["rank"].alias("last"))
-        rest = _salted_join(still, kept, group, "inner", salts).where(F.col("rank") > F.col("last"))
+        rest = _spread_join(still, kept, group, heavy, "inner").where(F.col("rank") > F.col("last"))
         b = F.struct("rank", *BOX, "row")
         rest.select(*group, b.alias("b"), _first_hit(F.col("kept"), b, iou).alias("by")).write.parquet(
             f"{work}/seen-{turn}")
@@ -162,7 +196,8 @@ def nms_per_frame(
     """
     order = order or ["det_id"]
     group, rest, typed, solid = _prepare(boxes, frame_key or FRAME_KEY, order)
-    verdicts = _judge(_leaders(typed.where(solid), group, order, rest), group, iou, fold)
+    leaders = _stored(_leaders(typed.where(solid), group, order, rest))
+    verdicts = _judge(leaders, group, iou, fold)
     kept = verdicts.where(F.col("by").isNull()).select(
         *group, *[F.col(f"b.{c}").alias(c) for c in BOX], "b.row.*")
     return kept.unionByName(typed.where(~solid)).select(*boxes.columns)
@@ -182,14 +217,15 @@ def suppressed_pairs(
     order = order or ["det_id"]
     group, rest, typed, solid = _prepare(boxes, frame_key or FRAME_KEY, order)
     typed = typed.where(solid)
-    verdicts = _judge(_leaders(typed, group, order, rest), group, iou, fold)
+    leaders = _stored(_leaders(typed, group, order, rest))
+    verdicts = _judge(leaders, group, iou, fold)
     fate = verdicts.select(
         *group, *[F.col(f"b.{c}").alias(c) for c in BOX], F.col("b.rank").alias("leader"),
         F.col("b.row.det_id").alias("leader_id"), "by",
     )
-    salts = int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = _heavy(leaders, [*group, *BOX], leaders.agg(F.sum("n")).first()[0] or 0)
     all_boxes = typed.select(*group, *BOX, "det_id", _rank(order).alias("rank"))
-    joined = _salted_join(all_boxes, fate, [*group, *BOX], "inner", salts)
+    joined = _spread_join(all_boxes, fate, [*group, *BOX], heavy, "inner")
     dropped = F.col("by").isNotNull() | (F.col("rank") != F.col("leader"))
     return joined.where(dropped).select(
         *group, "det_id",

@@ -12,7 +12,8 @@ from tests.oracle import TESTDATA, compare, connect  # noqa: E402
 
 if __name__ == "__main__":
     sf, names = (sys.argv[1] if len(sys.argv) > 1 else "0.01"), sys.argv[2:]
-    spark = build_session("check", "local[8]", spark_sql_shuffle_partitions="8",
+    parts = os.environ.get("SHUFFLE_PARTITIONS", "8")
+    spark = build_session("check", "local[8]", spark_sql_shuffle_partitions=parts,
                           spark_ui_enabled="false", spark_driver_memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = f"{TESTDATA}/sf{sf}"

@@ -46,14 +46,17 @@ def random_boxes(n_small, n_hot, seed=7):
         if hot and rnd.random() < 0.3:
             x, y, w, h = 10, 10, 40, 60
         rows.append(dict(
-            store_id="s", camera_id="c", frame_index=0 if hot else 1 + i % 40, class_id=i % 2,
+            store_id="s", camera_id=None if hot else "c", frame_index=0 if hot else 1 + i % 40, class_id=i % 2,
             det_id=f"d{i:05d}", conf=None if i % 50 == 0 else rnd.randrange(20) / 20,
             x1=float(x), y1=float(y), x2=float(x + w), y2=float(y + h)))
     return rows
 
 
 @pytest.mark.parametrize("fold", [512, 16])
-def test_suppression_equals_a_greedy_loop(spark, fold):
+def test_suppression_equals_a_greedy_loop(spark, fold, monkeypatch):
+    """With ``fold`` 16 the hot frame goes through rounds and its keys are salted."""
+    monkeypatch.setattr(g, "MIN_HEAVY", 10)
+    monkeypatch.setattr(g, "HEAVY_SHARE", 20)
     rows = random_boxes(400, 200)
     boxes = spark.createDataFrame([tuple(r.values()) for r in rows], BOXES).coalesce(2)
     want = greedy(rows)

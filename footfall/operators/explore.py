@@ -44,11 +44,28 @@ def people_per_frame(silver: DataFrame, limit: int | None = None) -> DataFrame:
     return counts.orderBy("frame_index").limit(limit) if limit else counts
 
 
-def conf_percentiles(silver: DataFrame, accuracy: int = 1_000_000) -> DataFrame:
-    points = F.percentile_approx("conf", [0.1, 0.5, 0.9], accuracy)
-    return silver.agg(points.alias("p")).select(
-        F.col("p")[0].alias("p10"), F.col("p")[1].alias("p50"), F.col("p")[2].alias("p90")
-    )
+def conf_percentiles(
+    silver: DataFrame, points: tuple[float, ...] = (0.1, 0.5, 0.9), steps: int = 1_000_000
+) -> DataFrame:
+    """Confidence percentiles (the smallest value that covers a share of the rows).
+
+    Confidence lies in [0, 1], so a histogram of ``steps`` bins has a fixed size
+    whatever the table: it is counted on the map side, and only the bins are
+    summed up in one place.  The answer is exact where a bin holds one value and
+    off by less than a bin elsewhere.
+    """
+    bins = silver.where(F.col("conf").isNotNull()).groupBy(
+        F.floor(F.col("conf") * F.lit(steps)).alias("bin")
+    ).agg(F.count(F.lit(1)).alias("n"), F.min("conf").alias("value"))
+    everything = Window.partitionBy()
+    ranked = bins.withColumns({
+        "upto": F.sum("n").over(everything.orderBy("bin")), "all": F.sum("n").over(everything),
+    })
+    return ranked.agg(*[
+        F.min(F.when(F.col("upto") >= F.ceil(F.round(F.col("all") * F.lit(p), 6)), F.col("value")))
+        .alias(f"p{round(100 * p)}")
+        for p in points
+    ])
 
 
 def ts_gaps(silver: DataFrame, first: int = 20) -> DataFrame:

@@ -137,8 +137,13 @@ def _stored(leaders: DataFrame) -> DataFrame:
 
 
 def _judge(leaders: DataFrame, group: list[str], iou: float, fold: int) -> DataFrame:
-    """Verdict per leader: ``by`` is NULL for kept ones."""
+    """Verdict per leader: ``by`` is NULL for kept ones.
+
+    ``fold`` stays below the size up to which Spark cuts a window before its
+    shuffle (1000).
+    """
     spark = leaders.sparkSession
+    fold = min(fold, 1000)
     leaders = leaders.drop("n")
     large = leaders.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold)
     if large.isEmpty():

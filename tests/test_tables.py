@@ -102,6 +102,14 @@ def test_distinct_counts_shuffle_on_group_and_track_first(silver):
     assert "track_id" in first
 
 
+def test_percentiles_against_a_sorted_list(spark):
+    values = [((i * 7919) % 1000) / 1000 for i in range(997)] + [0.25] * 500
+    table = spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in values])).alias("conf"))
+    got = x.conf_percentiles(table, points=(0.01, 0.1, 0.5, 0.9, 1.0)).first()
+    values.sort()
+    assert list(got) == [values[-(-int(p * 1000) * len(values) // 1000) - 1] for p in (0.01, 0.1, 0.5, 0.9, 1.0)]
+
+
 def test_top_k_is_not_a_full_sort(silver):
     text = plan(x.ts_gaps(silver))
     assert "TakeOrderedAndProject" in text or "GlobalLimit" in text

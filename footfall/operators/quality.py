@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.cleaning import trunc_to
@@ -53,15 +53,14 @@ def partition_stats(table: DataFrame, columns: list[str], k: int = 10, files: bo
     return table.groupBy(*columns).agg(*measures).orderBy(F.desc("record_count"), *columns).limit(k)
 
 
-def describe(spark: SparkSession, schema) -> DataFrame:
-    """Column names, types and places of a table as rows."""
-    rows = F.array(*[
+def describe(table: DataFrame) -> DataFrame:
+    """Places, names and types of a table's columns, and how many rows fill each."""
+    return table.agg(F.array(*[
         F.struct(
             F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-        ) for i, f in enumerate(schema.fields)
-    ])
-    return spark.range(1).select(F.inline(rows))
+            F.lit(f.dataType.simpleString()).alias("data_type"), F.count(f.name).alias("filled"),
+        ) for i, f in enumerate(table.schema.fields)
+    ]).alias("c")).select(F.inline("c"))
 
 
 # Fields every record must have; track_id, runtime and source_uri may be absent.

@@ -9,8 +9,6 @@ from __future__ import annotations
 from footfall.functions.labels import coco_names
 from footfall.plans.fixtures import F1, F2, IMG_H, IMG_W, render
 
-EDGE = "floor({c} + CAST(0.5 AS DOUBLE))"
-
 
 def _pixel(c: str) -> str:
     return f"CAST(greatest(CAST(0 AS DOUBLE), floor({c} + CAST(0.5 AS DOUBLE))) AS INTEGER)"
@@ -313,8 +311,10 @@ def oracle_sql() -> dict[str, str]:
         "silver_stream": silver,
         "silver_dedup": over("silver", "SELECT store_id, camera_id, frame_index, det_id, conf, track_id FROM silver"),
         "silver_batch": over("silver2", f"SELECT {SILVER2_COLUMNS} FROM silver2"),
-        "describe_silver": "SELECT CAST(p AS INTEGER) AS position, n AS column_name, t AS data_type FROM (VALUES "
-            + ", ".join(f"({i}, '{n}', '{k}')" for i, (n, k) in enumerate(STORED_SILVER)) + ") AS v(p, n, t)",
+        "describe_silver": over("silver", " UNION ALL ".join(
+            f"SELECT CAST({i} AS INTEGER) AS position, '{n}' AS column_name, '{k}' AS data_type, "
+            f"count({'*' if n in ('processing_ts', 'capture_date') else n}) AS filled FROM silver"
+            for i, (n, k) in enumerate(STORED_SILVER))),
         "label_lookup": _label_lookup(),
         # Gold
         "gold_minute_by_cam": gold["minute"],

@@ -115,10 +115,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settled(g.gold_minute_by_cam(silver))
 
 
-def _without(*columns: str):
-    return lambda df: df.drop(*columns)
-
-
 def queries() -> dict[str, Query]:
     stored = "processing_ts", "capture_date"
     out: dict[str, Query] = {
@@ -141,7 +137,7 @@ def queries() -> dict[str, Query]:
         "silver_dedup": _parsed(
             lambda t: s.silver_dedup(s.silver_clean(t)).select(*s.DEDUP_KEY, "conf", "track_id")),
         "silver_batch": _bronze(s.silver_batch),
-        "describe_silver": lambda sp, d: q.describe(sp, layers(sp, d).silver().schema),
+        "describe_silver": lambda sp, d: q.describe(layers(sp, d).silver()),
         "label_lookup": label_counts,
         # Gold
         **{name: _silver(make) for name, make in g.GOLD.items()},

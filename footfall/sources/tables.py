@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
-from footfall.schemas import TABLES, columns_of, table_schema
+from footfall.schemas import TABLES, table_schema
 
 # How each table is cut into folders; the date is derived from capture_ts.
 PARTITIONS = {
@@ -71,7 +71,3 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 def describe_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE {table}")
-
-
-def as_stored(df: DataFrame, name: str) -> DataFrame:
-    return df.select(*columns_of(name))

@@ -177,9 +177,3 @@ def _path(spark: SparkSession, path: str):
     """Hadoop path and its file system, so any cluster store works."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def latest(rows: DataFrame, key: list[str], version: str) -> DataFrame:
-    """Newest row per key of any versioned DataFrame."""
-    newest = Window.partitionBy(*key).orderBy(F.desc(version))
-    return rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from footfall.operators import gold as g
 from footfall.operators.bronze import bronze_ingest
 from footfall.operators.silver import silver_stream
-from footfall.schemas import KEYS, columns_of
+from footfall.schemas import KEYS, columns_of, struct_of
 from footfall.session import shared_dir
 from footfall.sources.frames import stream_jsonl
 from footfall.streaming.jobs import STAGE, VIEWS, Pipeline
-from footfall.streaming.keyed import KeyedTable, latest
-from footfall.schemas import struct_of
+from footfall.streaming.keyed import KeyedTable
 
 
 def now():
@@ -146,5 +145,3 @@ def test_keyed_table_reads_the_newest_row_and_hides_deleted_ones(spark):
     table.vacuum(spark)
     table.write(2, spark.sql("SELECT * FROM VALUES ('b', 7) AS t(k, v)"))
     assert rows(table.current(spark), ["k", "v"]) == [("a", 10), ("b", 7), ("c", 3)]
-    versions = spark.sql("SELECT * FROM VALUES ('a', 1, 1), ('a', 2, 2) AS t(k, v, n)")
-    assert rows(latest(versions, ["k"], "n"), ["k", "v"]) == [("a", 2)]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
 import tempfile
 import uuid
@@ -34,17 +36,32 @@ def build_session(app: str = "footfall", master: str | None = None, **extra) ->
     return builder.getOrCreate()
 
 
+_roots: dict[str, str] = {}  # application id -> folder, where the session names none
+
+
+def _root(spark: SparkSession) -> str:
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError(
+            f"spark.checkpoint.dir is not set and the master is {context.master}: "
+            "intermediate tables need a folder that all executors share")
+    if context.applicationId not in _roots:
+        root = tempfile.mkdtemp(prefix="footfall-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        _roots[context.applicationId] = root
+    return _roots[context.applicationId]
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
-    Only where the cluster names no such folder (tests, a laptop) is one made
-    for the session and written back to that setting.
+    Only a local session (tests, a laptop) may leave that setting out: it gets a
+    temporary folder, removed when the process ends. On a cluster the call fails.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="footfall-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+    return os.path.join(_root(spark), f"{purpose}-{uuid.uuid4().hex}")
 
 
 def carry_to_workers(*modules: str) -> None:

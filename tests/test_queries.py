@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from footfall.plans import oracles, registry
 from tests.oracle import TESTDATA, compare, connect
 
 SF = f"{TESTDATA}/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in registry.queries()}
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import exact_dedup, license_scan, mixing, url_rules
+from footfall.llm import exact_dedup, license_scan, mixing, simhash, url_rules
 from footfall.llm.common import table
 
 
@@ -22,12 +22,16 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.group_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_shares(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_license_scan, op2_exact_dedup, op4_url_rules, op10_mixing]
+    found = [op1_license_scan, op2_exact_dedup, op4_url_rules, op7_simhash, op10_mixing]
     return {f.__name__: f for f in found}
 
 

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import exact_dedup, license_scan, mixing, simhash, url_rules
-from footfall.llm.common import table
+from footfall.llm import decontaminate, exact_dedup, license_scan, mixing, simhash, url_rules
+from footfall.llm.common import LOWER, UPPER, table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_documents(table(spark, sf_dir, "documents"))
 
@@ -31,13 +35,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_license_scan, op2_exact_dedup, op4_url_rules, op7_simhash, op10_mixing]
+    found = [op1_license_scan, op2_exact_dedup, op4_url_rules, op6_decontaminate, op7_simhash, op10_mixing]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_license_scan": LICENSE_SCAN,
         "op2_exact_dedup": EXACT_DEDUP,
+        "op6_decontaminate": DECONTAMINATE,
     }
 
 
@@ -47,3 +53,81 @@ FROM (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id,
              count(*) OVER (PARTITION BY t) AS group_size
       FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
 """
+
+_WORDS = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+DECONTAMINATE = f"""
+WITH item_words AS (SELECT item_id, {_WORDS.format("lower(coalesce(text, ''))")} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(5, len(w)) AS k FROM item_words WHERE len(w) > 0),
+item_shingles AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM sized)),
+item_sizes AS (SELECT item_id, count(*) AS item_shingles FROM item_shingles GROUP BY 1),
+doc_words AS (SELECT doc_id, {_WORDS.format("lower(coalesce(text, ''))")} AS w FROM documents),
+doc_shingles AS (
+  SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT d.*, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM doc_words d, (SELECT DISTINCT k FROM sized) WHERE len(w) >= k))
+SELECT doc_id, item_id, count(*) / item_shingles AS containment, count(*) AS shared, item_shingles
+FROM doc_shingles JOIN item_shingles USING (k, s) JOIN item_sizes USING (item_id)
+GROUP BY doc_id, item_id, item_shingles HAVING count(*) >= ceil(0.8 * item_shingles - 1e-9)
+"""
+
+# Words stand between two spaces each, so that neighbouring matches share none.
+_BASE = ("under  the  mit  license", "apache  license  version  2", "cc  by  nc")
+_BASE_LABELS = ("mit", "apache-2", "cc-by-nc")
+# The other templates as patterns: label, kind, wording.
+_PATTERNS = (
+    ("mit", 1.0, "permission is hereby granted free of charge to any person obtaining a copy of this software"
+     " and( associated)? documentation files( the software)? to deal in the software without restriction"),
+    ("apache-2", 1.0, "licensed under the apache license version 2 0( the license)? you may not use this file"
+     " except in compliance with the license"),
+    ("gpl-3", 0.8, "gnu general public license( as published by the free software foundation)?( either)? version 3"),
+    ("gpl-2", 0.8, "gnu general public license( as published by the free software foundation)?( either)? version 2"),
+    ("lgpl", 0.8, "gnu (lesser|library) general public license"),
+    ("agpl-3", 0.8, "gnu affero general public license"),
+    ("mpl-2", 0.8, "mozilla public license( version| v)? 2"),
+    ("bsd", 0.8, "under the( [^ ]+)? bsd( [^ ]+){0,2} license"),
+    ("bsd", 1.0, "redistribution and use in source and binary forms with or without modification are permitted"
+     " provided that the following conditions are met"),
+    ("isc", 1.0, "permission to use copy modify and( or)? distribute this software for any purpose with or"
+     " without fee is hereby granted provided that the above copyright notice and this permission notice"
+     " appear in all copies"),
+    ("zlib", 1.0, "this software is provided as is without any express or implied warranty in no event will the"
+     " authors be held liable for any damages arising from the use of this software"),
+    ("cc-by-sa", 0.8, "cc by sa"),
+    ("cc-by-nd", 0.8, "cc by nd"),
+    ("cc-by", 0.8, "cc by (1|2|3|4)"),
+    ("cc0", 0.8, "(cc0|cc zero)"),
+    ("unlicense", 1.0, "this is free and unencumbered software released into the public domain"),
+)
+
+
+def _license_sql() -> str:
+    place = lambda p: f"strpos(s, ' {p} ')"
+    back = lambda p: f"strpos(reverse(s), reverse(' {p} '))"
+    before = lambda p: f"len(regexp_extract_all(left(s, {place(p)} - 1), '[^ ]+'))"
+    behind = lambda p: f"len(regexp_extract_all(right(s, {back(p)} - 1), '[^ ]+'))"
+    count = lambda p: f"(len(s) - len(replace(s, ' {p} ', ''))) / len(' {p} ')"
+    firsts = ", ".join(f"CASE WHEN {place(p)} > 0 THEN {before(p)} END" for p in _BASE)
+    lasts = ", ".join(
+        f"CASE WHEN {place(p)} > 0 THEN n_words - {behind(p)} - {len(p.split())} END" for p in _BASE)
+    base = ", ".join(f"CASE WHEN {place(p)} > 0 THEN '{label}' END" for p, label in zip(_BASE, _BASE_LABELS))
+    more = ", ".join(f"CASE WHEN regexp_matches(plain, ' {p} ') THEN '{label}' END" for label, _, p in _PATTERNS)
+    texts = " OR ".join(f"regexp_matches(plain, ' {p} ')" for _, score, p in _PATTERNS if score == 1.0)
+    lowered = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    joined = "array_to_string(list_sort(list_distinct([{}])), ',')"
+    return f"""
+WITH words AS (SELECT doc_id, {_WORDS.format(lowered)} AS w FROM documents),
+lines AS (SELECT doc_id, len(w) AS n_words, ' ' || array_to_string(w, '  ') || ' ' AS s,
+                 ' ' || array_to_string(w, ' ') || ' ' AS plain FROM words)
+SELECT doc_id, n_words, CAST({" + ".join(map(count, _BASE))} AS BIGINT) AS n_base,
+       list_min([{firsts}]) AS first_word, list_max([{lasts}]) AS last_word,
+       {joined.format(base)} AS base_labels, {joined.format(base + ", " + more)} AS labels,
+       CASE WHEN {texts} THEN CAST(1 AS DOUBLE) WHEN {joined.format(base + ", " + more)} <> '' THEN CAST(0.8 AS DOUBLE)
+            ELSE CAST(0 AS DOUBLE) END AS score
+FROM lines
+"""
+
+
+LICENSE_SCAN = _license_sql()

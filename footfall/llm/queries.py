@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from footfall.llm import decontaminate, exact_dedup, license_scan, mixing, simhash, url_rules
-from footfall.llm.common import LOWER, UPPER, table
+from footfall.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, simhash, toxicity, url_rules
+from footfall.llm.common import LOWER, UPPER, id_remainder, table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign_owners(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(id_remainder(F.col("doc_id"), 3) != 1))
+    return language_id.predict(docs, model).select(
+        "doc_id", (id_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -30,12 +38,19 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder(F.col("doc_id"), 5) == 0
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", "finds")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_shares(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_license_scan, op2_exact_dedup, op4_url_rules, op6_decontaminate, op7_simhash, op10_mixing]
+    found = [op1_license_scan, op2_exact_dedup, op3_language_id, op4_url_rules, op6_decontaminate, op7_simhash, op9_toxicity, op10_mixing]
     return {f.__name__: f for f in found}
 
 

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, simhash, toxicity, url_rules
+from footfall.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    simhash,
+    site_quality,
+    token_counts,
+    toxicity,
+    url_rules,
+)
 from footfall.llm.common import LOWER, UPPER, id_remainder, table
 
 
@@ -30,6 +41,10 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,6 +53,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder(F.col("doc_id"), 5) == 0
+    scored = site_quality.score_quality(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out))
+    return scored.withColumn("held_out", held_out)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), id_remainder(F.col("doc_id"), 5) == 0
     model = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
@@ -50,7 +72,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_license_scan, op2_exact_dedup, op3_language_id, op4_url_rules, op6_decontaminate, op7_simhash, op9_toxicity, op10_mixing]
+    found = [op1_license_scan, op2_exact_dedup, op3_language_id, op4_url_rules, op5_token_counts,
+             op6_decontaminate, op7_simhash, op8_site_quality, op9_toxicity, op10_mixing]
     return {f.__name__: f for f in found}
 
 

@@ -36,7 +36,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import written
@@ -237,3 +237,169 @@ def group_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "fingerprint", F.coalesce("lowest", "low").alias("component_id")), "reached")
     return rows.join(final, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# ------------------------------------------------------------ similar texts
+
+SIMILARITY = 0.8
+SHINGLE_WORDS = 5
+WORD_RADIUS, WORD_PARTS = 9, 2  # bits between the word-set fingerprints of a proposed pair
+ALL_PAIRS = 512                 # members of a bucket up to which every pair is looked at once
+NEAREST = 8                     # beyond: the nearest of each member, and links that connect all
+
+
+def word_set_fingerprint(words: list[bytes]) -> int:
+    """The fingerprint of the distinct words. Where shingles are similar to 0.8, word sets
+    are to about 0.95, so their fingerprints differ in few bits."""
+    found = [xxhash.xxh64_digest(w, SEED) for w in sorted(set(words))]
+    return majority(np.frombuffer(b"".join(found), np.uint8).reshape(-1, 8))
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [_fold(t.as_py()) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([word_set_fingerprint(w) for w in words], pa.int64()),
+             pa.array([len(w) for w in words], pa.int64())], ["content", "fingerprint", "n_words"])
+
+
+def _shingle_sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingle_hashes(_fold(t.as_py()), size).reshape(-1).view(np.int64))
+                     for t in batch.column(1)]
+            lengths = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
+            values = pa.array(np.concatenate(found) if found else np.empty(0, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(lengths), values)], ["content", "shingles"])
+    return run
+
+
+def propose(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of positions within ``radius``: all of them in a small bucket, else each
+    member's ``NEAREST`` and links that connect whatever can be connected."""
+    if len(fp) <= ALL_PAIRS:
+        a, b = np.triu_indices(len(fp), 1)
+        near = np.bitwise_count(fp[a] ^ fp[b]) <= radius
+        return a[near], b[near]
+    left, right = [], []
+    for i in range(0, len(fp), 256):
+        apart = np.bitwise_count(fp[i:i + 256, None] ^ fp[None, :])
+        own = np.arange(len(apart))
+        apart[own, i + own] = 255
+        nearest = np.argpartition(apart, NEAREST, axis=1)[:, :NEAREST]
+        row, column = np.nonzero(np.take_along_axis(apart, nearest, 1) <= radius)
+        left.append(i + row)
+        right.append(nearest[row, column])
+    values, where = np.unique(fp, return_index=True)
+    for root, member in connect(values, radius):
+        left.append([where[np.searchsorted(values, np.uint64(root))]])
+        right.append([where[np.searchsorted(values, np.uint64(member))]])
+    return np.concatenate(left), np.concatenate(right)
+
+
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("fp", pa.int64()), ("n", pa.int64()), ("again", pa.bool_())])
+
+
+def _bucket_pairs(radius: int, masks: list[int], similarity: float, most: int):
+    """Proposed pairs ``a, b``; of an oversized bucket its rows, to be dealt again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = np.array(masks, np.uint64)
+
+        def emit(a, b, fp=None, n=None, again=False):
+            zero = np.zeros(len(a), np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a), pa.array(b), pa.array(zero if fp is None else fp), pa.array(zero if n is None else n),
+                 pa.array(np.full(len(a), again))], schema=_PAIR)
+
+        for (bucket, mask, fp, content, n), bounds, large in _runs(batches, most):
+            if large:
+                yield emit(bucket, content, fp, n, True)
+                continue
+            found = []
+            for start, stop in zip(bounds[:-1], bounds[1:]):
+                if stop - start < 2:
+                    continue
+                own = fp[start:stop].view(np.uint64)
+                a, b = propose(own, radius)
+                if not len(a):
+                    continue
+                if stop - start <= ALL_PAIRS and mask[start]:
+                    # A pair is proposed by the first table in which it meets.
+                    xor = own[a] ^ own[b]
+                    first = ((xor[:, None] & tables[None, :mask[start]]) != 0).all(1)
+                    a, b = a[first], b[first]
+                size_a, size_b = n[start + a], n[start + b]
+                alike = np.minimum(size_a, size_b) >= 0.8 * similarity * np.maximum(size_a, size_b)
+                found.append((content[start + a[alike]], content[start + b[alike]]))
+            if found:
+                a, b = (np.concatenate(x) for x in zip(*found))
+                if len(a):
+                    yield emit(np.minimum(a, b), np.maximum(a, b))
+    return run
+
+
+def _propose_pairs(rows: DataFrame, radius: int, parts: int, similarity: float, most: int = BUCKET_ROWS) -> DataFrame:
+    found, level, above = None, 1, None
+    while True:
+        masks = covering_masks(radius, parts, seed=level)
+        dealt = bucketed(rows, F.col("fingerprint"), masks, above).select(
+            "bucket", "mask", "fingerprint", "content", "n_words")
+        out = written(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+            _bucket_pairs(radius, masks, similarity, most if level < 4 else 1 << 62),
+            "a long, b long, fp long, n long, again boolean"), "proposed")
+        pairs = out.where("NOT again").select("a", "b")
+        found = pairs if found is None else found.unionByName(pairs)
+        again = out.where("again")
+        if level == 4 or again.isEmpty():
+            return found.where("a <> b").distinct()
+        level += 1
+        rows = again.select(F.col("a").alias("above"), F.col("fp").alias("fingerprint"),
+                            F.col("b").alias("content"), F.col("n").alias("n_words"))
+        above = F.col("above")
+
+
+def similar_pairs(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
+                  radius: int = WORD_RADIUS, parts: int = WORD_PARTS) -> DataFrame:
+    """Pairs ``a, b, similarity`` of contents (hashes of different texts) whose word shingles
+    have a Jaccard similarity of ``similarity`` or more, by exact comparison of proposed pairs."""
+    texts = docs.select(_content(docs[text]).alias("content"), docs[text].alias("text"))
+    rows = written(texts.mapInArrow(_sketches, "content long, fingerprint long, n_words long").groupBy(
+        "content").agg(F.first("fingerprint").alias("fingerprint"), F.first("n_words").alias("n_words")), "sketches")
+    pairs = written(_propose_pairs(rows.where("n_words > 0"), radius, parts, similarity), "pairs")
+    wanted = pairs.select(F.col("a").alias("content")).union(pairs.select("b")).distinct()
+    met = texts.join(wanted.hint("merge"), "content", "left_semi")
+    sets = written(met.mapInArrow(_shingle_sets(words), "content long, shingles array<long>").dropDuplicates(["content"]),
+                   "shingles")
+    left = sets.withColumnsRenamed({"content": "a", "shingles": "sa"})
+    right = sets.withColumnsRenamed({"content": "b", "shingles": "sb"})
+    shared = F.size(F.array_intersect("sa", "sb"))
+    both = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", (shared / (F.size("sa") + F.size("sb") - shared)).alias("similarity"))
+    return both.where(F.col("similarity") >= similarity)
+
+
+def _content(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """One row of each group of similar texts, with all columns: the one with the smallest id.
+
+    Texts are similar as in ``similar_pairs`` or through others; equal texts are, too. A text
+    without words is similar to equal ones only. A null id ranks behind all others; rows
+    equal in text and id are thinned to the first by their other columns."""
+    groups = written(components(similar_pairs(docs, text, **how)), "groups")
+    rank = lambda c: F.struct(c.isNull().alias("missing"), c.cast("string").alias("text")) if (
+        docs.schema[doc_id].dataType.simpleString() == "string") else F.struct(c.isNull().alias("missing"), c.alias("id"))
+    ids = docs.select(_content(docs[text]).alias("content"), rank(docs[doc_id]).alias("rank"))
+    best = ids.groupBy("content").agg(F.min("rank").alias("rank"))
+    grouped = best.join(groups.withColumnRenamed("node", "content"), "content", "left")
+    grouped = grouped.withColumn("root", F.coalesce("root", "content"))
+    stay = grouped.groupBy("root").agg(F.min_by(F.struct("content", "rank"), F.struct("rank", "content")).alias("kept"))
+    stay = stay.select(F.col("kept.content").alias("_content"), F.col("kept.rank").alias("_rank"))
+    rows = docs.withColumns({"_content": _content(docs[text]), "_rank": rank(docs[doc_id])})
+    others = [F.col(f"`{c}`").asc_nulls_first() for c in docs.columns if c not in (doc_id, text)]
+    first = Window.partitionBy("_content", "_rank").orderBy(*(others or [F.lit(0)]))
+    rows = rows.withColumn("_repeat", F.row_number().over(first)).where("_repeat = 1")
+    return rows.join(stay, ["_content", "_rank"], "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

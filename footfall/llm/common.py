@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footfall.session import carry_to_workers, shared_dir
@@ -55,3 +55,16 @@ def bounded_sample(df: DataFrame, key: Column, rows: int, total: int, seed: int
         return df
     cut = int(rows / total * (1 << 32))
     return df.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 32)) < cut)
+
+
+def packed(docs: DataFrame) -> Column:
+    """All columns of a row as one struct, so that no helper column can clash with them."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
+def thinned(rows: DataFrame, docs: DataFrame, key: list[str], known: tuple[str, ...]) -> DataFrame:
+    """One of the rows ``(row, *key)`` with equal keys: the first by the columns that are not
+    ``known`` to be equal. Spark applies the filter before the shuffle as well."""
+    others = [F.col("row").getField(c).asc_nulls_first() for c in docs.columns if c not in known]
+    first = Window.partitionBy(*key).orderBy(*(others or [F.lit(0)]))
+    return rows.withColumn("repeat", F.row_number().over(first)).where("repeat = 1").drop("repeat")

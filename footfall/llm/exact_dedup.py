@@ -22,9 +22,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.common import packed, thinned
 from footfall.session import carry_to_workers
 
 carry_to_workers(__name__)
@@ -185,10 +186,7 @@ def keep_owners(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     id_key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     owners = text_owners(docs, doc_id, text).select(
-        F.col("text_sha256").alias("_sha"),
-        id_key(F.col("high" if keep == "max" else "low")).alias("_id"))
-    rows = docs.withColumns({"_sha": _sha(docs[text]), "_id": id_key(docs[doc_id].cast("long"))})
-    others = [F.col(f"`{c}`").asc_nulls_first() for c in docs.columns if c not in (doc_id, text)]
-    first = Window.partitionBy("_sha", "_id").orderBy(*(others or [F.lit(0)]))
-    rows = rows.withColumn("_repeat", F.row_number().over(first)).where("_repeat = 1")
-    return rows.join(owners, ["_sha", "_id"], "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+        F.col("text_sha256").alias("sha"), id_key(F.col("high" if keep == "max" else "low")).alias("id"))
+    rows = docs.select(packed(docs), _sha(docs[text]).alias("sha"), id_key(docs[doc_id].cast("long")).alias("id"))
+    first = thinned(rows, docs, ["sha", "id"], (doc_id, text))
+    return first.join(owners, ["sha", "id"], "left_semi").select("row.*")

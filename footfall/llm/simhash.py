@@ -36,10 +36,10 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import written
+from footfall.llm.common import packed, thinned, written
 from footfall.llm.components import components
 from footfall.session import carry_to_workers
 
@@ -244,8 +244,8 @@ def group_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 SIMILARITY = 0.8
 SHINGLE_WORDS = 5
 WORD_RADIUS, WORD_PARTS = 9, 2  # bits between the word-set fingerprints of a proposed pair
-ALL_PAIRS = 512                 # members of a bucket up to which every pair is looked at once
-NEAREST = 8                     # beyond: the nearest of each member, and links that connect all
+ALL_PAIRS = 512                 # members of a bucket up to which every pair is proposed
+NEAREST = 8                     # beyond: the nearest of each member first, more in further rounds
 
 
 def word_set_fingerprint(words: list[bytes]) -> int:
@@ -275,55 +275,55 @@ def _shingle_sets(size: int):
     return run
 
 
-def propose(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of positions within ``radius``: all of them in a small bucket, else each
-    member's ``NEAREST`` and links that connect whatever can be connected."""
+def propose(fp: np.ndarray, root: np.ndarray, radius: int, nearest: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs of positions within ``radius`` whose roots differ, and whether some are left out.
+
+    A small bucket gives all of them, a large one those of each member with its
+    ``nearest`` others; so a dense group takes few pairs a member, not all."""
     if len(fp) <= ALL_PAIRS:
         a, b = np.triu_indices(len(fp), 1)
-        near = np.bitwise_count(fp[a] ^ fp[b]) <= radius
-        return a[near], b[near]
-    left, right = [], []
+        near = (np.bitwise_count(fp[a] ^ fp[b]) <= radius) & (root[a] != root[b])
+        return a[near], b[near], False
+    left, right, more = [], [], False
+    nearest = min(nearest, len(fp) - 1)
     for i in range(0, len(fp), 256):
         apart = np.bitwise_count(fp[i:i + 256, None] ^ fp[None, :])
-        own = np.arange(len(apart))
-        apart[own, i + own] = 255
-        nearest = np.argpartition(apart, NEAREST, axis=1)[:, :NEAREST]
-        row, column = np.nonzero(np.take_along_axis(apart, nearest, 1) <= radius)
+        apart[root[i:i + 256, None] == root[None, :]] = 255
+        more |= bool(((apart <= radius).sum(1) > nearest).any())
+        best = np.argpartition(apart, nearest, axis=1)[:, :nearest]
+        row, column = np.nonzero(np.take_along_axis(apart, best, 1) <= radius)
         left.append(i + row)
-        right.append(nearest[row, column])
-    values, where = np.unique(fp, return_index=True)
-    for root, member in connect(values, radius):
-        left.append([where[np.searchsorted(values, np.uint64(root))]])
-        right.append([where[np.searchsorted(values, np.uint64(member))]])
-    return np.concatenate(left), np.concatenate(right)
+        right.append(best[row, column])
+    return np.concatenate(left), np.concatenate(right), more
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("fp", pa.int64()), ("n", pa.int64()), ("again", pa.bool_())])
+_PAIR = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("fp", pa.int64()),
+                   ("n", pa.int64()), ("root", pa.int64())])
+_PROPOSED, _AGAIN, _MORE = 0, 1, 2
 
 
-def _bucket_pairs(radius: int, masks: list[int], similarity: float, most: int):
-    """Proposed pairs ``a, b``; of an oversized bucket its rows, to be dealt again."""
+def _bucket_pairs(radius: int, masks: list[int], similarity: float, most: int, nearest: int):
+    """Rows of three kinds: proposed pairs ``a, b``; the rows of an oversized bucket, to be
+    dealt again; contents ``a`` of buckets in which pairs were left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.array(masks, np.uint64)
 
-        def emit(a, b, fp=None, n=None, again=False):
+        def emit(kind, a, b=None, fp=None, n=None, root=None):
             zero = np.zeros(len(a), np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(b), pa.array(zero if fp is None else fp), pa.array(zero if n is None else n),
-                 pa.array(np.full(len(a), again))], schema=_PAIR)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), *(
+                pa.array(zero if x is None else x) for x in (a, b, fp, n, root))], schema=_PAIR)
 
-        for (bucket, mask, fp, content, n), bounds, large in _runs(batches, most):
+        for (bucket, mask, fp, content, n, root), bounds, large in _runs(batches, most):
             if large:
-                yield emit(bucket, content, fp, n, True)
+                yield emit(_AGAIN, bucket, content, fp, n, root)
                 continue
             found = []
-            for start, stop in zip(bounds[:-1], bounds[1:]):
-                if stop - start < 2:
-                    continue
+            many = np.diff(bounds) > 1
+            for start, stop in zip(bounds[:-1][many], bounds[1:][many]):
                 own = fp[start:stop].view(np.uint64)
-                a, b = propose(own, radius)
-                if not len(a):
-                    continue
+                a, b, more = propose(own, root[start:stop], radius, nearest)
+                if more:
+                    yield emit(_MORE, content[start:stop])
                 if stop - start <= ALL_PAIRS and mask[start]:
                     # A pair is proposed by the first table in which it meets.
                     xor = own[a] ^ own[b]
@@ -335,38 +335,35 @@ def _bucket_pairs(radius: int, masks: list[int], similarity: float, most: int):
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found))
                 if len(a):
-                    yield emit(np.minimum(a, b), np.maximum(a, b))
+                    yield emit(_PROPOSED, np.minimum(a, b), np.maximum(a, b))
     return run
 
 
-def _propose_pairs(rows: DataFrame, radius: int, parts: int, similarity: float, most: int = BUCKET_ROWS) -> DataFrame:
-    found, level, above = None, 1, None
+def _propose_pairs(rows: DataFrame, radius: int, parts: int, similarity: float, nearest: int,
+                   most: int) -> tuple[DataFrame, DataFrame]:
+    """Proposed pairs ``a, b``, and the contents of buckets that left pairs out."""
+    found, left_out, level, above = None, None, 1, None
     while True:
         masks = covering_masks(radius, parts, seed=level)
         dealt = bucketed(rows, F.col("fingerprint"), masks, above).select(
-            "bucket", "mask", "fingerprint", "content", "n_words")
+            "bucket", "mask", "fingerprint", "content", "n_words", "root")
         out = written(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-            _bucket_pairs(radius, masks, similarity, most if level < 4 else 1 << 62),
-            "a long, b long, fp long, n long, again boolean"), "proposed")
-        pairs = out.where("NOT again").select("a", "b")
+            _bucket_pairs(radius, masks, similarity, most if level < 4 else 1 << 62, nearest),
+            "kind int, a long, b long, fp long, n long, root long"), "proposed")
+        pairs, more = out.where(F.col("kind") == _PROPOSED).select("a", "b"), out.where(F.col("kind") == _MORE).select("a")
         found = pairs if found is None else found.unionByName(pairs)
-        again = out.where("again")
+        left_out = more if left_out is None else left_out.unionByName(more)
+        again = out.where(F.col("kind") == _AGAIN)
         if level == 4 or again.isEmpty():
-            return found.where("a <> b").distinct()
+            return found.where("a <> b").distinct(), left_out.select(F.col("a").alias("content")).distinct()
         level += 1
         rows = again.select(F.col("a").alias("above"), F.col("fp").alias("fingerprint"),
-                            F.col("b").alias("content"), F.col("n").alias("n_words"))
+                            F.col("b").alias("content"), F.col("n").alias("n_words"), "root")
         above = F.col("above")
 
 
-def similar_pairs(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
-                  radius: int = WORD_RADIUS, parts: int = WORD_PARTS) -> DataFrame:
-    """Pairs ``a, b, similarity`` of contents (hashes of different texts) whose word shingles
-    have a Jaccard similarity of ``similarity`` or more, by exact comparison of proposed pairs."""
-    texts = docs.select(_content(docs[text]).alias("content"), docs[text].alias("text"))
-    rows = written(texts.mapInArrow(_sketches, "content long, fingerprint long, n_words long").groupBy(
-        "content").agg(F.first("fingerprint").alias("fingerprint"), F.first("n_words").alias("n_words")), "sketches")
-    pairs = written(_propose_pairs(rows.where("n_words > 0"), radius, parts, similarity), "pairs")
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets are similar, by comparing the sets."""
     wanted = pairs.select(F.col("a").alias("content")).union(pairs.select("b")).distinct()
     met = texts.join(wanted.hint("merge"), "content", "left_semi")
     sets = written(met.mapInArrow(_shingle_sets(words), "content long, shingles array<long>").dropDuplicates(["content"]),
@@ -379,6 +376,31 @@ def similar_pairs(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORD
     return both.where(F.col("similarity") >= similarity)
 
 
+def similar_groups(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
+                   radius: int = WORD_RADIUS, parts: int = WORD_PARTS, most: int = BUCKET_ROWS) -> DataFrame:
+    """``node, root`` for contents (hashes of texts) that are similar to another one: two texts
+    are linked if their word shingles have a Jaccard similarity of ``similarity`` or more.
+
+    Pairs within the fingerprint radius are proposed, and decided by exact comparison. Where a
+    dense bucket left pairs out, further rounds propose more of those that are not yet in one
+    group, until none is left."""
+    texts = docs.select(_content(docs[text]).alias("content"), docs[text].alias("text"))
+    sketches = written(texts.mapInArrow(_sketches, "content long, fingerprint long, n_words long").groupBy(
+        "content").agg(F.first("fingerprint").alias("fingerprint"), F.first("n_words").alias("n_words")), "sketches")
+    rows, links, nearest = sketches.where("n_words > 0").withColumn("root", F.col("content")), None, NEAREST
+    while True:
+        pairs, left_out = _propose_pairs(rows, radius, parts, similarity, nearest, most)
+        new = written(_verified(written(pairs, "pairs"), texts, words, similarity).select("a", "b"), "similar")
+        links = new if links is None else links.unionByName(new)
+        groups = written(components(links), "groups")
+        if left_out.isEmpty():
+            return groups
+        nearest *= 8
+        rows = sketches.join(left_out, "content").join(
+            groups.withColumnRenamed("node", "content"), "content", "left").withColumn(
+            "root", F.coalesce("root", "content"))
+
+
 def _content(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
@@ -386,20 +408,17 @@ def _content(text: Column) -> Column:
 def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """One row of each group of similar texts, with all columns: the one with the smallest id.
 
-    Texts are similar as in ``similar_pairs`` or through others; equal texts are, too. A text
+    Texts are similar as in ``similar_groups`` or through others; equal texts are, too. A text
     without words is similar to equal ones only. A null id ranks behind all others; rows
     equal in text and id are thinned to the first by their other columns."""
-    groups = written(components(similar_pairs(docs, text, **how)), "groups")
-    rank = lambda c: F.struct(c.isNull().alias("missing"), c.cast("string").alias("text")) if (
-        docs.schema[doc_id].dataType.simpleString() == "string") else F.struct(c.isNull().alias("missing"), c.alias("id"))
+    groups = similar_groups(docs, text, **how)
+    rank = lambda c: F.struct(c.isNull().alias("missing"), c.alias("id"))
     ids = docs.select(_content(docs[text]).alias("content"), rank(docs[doc_id]).alias("rank"))
     best = ids.groupBy("content").agg(F.min("rank").alias("rank"))
     grouped = best.join(groups.withColumnRenamed("node", "content"), "content", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "content"))
     stay = grouped.groupBy("root").agg(F.min_by(F.struct("content", "rank"), F.struct("rank", "content")).alias("kept"))
-    stay = stay.select(F.col("kept.content").alias("_content"), F.col("kept.rank").alias("_rank"))
-    rows = docs.withColumns({"_content": _content(docs[text]), "_rank": rank(docs[doc_id])})
-    others = [F.col(f"`{c}`").asc_nulls_first() for c in docs.columns if c not in (doc_id, text)]
-    first = Window.partitionBy("_content", "_rank").orderBy(*(others or [F.lit(0)]))
-    rows = rows.withColumn("_repeat", F.row_number().over(first)).where("_repeat = 1")
-    return rows.join(stay, ["_content", "_rank"], "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    stay = stay.select("kept.content", "kept.rank")
+    rows = docs.select(packed(docs), _content(docs[text]).alias("content"), rank(docs[doc_id]).alias("rank"))
+    first = thinned(rows, docs, ["content", "rank"], (doc_id, text))
+    return first.join(stay, ["content", "rank"], "left_semi").select("row.*")

@@ -63,12 +63,12 @@ def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS,
                    max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """``source, source_size, target`` of ``sizes (source, size)``.
+    """``source, source_size, target`` of ``sizes (source, size, copies)``.
 
     Weights repeat over the sources in code-point order, null last. A target is
     ``min(max_repeats x size, weight x level)``; the level is raised until the targets
     share all sizes."""
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sources = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     placed = ranked(sources, [F.col("source").isNull().asc(), F.col("source").asc()], "place")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
     placed = written(placed.select("source", "source_size", weight.alias("weight"),
@@ -104,6 +104,9 @@ def place_documents(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
         "_bucket", "_source", "_b", "_start", "_inside", "_all", "_copy", "copies")
 
 
+_GOLDEN = 0x9E3779B97F4A7C15
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: multiply and shift until all bits depend on all bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -126,7 +129,7 @@ def permute(index: np.ndarray, size: np.ndarray, key: np.ndarray, rounds: int =
         mask = (np.uint64(1) << half) - np.uint64(1)
         left, right = x >> half, x & mask
         for r in range(rounds):
-            left, right = right, left ^ (_mix(right + key[todo] + np.uint64(r) * np.uint64(0x9E3779B97F4A7C15)) & mask)
+            left, right = right, left ^ (_mix(right + key[todo] + np.uint64(r * _GOLDEN & (1 << 64) - 1)) & mask)
         out[todo] = (left << half) | right
         todo = todo[out[todo] >= size[todo]]
     return out.astype(np.int64)
@@ -215,7 +218,9 @@ def mix_shares(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
     part = F.aggregate(F.coalesce("lengths", F.array().cast("array<bigint>")), F.lit(0).cast("long"),
                        lambda total, n: total + F.greatest(
                            F.lit(0).cast("long"), F.least(n, F.col("high")) - F.col("low")))
-    taken = pieces.join(takes, _same_block(pieces, takes), "left").groupBy("source", "at").agg(
+    # Slots unfold from the small table of sources, so their number is hidden from the
+    # planner; without the hint it would broadcast them.
+    taken = pieces.join(takes.hint("merge"), _same_block(pieces, takes), "left").groupBy("source", "at").agg(
         F.any_value("doc_id").alias("doc_id"), F.any_value("size").alias("size"), F.sum(part).alias("taken"))
     empty = placed.where("size = 0").select("source", "at", "doc_id", "size", F.lit(0).cast("long").alias("taken"))
     shares, goal = taken.unionByName(empty), targets.withColumnRenamed("source", "_source")
@@ -266,7 +271,7 @@ def mix_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sour
         _cut(block_tokens), f"doc_id {kind}, source string, block long, low long, high long, piece string")
     taken = F.least(F.col("tokens"), F.col("high")) - F.col("low")
     words = F.split("piece", " ")
-    return pieces.join(slots, _same_block(pieces, slots)).where("tokens > low").select(
+    return pieces.join(slots.hint("merge"), _same_block(pieces, slots)).where("tokens > low").select(
         "shard", "source", "slot", "block", "low", "doc_id", taken.alias("n_words"),
         F.when(F.col("tokens") >= F.col("high"), F.col("piece")).otherwise(
             F.array_join(F.slice(words, F.lit(1), taken.cast("int")), " ")).alias("text"))

@@ -47,7 +47,7 @@ carry_to_workers(__name__)
 
 BITS = 64
 SEED = 42
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 50_000  # of one bucket that a task holds
 _CHUNK = 1 << 16
 
 
@@ -244,8 +244,10 @@ def group_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 SIMILARITY = 0.8
 SHINGLE_WORDS = 5
 WORD_RADIUS, WORD_PARTS = 9, 2  # bits between the word-set fingerprints of a proposed pair
-ALL_PAIRS = 512                 # members of a bucket up to which every pair is proposed
-NEAREST = 8                     # beyond: the nearest of each member first, more in further rounds
+MIN_BITS = 256                  # bits of a second sketch of the shingles, one MinHash each
+ALL_PAIRS = 64                  # members of a bucket up to which every pair is proposed
+NEAREST = 4                     # beyond: the nearest of each member; the rest goes by blocks
+BLOCK_ROWS = 1_000              # texts of a dense cluster that are compared with as many others
 
 
 def word_set_fingerprint(words: list[bytes]) -> int:
@@ -255,12 +257,40 @@ def word_set_fingerprint(words: list[bytes]) -> int:
     return majority(np.frombuffer(b"".join(found), np.uint8).reshape(-1, 8))
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        words = [_fold(t.as_py()) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([word_set_fingerprint(w) for w in words], pa.int64()),
-             pa.array([len(w) for w in words], pa.int64())], ["content", "fingerprint", "n_words"])
+_rng = np.random.default_rng(17)
+_FACTORS = _rng.integers(0, 1 << 31, MIN_BITS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_SHIFTS = _rng.integers(0, 1 << 32, MIN_BITS, dtype=np.uint32)
+SKETCH = ["s0", "s1", "s2", "s3"]
+
+
+def min_bits(hashes: np.ndarray) -> np.ndarray:
+    """One bit of each of ``MIN_BITS`` MinHashes, as four numbers. Bits of two texts differ
+    with a probability of (1 - similarity) / 2."""
+    codes = np.ascontiguousarray(hashes).view(np.uint32).reshape(-1, 2)[:, 0]
+    least = np.full(MIN_BITS, 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(codes), 1024):
+        least = np.minimum(least, (_FACTORS[:, None] * codes[None, i:i + 1024] + _SHIFTS[:, None]).min(1))
+    return np.packbits(least * np.uint32(0x9E3779B1) >> np.uint32(31)).view(np.int64)
+
+
+def most_mismatches(similarity: float) -> int:
+    """Bits in which texts of ``similarity`` differ, and 3.5 standard deviations more."""
+    p = (1 - similarity) / 2
+    return int(np.ceil(MIN_BITS * p + 3.5 * np.sqrt(MIN_BITS * p * (1 - p))))
+
+
+def _sketches(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [_fold(t.as_py()) for t in batch.column(1)]
+            bits = [min_bits(shingle_hashes(w, words)) for w in lists]
+            sketch = np.array(bits, np.int64).reshape(-1, len(SKETCH))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([word_set_fingerprint(w) for w in lists], pa.int64()),
+                 pa.array([len(w) for w in lists], pa.int64()),
+                 *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH)))],
+                ["content", "fingerprint", "n_words", *SKETCH])
+    return run
 
 
 def _shingle_sets(size: int):
@@ -275,55 +305,64 @@ def _shingle_sets(size: int):
     return run
 
 
-def propose(fp: np.ndarray, root: np.ndarray, radius: int, nearest: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Pairs of positions within ``radius`` whose roots differ, and whether some are left out.
+def propose(fp: np.ndarray, sketch: np.ndarray, radius: int, mismatches: int,
+            nearest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of positions within ``radius`` whose sketches agree but for ``mismatches`` bits,
+    and the members of pairs that are left out.
 
     A small bucket gives all of them, a large one those of each member with its
     ``nearest`` others; so a dense group takes few pairs a member, not all."""
-    if len(fp) <= ALL_PAIRS:
-        a, b = np.triu_indices(len(fp), 1)
-        near = (np.bitwise_count(fp[a] ^ fp[b]) <= radius) & (root[a] != root[b])
-        return a[near], b[near], False
-    left, right, more = [], [], False
-    nearest = min(nearest, len(fp) - 1)
+    left, right, more = [], [], []
     for i in range(0, len(fp), 256):
-        apart = np.bitwise_count(fp[i:i + 256, None] ^ fp[None, :])
-        apart[root[i:i + 256, None] == root[None, :]] = 255
-        more |= bool(((apart <= radius).sum(1) > nearest).any())
-        best = np.argpartition(apart, nearest, axis=1)[:, :nearest]
-        row, column = np.nonzero(np.take_along_axis(apart, best, 1) <= radius)
-        left.append(i + row)
-        right.append(best[row, column])
-    return np.concatenate(left), np.concatenate(right), more
-
-
-_PAIR = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("fp", pa.int64()),
-                   ("n", pa.int64()), ("root", pa.int64())])
+        row, column = np.nonzero(np.bitwise_count(fp[i:i + 256, None] ^ fp[None, :]) <= radius)
+        row += i
+        pick = row < column if len(fp) <= ALL_PAIRS else row != column
+        row, column = row[pick], column[pick]
+        apart = np.bitwise_count(sketch[row] ^ sketch[column]).sum(1, dtype=np.int64)
+        row, column, apart = row[apart <= mismatches], column[apart <= mismatches], apart[apart <= mismatches]
+        if len(fp) > ALL_PAIRS:
+            order = np.lexsort((apart, row))
+            row, column = row[order], column[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)  # among the pairs of its row
+            more.append(np.unique(row[place >= nearest]))
+            row, column = row[place < nearest], column[place < nearest]
+        left.append(row)
+        right.append(column)
+    return np.concatenate(left), np.concatenate(right), np.concatenate(more) if more else np.empty(0, np.int64)
+
+
+_NODE = ["fingerprint", "content", "n_words", *SKETCH]
+_PAIR = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), *((c, pa.int64()) for c in _NODE)])
 _PROPOSED, _AGAIN, _MORE = 0, 1, 2
 
 
 def _bucket_pairs(radius: int, masks: list[int], similarity: float, most: int, nearest: int):
     """Rows of three kinds: proposed pairs ``a, b``; the rows of an oversized bucket, to be
-    dealt again; contents ``a`` of buckets in which pairs were left out."""
+    dealt again; members ``a`` of left-out pairs with one, ``b``, that stands for their bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.array(masks, np.uint64)
 
-        def emit(kind, a, b=None, fp=None, n=None, root=None):
+        mismatches = most_mismatches(similarity)
+
+        def emit(kind, a, b=None, node=()):
             zero = np.zeros(len(a), np.int64)
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), *(
-                pa.array(zero if x is None else x) for x in (a, b, fp, n, root))], schema=_PAIR)
+                pa.array(x) for x in (a, zero if b is None else b, *(node or [zero] * len(_NODE))))], schema=_PAIR)
 
-        for (bucket, mask, fp, content, n, root), bounds, large in _runs(batches, most):
+        for (bucket, mask, *node), bounds, large in _runs(batches, most):
             if large:
-                yield emit(_AGAIN, bucket, content, fp, n, root)
+                yield emit(_AGAIN, bucket, None, node)
                 continue
+            fp, content, n = node[:3]
+            sketch = np.column_stack(node[3:])
             found = []
             many = np.diff(bounds) > 1
             for start, stop in zip(bounds[:-1][many], bounds[1:][many]):
                 own = fp[start:stop].view(np.uint64)
-                a, b, more = propose(own, root[start:stop], radius, nearest)
-                if more:
-                    yield emit(_MORE, content[start:stop])
+                a, b, more = propose(own, sketch[start:stop].view(np.uint64), radius, mismatches, nearest)
+                if len(more):
+                    members = content[start + more]
+                    yield emit(_MORE, members, np.full(len(members), members.min()))
                 if stop - start <= ALL_PAIRS and mask[start]:
                     # A pair is proposed by the first table in which it meets.
                     xor = own[a] ^ own[b]
@@ -339,35 +378,36 @@ def _bucket_pairs(radius: int, masks: list[int], similarity: float, most: int, n
     return run
 
 
-def _propose_pairs(rows: DataFrame, radius: int, parts: int, similarity: float, nearest: int,
-                   most: int) -> tuple[DataFrame, DataFrame]:
-    """Proposed pairs ``a, b``, and the contents of buckets that left pairs out."""
-    found, left_out, level, above = None, None, 1, None
+def _propose_pairs(rows: DataFrame, radius: int, parts: int, similarity: float, most: int) -> tuple[DataFrame, DataFrame]:
+    """Proposed pairs ``a, b``, and links ``a, b`` between members of left-out pairs."""
+    found, dense, level, above = None, None, 1, None
     while True:
         masks = covering_masks(radius, parts, seed=level)
-        dealt = bucketed(rows, F.col("fingerprint"), masks, above).select(
-            "bucket", "mask", "fingerprint", "content", "n_words", "root")
+        dealt = bucketed(rows, F.col("fingerprint"), masks, above).select("bucket", "mask", *_NODE)
         out = written(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-            _bucket_pairs(radius, masks, similarity, most if level < 4 else 1 << 62, nearest),
-            "kind int, a long, b long, fp long, n long, root long"), "proposed")
-        pairs, more = out.where(F.col("kind") == _PROPOSED).select("a", "b"), out.where(F.col("kind") == _MORE).select("a")
+            _bucket_pairs(radius, masks, similarity, most if level < 4 else 1 << 62, NEAREST),
+            "kind int, a long, b long, " + ", ".join(f"{c} long" for c in _NODE)), "proposed")
+        pairs, more = (out.where(F.col("kind") == k).select("a", "b").distinct() for k in (_PROPOSED, _MORE))
         found = pairs if found is None else found.unionByName(pairs)
-        left_out = more if left_out is None else left_out.unionByName(more)
+        dense = more if dense is None else dense.unionByName(more)
         again = out.where(F.col("kind") == _AGAIN)
         if level == 4 or again.isEmpty():
-            return found.where("a <> b").distinct(), left_out.select(F.col("a").alias("content")).distinct()
+            return found.where("a <> b").distinct(), dense.distinct()
         level += 1
-        rows = again.select(F.col("a").alias("above"), F.col("fp").alias("fingerprint"),
-                            F.col("b").alias("content"), F.col("n").alias("n_words"), "root")
+        rows = again.select(F.col("a").alias("above"), *_NODE)
         above = F.col("above")
 
 
+def _sets_of(wanted: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``content, shingles`` (sorted hashes of the distinct shingles) of the wanted contents."""
+    met = texts.join(wanted.hint("merge"), "content", "left_semi")
+    return met.mapInArrow(_shingle_sets(words), "content long, shingles array<long>").dropDuplicates(["content"])
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs whose shingle sets are similar, by comparing the sets."""
     wanted = pairs.select(F.col("a").alias("content")).union(pairs.select("b")).distinct()
-    met = texts.join(wanted.hint("merge"), "content", "left_semi")
-    sets = written(met.mapInArrow(_shingle_sets(words), "content long, shingles array<long>").dropDuplicates(["content"]),
-                   "shingles")
+    sets = written(_sets_of(wanted, texts, words), "shingles")
     left = sets.withColumnsRenamed({"content": "a", "shingles": "sa"})
     right = sets.withColumnsRenamed({"content": "b", "shingles": "sb"})
     shared = F.size(F.array_intersect("sa", "sb"))
@@ -376,29 +416,79 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return both.where(F.col("similarity") >= similarity)
 
 
+def _compare_blocks(radius: int, similarity: float):
+    """Links between the texts of two blocks that are not yet in one group, by exact comparison."""
+    def run(table: pa.Table) -> pa.Table:
+        mismatches = most_mismatches(similarity)
+        column = {c: table.column(c).to_numpy() for c in table.column_names if c != "shingles"}
+        sets = [s.values.to_numpy() for s in table.column("shingles").combine_chunks()]
+        fp, content = column["fingerprint"].view(np.uint64), column["content"]
+        sketch = np.column_stack([column[c] for c in SKETCH]).view(np.uint64)
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.get(x, x) != x:
+                parent[x] = x = parent.get(parent[x], parent[x])
+            return x
+
+        roots = column["root"].tolist()
+        links: list[tuple[int, int]] = []
+        two = len(set(column["block"].tolist())) > 1
+        for i in range(len(fp)):
+            near = np.flatnonzero(np.bitwise_count(fp[i + 1:] ^ fp[i]) <= radius) + i + 1
+            if two:
+                near = near[column["block"][near] != column["block"][i]]
+            apart = np.bitwise_count(sketch[near] ^ sketch[i]).sum(1, dtype=np.int64)
+            for j in near[np.argsort(apart)][:int((apart <= mismatches).sum())].tolist():
+                a, b = find(roots[i]), find(roots[j])
+                if a == b:
+                    continue
+                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if shared >= similarity * (len(sets[i]) + len(sets[j]) - shared):
+                    parent[a] = b
+                    links.append((int(content[i]), int(content[j])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+    return run
+
+
+def _dense_links(dense: DataFrame, sketches: DataFrame, groups: DataFrame, texts: DataFrame, words: int,
+                 similarity: float, radius: int) -> DataFrame:
+    """What is left out in dense buckets: their members are cut into blocks, and every two
+    blocks of a cluster meet in a task of their own. Pairs never leave it, only links do."""
+    named = components(dense)
+    alone = dense.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("root"))
+    clusters = written(named.unionByName(alone.join(named, "node", "left_anti")).select(
+        F.col("node").alias("content"), F.col("root").alias("cluster")).distinct(), "clusters")
+    size = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("long").alias("blocks"))
+    members = clusters.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("content"), F.col("blocks")))
+    rows = members.join(sketches, "content").join(groups.withColumnRenamed("node", "content"), "content", "left").join(
+        _sets_of(clusters.select("content"), texts, words), "content")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = rows.withColumn("root", F.coalesce("root", "content")).withColumn("other", other).select(
+        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", "content", "fingerprint", "root", *SKETCH, "shingles")
+    return dealt.groupBy("cluster", "low", "high").applyInArrow(_compare_blocks(radius, similarity), "a long, b long")
+
+
 def similar_groups(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
                    radius: int = WORD_RADIUS, parts: int = WORD_PARTS, most: int = BUCKET_ROWS) -> DataFrame:
     """``node, root`` for contents (hashes of texts) that are similar to another one: two texts
     are linked if their word shingles have a Jaccard similarity of ``similarity`` or more.
 
-    Pairs within the fingerprint radius are proposed, and decided by exact comparison. Where a
-    dense bucket left pairs out, further rounds propose more of those that are not yet in one
-    group, until none is left."""
+    Pairs within the fingerprint radius are proposed if a second sketch does not speak against
+    them, and decided by exact comparison. Dense buckets propose a few pairs a member; what
+    they leave out between texts that are not in one group by then is compared by blocks."""
     texts = docs.select(_content(docs[text]).alias("content"), docs[text].alias("text"))
-    sketches = written(texts.mapInArrow(_sketches, "content long, fingerprint long, n_words long").groupBy(
-        "content").agg(F.first("fingerprint").alias("fingerprint"), F.first("n_words").alias("n_words")), "sketches")
-    rows, links, nearest = sketches.where("n_words > 0").withColumn("root", F.col("content")), None, NEAREST
-    while True:
-        pairs, left_out = _propose_pairs(rows, radius, parts, similarity, nearest, most)
-        new = written(_verified(written(pairs, "pairs"), texts, words, similarity).select("a", "b"), "similar")
-        links = new if links is None else links.unionByName(new)
-        groups = written(components(links), "groups")
-        if left_out.isEmpty():
-            return groups
-        nearest *= 8
-        rows = sketches.join(left_out, "content").join(
-            groups.withColumnRenamed("node", "content"), "content", "left").withColumn(
-            "root", F.coalesce("root", "content"))
+    kinds = ["content", "fingerprint", "n_words", *SKETCH]
+    sketches = texts.mapInArrow(_sketches(words), ", ".join(f"{c} long" for c in kinds))
+    sketches = written(sketches.groupBy("content").agg(*(F.first(c).alias(c) for c in kinds[1:])), "sketches")
+    proposed, dense = _propose_pairs(sketches.where("n_words > 0"), radius, parts, similarity, most)
+    links = written(_verified(written(proposed, "pairs"), texts, words, similarity).select("a", "b"), "similar")
+    groups, dense = written(components(links), "groups"), written(dense, "dense")
+    if dense.isEmpty():
+        return groups
+    more = written(_dense_links(dense, sketches, groups, texts, words, similarity, radius), "dense-links")
+    return written(components(links.unionByName(more)), "groups")
 
 
 def _content(text: Column) -> Column:

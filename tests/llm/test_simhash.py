@@ -148,6 +148,7 @@ def test_similar_texts_against_brute_force(spark, most, monkeypatch):
     if most < 100:
         monkeypatch.setattr(S, "ALL_PAIRS", 2)
         monkeypatch.setattr(S, "NEAREST", 1)
+        monkeypatch.setattr(S, "BLOCK_ROWS", 2)
     rows = similar_texts()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = rows_of(S.drop_similar(docs, most=50_000 if most > 100 else 6))

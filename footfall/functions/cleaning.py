@@ -10,6 +10,7 @@ DEFAULT_CLASS = "person"
 # Spellings of "no class", compared without case.
 EMPTY_CLASS_WORDS = ["", "none", "null"]
 # Zoned ISO-8601 only; a local timestamp does not say when it happened.
+ISO = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?)?$"
 ZONED_ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$"
 
 
@@ -52,6 +53,18 @@ def zoned_timestamp(c: Column | str) -> Column:
     return F.when(text.rlike(ZONED_ISO), text.try_cast("timestamp"))
 
 
+def number(c: Column | str) -> Column:
+    """Text or number as a double; NULL for junk and for what is not a number."""
+    return F.nanvl(_col(c).try_cast("double"), F.lit(None).cast("double"))
+
+
+def batch_time(c: Column | str) -> Column:
+    """ISO text to the millisecond. Without a zone it is a time of the session's zone, a
+    date alone its midnight; NULL for anything else."""
+    text = _col(c)
+    return ntz_from_millis(F.unix_millis(F.when(text.rlike(ISO), text.try_cast("timestamp"))))
+
+
 def ntz_from_millis(millis: Column) -> Column:
     """Epoch milliseconds to a UTC wall-clock timestamp, whatever the session zone."""
     return F.timestamp_add("MILLISECOND", millis, F.lit("1970-01-01").cast("timestamp_ntz"))

@@ -11,6 +11,11 @@ from footfall.functions.cleaning import ntz_from_instant
 TABLE_VERSION = "v1"
 
 
+def _scalar(text: Column) -> Column:
+    """NULL where an object or a list stands in place of a value."""
+    return F.when(~text.startswith("{") & ~text.startswith("["), text)
+
+
 def bronze_ingest(raw: DataFrame, now: Column | None = None) -> DataFrame:
     """Raw text (column ``value``) to Bronze rows; malformed text is kept.
 
@@ -23,23 +28,20 @@ def bronze_ingest(raw: DataFrame, now: Column | None = None) -> DataFrame:
         F.lit(None).cast("string").alias("pipeline_run_id"),
         F.lit(None).cast("bigint").alias("frame_index"),
         F.col("value").alias("payload"),
-        F.col("r.source.camera_id").alias("camera_id"),
-        F.col("r.source.store_id").alias("store_id"),
+        _scalar(F.col("r.source.camera_id")).alias("camera_id"),
+        _scalar(F.col("r.source.store_id")).alias("store_id"),
         ntz_from_instant(instant).alias("ingest_ts"),
     )
 
 
 def bronze_sample(bronze: DataFrame, n: int = 10) -> DataFrame:
-    """A look at ``n`` rows, the same ones on every run."""
-    return bronze.orderBy("payload").limit(n)
+    """A look at ``n`` rows, whichever are found first; order before it for the same ones."""
+    return bronze.limit(n)
 
 
 def bronze_json_extract(bronze: DataFrame) -> DataFrame:
     """Capture time and detection list of each payload as JSON text."""
-    return bronze.select(
-        F.get_json_object("payload", "$.capture_ts").alias("ts"),
-        F.get_json_object("payload", "$.detections").alias("dets"),
-    )
+    return bronze.select(F.json_tuple("payload", "capture_ts", "detections").alias("ts", "dets"))
 
 
 def bronze_frame_counts(bronze: DataFrame) -> DataFrame:

@@ -45,27 +45,12 @@ def people_per_frame(silver: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def conf_percentiles(
-    silver: DataFrame, points: tuple[float, ...] = (0.1, 0.5, 0.9), steps: int = 1_000_000
+    silver: DataFrame, points: tuple[float, ...] = (0.1, 0.5, 0.9), accuracy: int = 100_000
 ) -> DataFrame:
-    """Confidence percentiles (the smallest value that covers a share of the rows).
-
-    Confidence lies in [0, 1], so a histogram of ``steps`` bins has a fixed size
-    whatever the table: it is counted on the map side, and only the bins are
-    summed up in one place.  The answer is exact where a bin holds one value and
-    off by less than a bin elsewhere.
-    """
-    bins = silver.where(F.col("conf").isNotNull()).groupBy(
-        F.floor(F.col("conf") * F.lit(steps)).alias("bin")
-    ).agg(F.count(F.lit(1)).alias("n"), F.min("conf").alias("value"))
-    everything = Window.partitionBy()
-    ranked = bins.withColumns({
-        "upto": F.sum("n").over(everything.orderBy("bin")), "all": F.sum("n").over(everything),
-    })
-    return ranked.agg(*[
-        F.min(F.when(F.col("upto") >= F.ceil(F.round(F.col("all") * F.lit(p), 6)), F.col("value")))
-        .alias(f"p{round(100 * p)}")
-        for p in points
-    ])
+    """Confidence percentiles: the smallest value that covers a share of the rows, off by
+    at most one in ``accuracy`` of the ranks. One pass, merged from partial sketches."""
+    return silver.agg(*[
+        F.percentile_approx("conf", p, accuracy).alias(f"p{round(100 * p)}") for p in points])
 
 
 def ts_gaps(silver: DataFrame, first: int = 20) -> DataFrame:
@@ -81,21 +66,32 @@ def ts_gaps(silver: DataFrame, first: int = 20) -> DataFrame:
     )
 
 
-def ts_gaps_by_camera(silver: DataFrame, first: int = 20) -> DataFrame:
-    """The same per camera.
+def ts_gaps_by_camera(silver: DataFrame, first: int | None = None) -> DataFrame:
+    """The same per camera, for all rows or the ``first`` of each.
 
-    The row-number filter is applied before the shuffle (window group limit),
-    so a camera with most of the rows still sends only ``first`` per task.
+    A camera may hold most of the rows, so windows run over its days: the first
+    row of a day takes the last time of the day before and goes on from its
+    count. With ``first`` the row-number filter is applied before the shuffle.
     """
-    per_camera = Window.partitionBy(*CAMERA)
     order = ["capture_ts", "frame_index", "det_id"]
-    head = (
-        silver.select(*CAMERA, *order)
-        .withColumn("rn", F.row_number().over(per_camera.orderBy(*order)))
-        .where(F.col("rn") <= first)
-    )
-    before = F.lag("capture_ts").over(per_camera.orderBy("rn"))
-    return head.withColumn("prev_ts", before).select(
+    rows = silver.select(*CAMERA, *order)
+    if first is not None:
+        per_camera = Window.partitionBy(*CAMERA)
+        head = rows.withColumn("rn", F.row_number().over(per_camera.orderBy(*order))).where(F.col("rn") <= first)
+        numbered = head.withColumn("prev_ts", F.lag("capture_ts").over(per_camera.orderBy("rn")))
+    else:
+        day = [*CAMERA, "day"]
+        rows = rows.withColumn("day", F.col("capture_ts").cast("date"))
+        in_order = Window.partitionBy(*CAMERA).orderBy("day")
+        days = rows.groupBy(*day).agg(F.count(F.lit(1)).alias("n"), F.max("capture_ts").alias("last")).select(
+            *day, F.lag("last").over(in_order).alias("last"),
+            F.coalesce(F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("n"))
+        per_day = Window.partitionBy(*day).orderBy(*order)
+        numbered = rows.withColumns({
+            "place": F.row_number().over(per_day), "before": F.lag("capture_ts").over(per_day),
+        }).join(days, day).withColumns({
+            "rn": (F.col("n") + F.col("place")).cast("int"), "prev_ts": F.coalesce("before", "last")})
+    return numbered.select(
         *CAMERA, "rn", "capture_ts", "prev_ts",
         _gap(F.col("prev_ts"), F.col("capture_ts")).alias("gap_seconds"),
     )

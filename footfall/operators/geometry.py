@@ -20,6 +20,7 @@ FRAME_KEY = ["store_id", "camera_id", "frame_index"]
 BOX = geo.BOX
 HEAVY_SHARE = 10_000
 MIN_HEAVY = 10_000
+MAX_FOLD = 1000
 
 
 def active_zone_filter(boxes: DataFrame, start: float = ACTIVE_FROM) -> DataFrame:
@@ -139,11 +140,12 @@ def _stored(leaders: DataFrame) -> DataFrame:
 def _judge(leaders: DataFrame, group: list[str], iou: float, fold: int) -> DataFrame:
     """Verdict per leader: ``by`` is NULL for kept ones.
 
-    ``fold`` stays below the size up to which Spark cuts a window before its
-    shuffle (1000).
+    ``fold`` has to stay within the size up to which Spark cuts a window before
+    its shuffle.
     """
     spark = leaders.sparkSession
-    fold = min(fold, 1000)
+    if fold > MAX_FOLD:
+        raise ValueError(f"fold is {fold}; at most {MAX_FOLD} boxes are cut before the shuffle")
     leaders = leaders.drop("n")
     large = leaders.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold)
     if large.isEmpty():

@@ -19,8 +19,11 @@ def gold_silver_diff(gold: DataFrame, silver: DataFrame, as_of: Column | None =
     day = trunc_to("day", moment)
     keys = [*CAMERA, "ts_minute"]
     g = gold.where(F.col("ts_minute") >= day).select(*keys, F.col("detection_count").alias("g"))
+    recent = silver.where(F.col("capture_ts") >= day)
+    if "capture_date" in silver.columns:  # folders of a stored table
+        recent = recent.where(F.col("capture_date") >= day.cast("date"))
     s = (
-        silver.where(F.col("capture_ts") >= day)
+        recent
         .groupBy(*CAMERA, trunc_to("minute", "capture_ts").alias("ts_minute"))
         .agg(F.count(F.lit(1)).alias("s"))
     )
@@ -35,6 +38,7 @@ def gold_silver_diff(gold: DataFrame, silver: DataFrame, as_of: Column | None =
 
 def silver_status_matrix(silver: DataFrame) -> DataFrame:
     """Counts per state of the cleaned class and track columns."""
+    # The names of the states.
     name, track = F.col("class_name"), F.col("track_id")
     return silver.groupBy(
         F.when(name.isNull(), "NULL_VALUE").when(name == "", "EMPTY_STRING")

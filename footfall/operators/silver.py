@@ -59,24 +59,21 @@ def parse_detections(bronze: DataFrame, now: Column | None = None) -> DataFrame:
 
 def read_detections(bronze: DataFrame) -> DataFrame:
     """Payload to detections as written, the ``batch`` rules."""
-    def number(path: str) -> Column:
-        return F.col(path).try_cast("double")
-
     return _detections(bronze, FRAME_BATCH, ["camera_id", "store_id", "ingest_ts"]).select(
         F.col("frame_index").try_cast("bigint").alias("frame_index"),
-        clean.ntz_from_instant(clean.zoned_timestamp("capture_ts")).alias("capture_ts"),
+        clean.batch_time("capture_ts").alias("capture_ts"),
         F.col("b_camera_id").alias("camera_id"),
         F.col("b_store_id").alias("store_id"),
         F.col("det.det_id").alias("det_id"),
         F.col("det.class").alias("class"),
         F.col("det.class_id").try_cast("int").alias("class_id"),
-        F.col("det.conf").alias("conf"),
-        number("det.bbox.x1").alias("bbox_x1"),
-        number("det.bbox.y1").alias("bbox_y1"),
-        number("det.bbox.x2").alias("bbox_x2"),
-        number("det.bbox.y2").alias("bbox_y2"),
-        number("det.centroid.x").alias("centroid_x"),
-        number("det.centroid.y").alias("centroid_y"),
+        clean.number("det.conf").alias("conf"),
+        clean.number("det.bbox.x1").alias("bbox_x1"),
+        clean.number("det.bbox.y1").alias("bbox_y1"),
+        clean.number("det.bbox.x2").alias("bbox_x2"),
+        clean.number("det.bbox.y2").alias("bbox_y2"),
+        clean.number("det.centroid.x").alias("centroid_x"),
+        clean.number("det.centroid.y").alias("centroid_y"),
         F.col("det.track_id").try_cast("bigint").alias("track_id"),
         F.col("b_ingest_ts").alias("ingest_ts"),
     )

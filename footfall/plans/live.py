@@ -23,15 +23,20 @@ from footfall.streaming.smooth import smooth_stream, start_smooth
 
 _LIVE: dict[tuple[str, str], "Live"] = {}
 
-# One additive measure per Gold table, to compare the multi-sink job in one result.
-MEASURES = {
-    "gold_minute_by_cam": "detection_count",
-    "gold_hour_by_cam": "unique_tracks",
-    "gold_people_per_minute": "unique_people",
-    "gold_zone_heatmap": "hits",
-    "gold_zone_dwell": "visits",
-    "gold_track_summary": "frames",
+# The Gold tables in one form, to compare the multi-sink job in one result: the columns
+# that stand for ``ts, zone_x, zone_y, track_id`` and for the measures ``a`` to ``d``.
+ONE_FORM = {
+    "gold_minute_by_cam": (("ts_minute", None, None, None),
+                           ("detection_count", "unique_tracks", "avg_conf", "bbox_area_ratio_avg")),
+    "gold_hour_by_cam": (("ts_hour", None, None, None), ("detection_count", "unique_tracks", "avg_conf", None)),
+    "gold_people_per_minute": (("ts_minute", None, None, None), ("detections", "unique_people", None, None)),
+    "gold_zone_heatmap": ((None, "zone_x", "zone_y", None), ("hits", "unique_tracks", None, None)),
+    "gold_zone_dwell": ((None, "zone_x", "zone_y", None),
+                        ("visits", "total_dwell_seconds", "avg_dwell_seconds", None)),
+    "gold_track_summary": (("start_time", None, None, "track_id"), ("frames", "duration_seconds", "avg_x", "avg_conf")),
 }
+FORM_KINDS = {"ts": "timestamp_ntz", "zone_x": "int", "zone_y": "int", "track_id": "bigint",
+              "a": "double", "b": "double", "c": "double", "d": "double"}
 
 
 def live(spark: SparkSession, sf_dir: str) -> "Live":
@@ -66,8 +71,11 @@ class Live:
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return live(spark, sf_dir).pipeline.bronze().groupBy("camera_id", "store_id").agg(
-        F.count(F.lit(1)).alias("records"))
+    """The stored rows, with the payload's time and number of detections for its text."""
+    return live(spark, sf_dir).pipeline.bronze().select(
+        "schema_version", "camera_id", "store_id", "ingest_ts",
+        F.get_json_object("payload", "$.capture_ts").alias("ts"),
+        F.json_array_length(F.get_json_object("payload", "$.detections")).alias("num_dets"))
 
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,15 +83,16 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_gold_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The six tables from one query, each summed up in a row."""
+    """All rows of the six tables from one query, in one form."""
     job = Pipeline(spark, shared_dir(spark, "all"), now=fx.now())
     job.tables["silver"] = live(spark, sf_dir).pipeline.tables["silver"]
     job.start_all().awaitTermination()
     out = None
-    for name, measure in MEASURES.items():
-        row = job.view(name).agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("groups"), F.sum(measure).alias("total"))
-        out = row if out is None else out.unionByName(row)
+    for name, (keys, measures) in ONE_FORM.items():
+        columns = [(F.col(c) if c else F.lit(None)).cast(kind).alias(form)
+                   for (form, kind), c in zip(FORM_KINDS.items(), (*keys, *measures))]
+        rows = job.view(name).select(F.lit(name).alias("table_name"), "store_id", "camera_id", *columns)
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 

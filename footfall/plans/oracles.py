@@ -164,6 +164,15 @@ _FRAMES = "SELECT DISTINCT fr, store_id, camera_id, capture_ts FROM f1"
 _ISO = "strftime(capture_ts, '%Y-%m-%dT%H:%M:%S.%g') || '+00:00'"
 
 
+# The required fields of the record's contract, apart from the operator's own list.
+CONTRACT_FRAME = (
+    "schema_version pipeline_run_id frame_index capture_ts source.store_id source.camera_id source.stream_id"
+    " image_size.width image_size.height detections").split()
+CONTRACT_DETECTION = (
+    "det_id class class_id conf bbox.x1 bbox.y1 bbox.x2 bbox.y2 bbox_norm.x bbox_norm.y bbox_norm.w bbox_norm.h"
+    " centroid.x centroid.y centroid_norm.x centroid_norm.y").split()
+
+
 def _contract() -> str:
     """Gaps that F1 plants: the frame number, the ids and three leaf values."""
     ok = "fr % 79 <> 0"
@@ -173,13 +182,12 @@ def _contract() -> str:
     }
     leaf_gap = {"det_id": "det_id IS NULL", "class": "cls IS NULL",
                 "class_id": "cls_id IS NULL", "conf": "conf IS NULL"}
-    from footfall.operators.quality import REQUIRED_DETECTION, REQUIRED_FRAME
     parts = [
         f"SELECT '{f}' AS field, CAST(count(*) FILTER (WHERE NOT ({ok}) OR {frame_gap.get(f, 'false')}) AS BIGINT)"
-        f" AS missing, count(*) AS total FROM frames" for f in REQUIRED_FRAME
+        f" AS missing, count(*) AS total FROM frames" for f in CONTRACT_FRAME
     ] + [
         f"SELECT 'detections[].{f}' AS field, CAST(count(*) FILTER (WHERE {leaf_gap.get(f, 'false')}) AS BIGINT)"
-        f" AS missing, count(*) AS total FROM f1 WHERE {ok}" for f in REQUIRED_DETECTION
+        f" AS missing, count(*) AS total FROM f1 WHERE {ok}" for f in CONTRACT_DETECTION
     ]
     return (f"WITH f1 AS ({CTES['f1']}), frames AS ({_FRAMES})\n" + "\nUNION ALL\n".join(parts))
 
@@ -255,15 +263,29 @@ FROM (SELECT *, x2 - x1 AS w, y2 - y1 AS h, x1 + (x2 - x1) / CAST(2 AS DOUBLE) A
 
 
 def _all_gold() -> str:
-    measures = {
-        "minute": ("gold_minute_by_cam", "detection_count"), "hour": ("gold_hour_by_cam", "unique_tracks"),
-        "people": ("gold_people_per_minute", "unique_people"), "heatmap": ("gold_zone_heatmap", "hits"),
-        "dwell": ("gold_zone_dwell", "visits"), "track": ("gold_track_summary", "frames"),
+    """All rows of the six tables in one form: keys, then up to four measures."""
+    tables = {
+        "minute": ("gold_minute_by_cam", "ts_minute", None, None, None,
+                   "detection_count", "unique_tracks", "avg_conf", "bbox_area_ratio_avg"),
+        "hour": ("gold_hour_by_cam", "ts_hour", None, None, None, "detection_count", "unique_tracks", "avg_conf", None),
+        "people": ("gold_people_per_minute", "ts_minute", None, None, None, "detections", "unique_people", None, None),
+        "heatmap": ("gold_zone_heatmap", None, "zone_x", "zone_y", None, "hits", "unique_tracks", None, None),
+        "dwell": ("gold_zone_dwell", None, "zone_x", "zone_y", None,
+                  "visits", "total_dwell_seconds", "avg_dwell_seconds", None),
+        "track": ("gold_track_summary", "start_time", None, None, "track_id",
+                  "frames", "duration_seconds", "avg_x", "avg_conf"),
     }
-    ctes = ["f1", "det", "silver", "pos", "visit", *measures]
+    kinds = {"ts": "TIMESTAMP", "zone_x": "INTEGER", "zone_y": "INTEGER", "track_id": "BIGINT"}
+
+    def part(cte: str, name: str, *columns: str | None) -> str:
+        keys = ", ".join(f"CAST({c or 'NULL'} AS {kind}) AS {form}" for (form, kind), c in zip(kinds.items(), columns))
+        measures = ", ".join(
+            f"round(CAST({c or 'NULL'} AS DOUBLE), 9) AS {form}" for form, c in zip("abcd", columns[4:]))
+        return f"SELECT '{name}' AS table_name, store_id, camera_id, {keys}, {measures} FROM {cte}"
+
+    ctes = ["f1", "det", "silver", "pos", "visit", *tables]
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in ctes) + "\n" + " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS groups, CAST(sum({m}) AS BIGINT) AS total FROM {cte}"
-        for cte, (name, m) in measures.items())
+        part(cte, *columns) for cte, columns in tables.items())
 
 
 def oracle_sql() -> dict[str, str]:
@@ -281,7 +303,9 @@ def oracle_sql() -> dict[str, str]:
         "bronze_ingest": over("f1", f"""SELECT 'v1' AS schema_version, CAST(NULL AS VARCHAR) AS pipeline_run_id,
           CAST(NULL AS BIGINT) AS frame_index, CASE WHEN fr % 79 <> 0 THEN camera_id END AS camera_id,
           CASE WHEN fr % 79 <> 0 THEN store_id END AS store_id,
-          TIMESTAMP '2025-06-01 00:00:00' AS ingest_ts FROM ({_FRAMES}) f"""),
+          TIMESTAMP '2025-06-01 00:00:00' AS ingest_ts, CASE WHEN fr % 79 <> 0 THEN {_ISO} END AS ts,
+          CAST(CASE WHEN fr % 79 <> 0 THEN n END AS INTEGER) AS num_dets
+          FROM (SELECT fr, store_id, camera_id, capture_ts, count(*) AS n FROM f1 GROUP BY ALL) f"""),
         "bronze_sample": over("f1", f"""SELECT store_id, camera_id, {_ISO} AS ts FROM ({_FRAMES}) f
           WHERE fr % 79 <> 0
           ORDER BY concat('{{', CASE WHEN store_id IS NOT NULL THEN '"store_id":"' || store_id || '",' END,
@@ -343,7 +367,7 @@ def oracle_sql() -> dict[str, str]:
         "ts_gaps_by_camera": over("silver2", f"""SELECT {_CAM}, CAST(rn AS INTEGER) AS rn, capture_ts, prev_ts, {_GAP}
           FROM (SELECT *, lag(capture_ts) OVER w AS prev_ts, row_number() OVER w AS rn
                 FROM (SELECT {_CAM}, capture_ts, frame_index, det_id FROM silver2) s
-                WINDOW w AS (PARTITION BY {_CAM} ORDER BY capture_ts, frame_index, det_id)) t WHERE rn <= 20"""),
+                WINDOW w AS (PARTITION BY {_CAM} ORDER BY capture_ts, frame_index, det_id)) t"""),
         "track_stats": over("silver2", f"""SELECT track_id, count(*) AS frames_visible, min(capture_ts) AS start_time,
           max(capture_ts) AS end_time, round({_SPAN}, 9) AS duration_seconds FROM silver2 GROUP BY track_id"""),
         "track_timeline": over("silver2", f"""SELECT track_id, min(capture_ts) AS start_time,
@@ -432,10 +456,12 @@ def oracle_sql() -> dict[str, str]:
           FROM step WHERE r > 0 AND suppressed_by IS NOT NULL""",
         "smooth_bbox": _SMOOTH,
         # Streaming: the stored result must equal the batch result
-        "stream_bronze": over("f1", f"""SELECT CASE WHEN fr % 79 <> 0 THEN camera_id END AS camera_id,
-          CASE WHEN fr % 79 <> 0 THEN store_id END AS store_id, count(*) AS records
-          FROM (SELECT DISTINCT fr, store_id, camera_id, CAST(floor((e % 4) / 2) AS INTEGER) AS part FROM f1) f
-          GROUP BY ALL"""),
+        "stream_bronze": over("f1", f"""SELECT 'v1' AS schema_version,
+          CASE WHEN fr % 79 <> 0 THEN camera_id END AS camera_id,
+          CASE WHEN fr % 79 <> 0 THEN store_id END AS store_id, TIMESTAMP '2025-06-01 00:00:00' AS ingest_ts,
+          CASE WHEN fr % 79 <> 0 THEN {_ISO} END AS ts, CAST(CASE WHEN fr % 79 <> 0 THEN n END AS INTEGER) AS num_dets
+          FROM (SELECT fr, store_id, camera_id, capture_ts, CAST(floor((e % 4) / 2) AS INTEGER) AS part,
+                 count(*) AS n FROM f1 GROUP BY ALL) f"""),
         "stream_silver": silver,
         "stream_gold_minute": gold["minute"],
         "stream_gold_hour": gold["hour"],

@@ -87,6 +87,14 @@ def frames_to_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_digest(bronze: DataFrame) -> DataFrame:
+    """Bronze with the time and the number of detections in place of the payload's text."""
+    return bronze.withColumns({
+        "ts": F.get_json_object("payload", "$.capture_ts"),
+        "num_dets": F.json_array_length(F.get_json_object("payload", "$.detections")),
+    }).drop("payload")
+
+
 def bronze_json_extract(bronze: DataFrame) -> DataFrame:
     """The extracted list is compared by its length, its text by the parse queries."""
     return b.bronze_json_extract(bronze).select(
@@ -119,8 +127,8 @@ def queries() -> dict[str, Query]:
     stored = "processing_ts", "capture_date"
     out: dict[str, Query] = {
         # Bronze
-        "bronze_ingest": lambda sp, d: fx.f1_bronze(sp, d).drop("payload"),
-        "bronze_sample": _bronze(lambda t: b.bronze_sample(t).select(
+        "bronze_ingest": lambda sp, d: with_digest(fx.f1_bronze(sp, d)),
+        "bronze_sample": _bronze(lambda t: b.bronze_sample(t.orderBy("payload")).select(
             "store_id", "camera_id", F.get_json_object("payload", "$.capture_ts").alias("ts"))),
         "bronze_json_extract": _bronze(bronze_json_extract),
         "bronze_frame_counts": _bronze(b.bronze_frame_counts),
@@ -210,7 +218,7 @@ def queries() -> dict[str, Query]:
         "stream_gold_heatmap": _live("gold_zone_heatmap"),
         "stream_gold_dwell": _live("gold_zone_dwell"),
         "stream_gold_track": _live("gold_track_summary"),
-        "stream_gold_all": live.stream_gold_all,
+        "stream_gold_all": lambda sp, d: settled(live.stream_gold_all(sp, d)),
         "upsert_latest": live.upsert_latest,
         "stream_smooth": lambda sp, d: settled(live.stream_smooth(sp, d)),
     }

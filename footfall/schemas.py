@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
-# The complete frame record as the camera side writes it.
+# The complete frame record as the camera side writes it.
 FRAME_RECORD = """
     schema_version string, pipeline_run_id string,
     source struct<store_id:string, camera_id:string, stream_id:string>,
@@ -22,8 +22,8 @@ FRAME_RECORD = """
 """
 
 # What the two Silver variants read back, nothing more.  Leaves are text so that
-# one odd value turns into a default instead of spoiling its neighbours; ``conf``
-# alone must be a JSON number.
+# one odd value turns into a default instead of spoiling its neighbours; in the
+# stream form ``conf`` alone must be a JSON number.
 FRAME_STREAM = """
     pipeline_run_id string, frame_index string, capture_ts string,
     image_size struct<width:string, height:string>,
@@ -34,11 +34,12 @@ FRAME_STREAM = """
 FRAME_BATCH = """
     frame_index string, capture_ts string,
     detections array<struct<
-        det_id:string, class:string, class_id:string, conf:double,
+        det_id:string, class:string, class_id:string, conf:string,
         bbox:struct<x1:string, y1:string, x2:string, y2:string>,
         centroid:struct<x:string, y:string>, track_id:string>>
 """
 
+# Names and types of the stored tables.
 TABLES = {
     "bronze_raw": """
         schema_version string, pipeline_run_id string, frame_index bigint,
@@ -79,7 +80,7 @@ TABLES = {
         avg_x double, avg_y double, avg_conf double""",
 }
 
-# Columns that identify one row of each keyed table.
+# Columns that identify one row of each keyed table.
 KEYS = {
     "gold_minute_by_cam": ["store_id", "camera_id", "ts_minute"],
     "gold_hour_by_cam": ["store_id", "camera_id", "ts_hour"],

@@ -1,4 +1,10 @@
-"""Stored tables: catalog DDL, layout on disk, reading and writing."""
+"""Stored tables: catalog DDL, layout on disk, reading and writing.
+
+A folder name cannot hold an empty text: it would come back as NULL.  Text columns
+that name folders are therefore written with a mark in front where they are empty
+(or start with the mark), and read back without it.  Catalog tables, which are read
+by name, have no folders of text.
+"""
 
 from __future__ import annotations
 
@@ -16,6 +22,28 @@ PARTITIONS = {
 }
 
 
+FOLDER_MARK = "~"
+
+
+def _text_columns(df: DataFrame, columns: list[str]) -> list[str]:
+    kinds = dict(df.dtypes)
+    return [c for c in columns if kinds[c] == "string"]
+
+
+def to_folders(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with the texts of ``columns`` in the form that names folders."""
+    return df.withColumns({
+        c: F.when((F.col(c) == "") | F.col(c).startswith(FOLDER_MARK), F.concat(F.lit(FOLDER_MARK), c))
+        .otherwise(F.col(c)) for c in _text_columns(df, columns)})
+
+
+def from_folders(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The inverse; filters on these columns still prune folders."""
+    return df.withColumns({
+        c: F.when(F.col(c).startswith(FOLDER_MARK), F.substring(c, 2, 1 << 30)).otherwise(F.col(c))
+        for c in _text_columns(df, columns)})
+
+
 def stored_schema(name: str) -> StructType:
     schema = table_schema(name)
     if "capture_date" in PARTITIONS.get(name, []):
@@ -36,11 +64,12 @@ def laid_out(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, name: str, mode: str = "overwrite") -> None:
-    laid_out(df, name).write.mode(mode).partitionBy(*PARTITIONS.get(name, [])).parquet(path)
+    parts = PARTITIONS.get(name, [])
+    to_folders(laid_out(df, name), parts).write.mode(mode).partitionBy(*parts).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return spark.read.schema(stored_schema(name)).parquet(path)
+    return from_folders(spark.read.schema(stored_schema(name)).parquet(path), PARTITIONS.get(name, []))
 
 
 def create_database(spark: SparkSession, database: str, use: bool = True) -> None:
@@ -49,14 +78,14 @@ def create_database(spark: SparkSession, database: str, use: bool = True) -> Non
         spark.catalog.setCurrentDatabase(database)
 
 
-def create_table(spark: SparkSession, name: str, table: str | None = None) -> None:
-    """Create table ``name`` of the data model unless it exists."""
-    ddl = TABLES[name]
-    parts = PARTITIONS.get(name, [])
-    if "capture_date" in parts:
+def create_table(spark: SparkSession, name: str, table: str | None = None, location: str | None = None) -> None:
+    """Create table ``name`` of the data model unless it exists; cut by date alone."""
+    ddl, by = TABLES[name], ""
+    if "capture_date" in PARTITIONS.get(name, []):
         ddl += ", capture_date date"
-    by = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table or name} ({ddl}) USING parquet {by}")
+        by = "PARTITIONED BY (capture_date)"
+    place = f"LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table or name} ({ddl}) USING parquet {by} {place}")
 
 
 def insert_into(df: DataFrame, name: str, table: str | None = None, overwrite: bool = False) -> None:

@@ -33,7 +33,7 @@ from footfall.operators import gold as g
 from footfall.operators import silver as s
 from footfall.operators.bronze import bronze_ingest
 from footfall.schemas import KEYS, columns_of, struct_of, table_schema
-from footfall.sources.tables import PARTITIONS
+from footfall.sources.tables import PARTITIONS, from_folders, to_folders
 from footfall.streaming.keyed import BATCH, DELETED, KeyedTable, committed
 
 # How often each layer commits.
@@ -175,7 +175,7 @@ class Pipeline:
     def start_bronze(self, lines: DataFrame, every: str | None = None) -> StreamingQuery:
         """Raw lines appended to Bronze, each committed once."""
         writer = (
-            bronze_ingest(lines, self.now).writeStream.format("parquet").outputMode("append")
+            to_folders(bronze_ingest(lines, self.now), PARTITIONS["bronze_raw"]).writeStream.format("parquet").outputMode("append")
             .partitionBy(*PARTITIONS["bronze_raw"])
             .option("path", self.bronze_path)
             .option("checkpointLocation", f"{self.root}/_checkpoints/bronze")
@@ -183,14 +183,16 @@ class Pipeline:
         return _trigger(writer, every).start()
 
     def bronze(self) -> DataFrame:
-        return self.spark.read.schema(table_schema("bronze_raw")).parquet(self.bronze_path)
+        return from_folders(
+            self.spark.read.schema(table_schema("bronze_raw")).parquet(self.bronze_path), PARTITIONS["bronze_raw"])
 
     def start_silver(self, every: str | None = None, files_per_trigger: int | None = None) -> StreamingQuery:
         self.tables["silver"].create(self.spark)
         reader = self.spark.readStream.schema(table_schema("bronze_raw"))
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-        return self._start(reader.parquet(self.bronze_path), "silver", self.merge_silver, every)
+        return self._start(
+            from_folders(reader.parquet(self.bronze_path), PARTITIONS["bronze_raw"]), "silver", self.merge_silver, every)
 
     def start_view(
         self, name: str, every: str | None = None, files_per_trigger: int | None = None

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructType
 
+from footfall.sources.tables import from_folders, to_folders
+
 DELETED = "is_deleted"
 BATCH = "batch_id"
 KEEP_MARKS = 100
@@ -59,10 +61,10 @@ class KeyedTable:
         out = hint.select(*self.schema.fieldNames(), DELETED)
         if self.sort:
             out = out.sortWithinPartitions(*self.partitions, *self.sort)
-        out.write.mode("overwrite").partitionBy(*self.partitions).parquet(path)
+        to_folders(out, self.partitions).write.mode("overwrite").partitionBy(*self.partitions).parquet(path)
 
     def _read(self, spark: SparkSession, folder: str) -> DataFrame:
-        return spark.read.schema(self._full()).parquet(folder)
+        return from_folders(spark.read.schema(self._full()).parquet(folder), self.partitions)
 
     def versions(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """All stored versions, below batch ``before`` if given."""
@@ -93,10 +95,10 @@ class KeyedTable:
 
     def changes(self, spark: SparkSession, files_per_trigger: int | None = None) -> DataFrame:
         """The change log as a stream, deletions included."""
-        reader = spark.readStream.schema(self._full()).option("ignoreMissingFiles", "true")
+        reader = spark.readStream.schema(self._full())
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-        return reader.parquet(self.log)
+        return from_folders(reader.parquet(self.log), self.partitions)
 
     def compact(self, spark: SparkSession, upto: int) -> None:
         """Folds the partitions changed by batches up to ``upto``.

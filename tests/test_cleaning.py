@@ -143,5 +143,26 @@ def test_batch_reads_values_as_written(spark):
     text = payload([det(**{"class": " None ", "bbox": {"x1": 10.25, "y1": 1, "x2": 5, "y2": 2}})])
     (row,) = silver_batch(bronze(spark, text)).collect()
     assert (row["class"], row.bbox_x1, row.bbox_x2, row.centroid_x) == (" None ", 10.25, 5.0, 20.0)
-    assert row.capture_ts == datetime(2025, 1, 1, 0, 0, 1, 234500)
+    assert row.capture_ts == datetime(2025, 1, 1, 0, 0, 1, 234000)
     assert silver_batch(bronze(spark, payload([det()], capture_ts="x"))).count() == 0
+
+
+def test_batch_takes_text_confidence_and_times_without_a_zone(spark):
+    def batch(time="2025-01-01T00:00:01Z", **more):
+        return [(r.conf, r.capture_ts) for r in silver_batch(bronze(spark, payload([det(**more)], capture_ts=time))).collect()]
+
+    assert batch(conf="0.9")[0][0] == 0.9
+    assert batch(conf="NaN") == batch(conf="high") == []
+    assert batch("2025-01-01T05:06:07.9876")[0][1] == datetime(2025, 1, 1, 5, 6, 7, 987000)
+    assert batch("2025-01-01")[0][1] == datetime(2025, 1, 1)
+    assert batch("2025-01-01T02:00:00+02:00")[0][1] == datetime(2025, 1, 1)
+    assert batch("01/02/2025") == []
+
+
+def test_stream_keeps_text_confidence_out(spark):
+    assert silver_stream(bronze(spark, payload([det(conf="0.9")])), now()).count() == 0
+
+
+def test_an_object_is_no_routing_value(spark):
+    rows = bronze(spark, payload([], source={"store_id": {"a": 1}, "camera_id": ["c"]}), payload([])).collect()
+    assert (rows[0].store_id, rows[0].camera_id) == (None, None) and rows[1].store_id is not None

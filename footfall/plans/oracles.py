@@ -470,6 +470,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_gold_dwell": gold["dwell"],
         "stream_gold_track": gold["track"],
         "stream_gold_all": _all_gold(),
+        "stream_gold_switch": _all_gold(),
         "upsert_latest": gold["people"],
         "stream_smooth": _SMOOTH,
     }

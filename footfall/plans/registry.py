@@ -219,6 +219,7 @@ def queries() -> dict[str, Query]:
         "stream_gold_dwell": _live("gold_zone_dwell"),
         "stream_gold_track": _live("gold_track_summary"),
         "stream_gold_all": lambda sp, d: settled(live.stream_gold_all(sp, d)),
+        "stream_gold_switch": lambda sp, d: settled(live.stream_gold_switch(sp, d)),
         "upsert_latest": live.upsert_latest,
         "stream_smooth": lambda sp, d: settled(live.stream_smooth(sp, d)),
     }

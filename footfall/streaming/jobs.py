@@ -13,7 +13,8 @@ with their before-images, and the work of a micro-batch follows the changes:
 * heatmap and dwell add the differences of the changes of ``visits``.
 
 Replays are harmless.  A replayed batch overwrites its own folder and starts
-from the state before it.  Differences are taken from committed batches of the
+from the state before it.  Batches are numbered by the tables, so queries may take
+turns on one root, also after a lost checkpoint.  Differences are taken from committed batches of the
 source table, each batch once (``KeyedTable.applied``), never from the files a
 micro-batch happens to see.
 """
@@ -34,7 +35,7 @@ from footfall.operators import silver as s
 from footfall.operators.bronze import bronze_ingest
 from footfall.schemas import KEYS, columns_of, struct_of, table_schema
 from footfall.sources.tables import PARTITIONS, from_folders, to_folders
-from footfall.streaming.keyed import BATCH, DELETED, KeyedTable, committed
+from footfall.streaming.keyed import BATCH, DELETED, KeyedTable, query_identity
 
 # How often each layer commits.
 BRONZE_TRIGGER = "60 seconds"
@@ -43,7 +44,9 @@ GOLD_TRIGGER = "30 seconds"
 
 FRAMES_PER_BLOCK = 1 << 17  # about an hour at 30 frames per second
 PRUNE_LIST = 512            # longest list of folder values put into a filter
-COMMIT_WAIT = 30.0          # seconds to wait for the source query's commit mark
+COMMIT_WAIT = 120.0         # seconds to wait for the source query's commit mark before failing
+
+ALL = "gold_all"            # name of the query that feeds every table
 
 STAGE = "track_zone_minute"
 VISITS = "visits"
@@ -140,8 +143,10 @@ VIEWS = {
 class Pipeline:
     """All layers below one folder of a shared store."""
 
-    def __init__(self, spark: SparkSession, root: str, run_scoped: bool = False, now: Column | None = None):
+    def __init__(self, spark: SparkSession, root: str, run_scoped: bool = False, now: Column | None = None,
+                 checkpoints: str | None = None):
         self.spark, self.root, self.run_scoped, self.now = spark, root, run_scoped, now
+        self.checkpoints = checkpoints or f"{root}/_checkpoints"
         self.bronze_path = f"{root}/bronze_raw"
         silver = table_schema("silver_detections").add("capture_date", "date").add("frame_block", "long")
         identity = SILVER_IDENTITY + (["pipeline_run_id"] if run_scoped else [])
@@ -163,11 +168,19 @@ class Pipeline:
     # ---- streams ----
 
     def _checkpoint(self, name: str) -> str:
-        return f"{self.root}/_checkpoints/{name}"
+        return f"{self.checkpoints}/{name}"
+
+    def _writer(self, name: str) -> str:
+        return f"{name}.{query_identity(self.spark, self._checkpoint(name))}"
 
     def _start(self, stream: DataFrame, name: str, each, every: str | None) -> StreamingQuery:
+        """Starts a query unless a running one of this session writes to the same tables."""
+        rivals = {f"{x}@{self.root}" for x in ([name, *VIEWS] if name == ALL else [name] if name == "silver" else [name, ALL])}
+        running = [q.name for q in self.spark.streams.active if q.name in rivals]
+        if running:
+            raise RuntimeError(f"{name} and {running} would write to the same tables")
         writer = (
-            stream.writeStream.foreachBatch(each).queryName(f"{name}-{id(self)}")
+            stream.writeStream.foreachBatch(each).queryName(f"{name}@{self.root}")
             .option("checkpointLocation", self._checkpoint(name))
         )
         return _trigger(writer, every).start()
@@ -178,7 +191,7 @@ class Pipeline:
             to_folders(bronze_ingest(lines, self.now), PARTITIONS["bronze_raw"]).writeStream.format("parquet").outputMode("append")
             .partitionBy(*PARTITIONS["bronze_raw"])
             .option("path", self.bronze_path)
-            .option("checkpointLocation", f"{self.root}/_checkpoints/bronze")
+            .option("checkpointLocation", self._checkpoint("bronze"))
         )
         return _trigger(writer, every).start()
 
@@ -191,8 +204,12 @@ class Pipeline:
         reader = self.spark.readStream.schema(table_schema("bronze_raw"))
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-        return self._start(
-            from_folders(reader.parquet(self.bronze_path), PARTITIONS["bronze_raw"]), "silver", self.merge_silver, every)
+
+        def each(bronze: DataFrame, n: int) -> None:
+            self.merge_silver(bronze, self.tables["silver"].version(self.spark, self._writer("silver"), n))
+
+        lines = from_folders(reader.parquet(self.bronze_path), PARTITIONS["bronze_raw"])
+        return self._start(lines, "silver", each, every)
 
     def start_view(
         self, name: str, every: str | None = None, files_per_trigger: int | None = None
@@ -203,51 +220,59 @@ class Pipeline:
         self.tables[name].create(self.spark)
 
         def each(changes: DataFrame, n: int) -> None:
+            at = self.tables[name].version(self.spark, self._writer(name), n)
             if view.how == "recompute":
-                self.refresh(name, changes, n)
+                self.refresh(name, changes, at)
             else:
-                self._catch_up(name, changes, n)
+                self._catch_up(name, changes, at)
 
         return self._start(source.changes(self.spark, files_per_trigger), name, each, every)
 
     def start_all(self, every: str | None = None, files_per_trigger: int | None = None) -> StreamingQuery:
         """All derived tables in one query: one read of the changes feeds every table.
 
-        Batch ``n`` of one table is made from batch ``n`` of the table before it.
+        A table applies what the table before it has stored, this batch included.
         """
         for table in self.tables.values():
             table.create(self.spark)
 
         def each(changes: DataFrame, n: int) -> None:
+            writer = self._writer(ALL)
+            at = {name: self.tables[name].version(self.spark, writer, n) for name in VIEWS}
             changes.persist()
             try:
                 for name, view in VIEWS.items():
                     if view.how == "recompute":
-                        self.refresh(name, changes, n)
+                        self.refresh(name, changes, at[name])
                     else:
-                        self.apply(name, n, n - 1, n)
+                        self._advance(name, at[name], at[view.source])
             finally:
                 changes.unpersist()
 
-        return self._start(self.tables["silver"].changes(self.spark, files_per_trigger), "gold_all", each, every)
+        return self._start(self.tables["silver"].changes(self.spark, files_per_trigger), ALL, each, every)
 
     def _catch_up(self, name: str, changes: DataFrame, n: int) -> None:
         """Applies the source's committed batches that are not yet in ``name``.
 
-        The micro-batch itself only says that there is something new.
+        The micro-batch itself only says that there is something new.  It fails, to
+        be tried again, rather than commit what it could not apply.
         """
         seen = changes.agg(F.max(BATCH)).first()[0]
-        source = VIEWS[name].source
+        source = self.tables[VIEWS[name].source]
         until = time.monotonic() + COMMIT_WAIT
-        while (done := committed(self.spark, self._checkpoint(source))) < (-1 if seen is None else seen):
+        while (done := source.finished(self.spark, self.checkpoints)) < (-1 if seen is None else seen):
             if time.monotonic() > until:
-                break
+                raise TimeoutError(f"{name}: batch {seen} of {VIEWS[name].source} is not committed after {COMMIT_WAIT} s")
             time.sleep(0.2)
+        self._advance(name, n, done)
+
+    def _advance(self, name: str, n: int, upto: int) -> None:
+        """Applies the source's batches up to ``upto`` that ``name`` has not applied yet."""
         table = self.tables[name]
         applied = table.applied(self.spark, before=n)
-        if done > applied:
-            self.apply(name, n, applied, done)
-            table.mark(self.spark, n, done)
+        if upto > applied:
+            self.apply(name, n, applied, upto)
+            table.mark(self.spark, n, upto)
 
     # ---- micro-batches ----
 

@@ -1,13 +1,16 @@
 """Keyed tables on plain Parquet: append a batch, read the latest row per key.
 
 Each micro-batch writes its changed rows to its own folder ``batch_id=<n>``,
-overwriting it when the batch is replayed.  The newest row per key wins; a row
+overwriting it when the batch is replayed.  The number belongs to the table, not
+to a checkpoint: a query that takes over, or starts again without its checkpoint,
+goes on above everything stored (``version``).  The newest row per key wins; a row
 with ``is_deleted`` hides its key.  The key decides the partition, so a partition
 can be folded on its own: ``compact`` rewrites only partitions that changed.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -143,6 +146,41 @@ class KeyedTable:
         found = fs.globStatus(_path(spark, folder + "/*" * len(self.partitions))[0])
         return [s.getPath().toUri().getPath()[cut:] for s in found]
 
+    # ---- which query wrote which numbers
+
+    def _turns(self, spark: SparkSession) -> list[tuple[int, int, int, str]]:
+        """(turn, its first number, the query's batch at that number, query), in order."""
+        root, fs = _path(spark, f"{self.path}/writers")
+        if not fs.exists(root):
+            return []
+        names = [s.getPath().getName().split("-", 3) for s in fs.listStatus(root)]
+        return sorted((int(turn), int(base), int(first), writer) for turn, base, first, writer in names)
+
+    def version(self, spark: SparkSession, writer: str, n: int) -> int:
+        """The number under which ``writer`` stores its batch ``n``; the same on a replay.
+
+        A query that was not the last to write begins a new turn."""
+        turns = self._turns(spark)
+        if turns and turns[-1][3] == writer and turns[-1][2] <= n:
+            return turns[-1][1] + n - turns[-1][2]
+        used = [*_numbered(spark, self.log), *_numbered(spark, self.folded), *(t[1] for t in turns),
+                *(at for at, _ in self._marks(spark))]
+        base = max(used, default=-1) + 1
+        path, fs = _path(spark, f"{self.path}/writers/{len(turns)}-{base}-{n}-{writer}")
+        fs.create(path, True).close()
+        return base
+
+    def finished(self, spark: SparkSession, checkpoints: str) -> int:
+        """The highest number that no query will write again."""
+        turns = self._turns(spark)
+        if not turns:
+            return max(_numbered(spark, self.log), default=-1)
+        _, base, first, writer = turns[-1]
+        name, identity = writer.rsplit(".", 1)
+        if query_identity(spark, f"{checkpoints}/{name}") != identity:  # that checkpoint is gone
+            return max(_numbered(spark, self.log), default=-1)
+        return base + committed(spark, f"{checkpoints}/{name}") - first
+
     # ---- how far this table has applied the batches of the one it derives from
 
     def mark(self, spark: SparkSession, n: int, source_batch: int) -> None:
@@ -153,16 +191,18 @@ class KeyedTable:
                 fs.delete(status.getPath(), False)
 
     def applied(self, spark: SparkSession, before: int) -> int:
+        return max((src for n, src in self._marks(spark) if n < before), default=-1)
+
+    def _marks(self, spark: SparkSession) -> list[tuple[int, int]]:
         root, fs = _path(spark, f"{self.path}/applied")
         if not fs.exists(root):
-            return -1
-        pairs = [s.getPath().getName().split("-") for s in fs.listStatus(root)]
-        return max((int(src) for n, src in pairs if int(n) < before), default=-1)
+            return []
+        return [tuple(map(int, s.getPath().getName().split("-"))) for s in fs.listStatus(root)]
 
 
 def _numbered(spark: SparkSession, folder: str) -> list[int]:
     root, fs = _path(spark, folder)
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
     return sorted(int(x[len(BATCH) + 1:]) for x in names if x.startswith(f"{BATCH}="))
 
 
@@ -175,6 +215,18 @@ def committed(spark: SparkSession, checkpoint: str) -> int:
     return max((int(x) for x in names if x.isdigit()), default=-1)
 
 
+def query_identity(spark: SparkSession, checkpoint: str) -> str | None:
+    """What a streaming query keeps in its checkpoint for life; None without a checkpoint."""
+    path, fs = _path(spark, f"{checkpoint}/metadata")
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
+
+
 def _path(spark: SparkSession, path: str):
     """Hadoop path and its file system, so any cluster store works."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from footfall.operators import gold as g
@@ -11,6 +12,7 @@ from footfall.operators.silver import silver_stream
 from footfall.schemas import KEYS, columns_of, struct_of
 from footfall.session import shared_dir
 from footfall.sources.frames import stream_jsonl
+from footfall.streaming import jobs
 from footfall.streaming.jobs import STAGE, VIEWS, Pipeline
 from footfall.streaming.keyed import KeyedTable
 
@@ -47,6 +49,7 @@ WAVES = [
         frame(4, 40, [(0, 0.97, 1, 80.0)], "s0"),           # moves back
         frame(90, 3700, [(0, 0.5, 4, 10.0)], "s1"),
         frame(91, 5, [(0, 0.5, 4, 10.0)], "s1"),            # late
+        frame(92, 6, [(0, 0.5, 4, 10.0)], ""),              # a store without a name
     ],
 ]
 
@@ -110,6 +113,68 @@ def test_layers_run_in_turn_and_end_like_batch(spark, expected, form):
     assert dead > 0 and pipeline.bronze().count() == sum(len(w) for w in WAVES)
 
 
+def run_wave(spark, pipeline, landing, wave, views=True):
+    lines(spark, wave).write.mode("append").text(landing)
+    pipeline.start_bronze(stream_jsonl(spark, landing)).awaitTermination()
+    pipeline.start_silver().awaitTermination()
+    for name in VIEWS if views else ():
+        pipeline.start_view(name).awaitTermination()
+
+
+def test_queries_may_take_turns(spark, expected):
+    """Views, then one job, then views again, on one root."""
+    landing, pipeline = shared_dir(spark, "t-land"), Pipeline(spark, shared_dir(spark, "t-turns"), now=now())
+    for n, wave in enumerate(WAVES):
+        run_wave(spark, pipeline, landing, wave, views=n != 1)
+        if n == 1:
+            pipeline.start_all().awaitTermination()
+    check(pipeline, expected)
+
+
+def test_a_lost_checkpoint_goes_on_above_what_is_stored(spark, expected):
+    landing, root = shared_dir(spark, "t-land"), shared_dir(spark, "t-lost")
+    first = Pipeline(spark, root, now=now())
+    for wave in WAVES[:2]:
+        run_wave(spark, first, landing, wave)
+    lines(spark, WAVES[2]).write.mode("append").text(landing)
+    first.start_bronze(stream_jsonl(spark, landing)).awaitTermination()
+    second = Pipeline(spark, root, now=now(), checkpoints=f"{root}/_new")
+    second.start_silver().awaitTermination()
+    for name in VIEWS:
+        second.start_view(name).awaitTermination()
+    check(second, expected)
+
+
+def test_a_late_commit_fails_and_is_tried_again(spark, expected, monkeypatch):
+    landing, pipeline = shared_dir(spark, "t-land"), Pipeline(spark, shared_dir(spark, "t-late"), now=now())
+    for wave in WAVES[:-1]:
+        run_wave(spark, pipeline, landing, wave)
+    run_wave(spark, pipeline, landing, WAVES[-1], views=False)
+    finished = KeyedTable.finished
+    for name in VIEWS:
+        if VIEWS[name].how != "recompute":
+            with monkeypatch.context() as late:
+                late.setattr(jobs, "COMMIT_WAIT", 0.0)
+                late.setattr(KeyedTable, "finished", lambda table, *a: finished(table, *a) - 1)
+                with pytest.raises(StreamingQueryException):
+                    pipeline.start_view(name).awaitTermination()
+        pipeline.start_view(name).awaitTermination()
+    check(pipeline, expected)
+
+
+def test_two_running_writers_are_refused(spark):
+    landing, pipeline = shared_dir(spark, "t-land"), Pipeline(spark, shared_dir(spark, "t-two"), now=now())
+    run_wave(spark, pipeline, landing, WAVES[0], views=False)
+    running = pipeline.start_view("gold_minute_by_cam", "1 hour")
+    try:
+        with pytest.raises(RuntimeError, match="same tables"):
+            pipeline.start_all()
+        with pytest.raises(RuntimeError, match="same tables"):
+            pipeline.start_view("gold_minute_by_cam")
+    finally:
+        running.stop()
+
+
 @pytest.mark.parametrize("fold", [False, True])
 def test_replay_and_compaction_change_nothing(spark, expected, fold):
     root = shared_dir(spark, "t-replay")

@@ -471,6 +471,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_gold_track": gold["track"],
         "stream_gold_all": _all_gold(),
         "stream_gold_switch": _all_gold(),
+        "catalog_gold": over("minute", """SELECT 'gold_minute_by_cam' AS table_name, store_id, camera_id, ts_minute,
+          detection_count AS detections, CAST(7 AS INTEGER) AS columns FROM minute UNION ALL
+          SELECT 'gold_people_per_minute', store_id, camera_id, ts_minute, count(*), CAST(5 AS INTEGER)
+          FROM (SELECT store_id, camera_id, date_trunc('minute', capture_ts) AS ts_minute FROM silver) s GROUP BY ALL"""),
         "upsert_latest": gold["people"],
         "stream_smooth": _SMOOTH,
     }

@@ -27,7 +27,7 @@ from footfall.plans import live
 from footfall.plans.layers import layers
 from footfall.schemas import FRAME_RECORD
 from footfall.session import shared_dir
-from footfall.sources import frames
+from footfall.sources import frames, tables
 
 F2_FRAME = ["store_id", "camera_id", "fr"]
 F2_TRACK = ["store_id", "camera_id", "track_id"]
@@ -112,6 +112,23 @@ def gold_silver_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.gold_silver_diff(damaged, layers(spark, sf_dir).silver(), as_of)
 
 
+def catalog_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold published to catalog tables and read back by name, with what the catalog says of them."""
+    database, work = "footfall_gold", shared_dir(spark, "catalog")
+    before = spark.catalog.currentDatabase()
+    tables.create_database(spark, database, use=False)
+    parts = []
+    for name in ("gold_minute_by_cam", "gold_people_per_minute"):
+        table = f"{database}.{name}_{work.rsplit('-', 1)[1]}"
+        tables.publish(layers(spark, sf_dir).gold(name), name, table, f"{work}/{name}")
+        count = {"gold_minute_by_cam": "detection_count", "gold_people_per_minute": "detections"}[name]
+        parts.append(spark.table(table).select(
+            F.lit(name).alias("table_name"), "store_id", "camera_id", "ts_minute", F.col(count).alias("detections"),
+            F.lit(tables.describe_table(spark, table).count()).alias("columns")))
+    spark.catalog.setCurrentDatabase(before)
+    return parts[0].unionByName(parts[1])
+
+
 def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = label_lookup(layers(spark, sf_dir).silver().select("class_id"), labels(spark))
     return rows.groupBy("class_id", "label").agg(F.count(F.lit(1)).alias("detections"))
@@ -145,6 +162,7 @@ def queries() -> dict[str, Query]:
         "silver_dedup": _parsed(
             lambda t: s.silver_dedup(s.silver_clean(t)).select(*s.DEDUP_KEY, "conf", "track_id")),
         "silver_batch": _bronze(s.silver_batch),
+        "catalog_gold": catalog_gold,
         "describe_silver": lambda sp, d: q.describe(layers(sp, d).silver()),
         "label_lookup": label_counts,
         # Gold

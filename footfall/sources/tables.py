@@ -94,6 +94,13 @@ def insert_into(df: DataFrame, name: str, table: str | None = None, overwrite: b
     laid_out(df, name).select(*target.columns).write.insertInto(table or name, overwrite=overwrite)
 
 
+def publish(df: DataFrame, name: str, table: str, location: str | None = None) -> None:
+    """The rows as catalog table ``table`` of the data model, replacing what it held, so that
+    dashboards can name it. For a streamed table pass its latest rows (``Pipeline.view``)."""
+    create_table(df.sparkSession, name, table, location)
+    insert_into(df, name, table, overwrite=True)
+
+
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES")
 

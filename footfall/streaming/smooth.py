@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -47,14 +48,16 @@ def smooth_stream(
     boxes: DataFrame, track_key: list[str], order: list[str],
     alpha: float = ALPHA, min_iou: float = MIN_IOU,
 ) -> DataFrame:
-    """Streaming boxes clipped and smoothed; rows without a track are left out."""
+    """Streaming boxes clipped and smoothed; rows without a track are clipped alone."""
     spark: SparkSession = boxes.sparkSession
     provider = "spark.sql.streaming.stateStore.providerClass"
     spark.conf.set(provider, SETTINGS[provider])
-    tracked = clip_bbox(boxes.where(f"{track_key[-1]} >= 0"))
+    has_track = F.coalesce(F.col(track_key[-1]) >= 0, F.lit(False))
+    tracked = clip_bbox(boxes.where(has_track))
     processor = SmoothTrack(order, alpha, min_iou)
-    return tracked.groupBy(*track_key).transformWithState(
+    smoothed = tracked.groupBy(*track_key).transformWithState(
         processor, tracked.schema, outputMode="append", timeMode="none")
+    return smoothed.unionByName(clip_bbox(boxes.where(~has_track)))
 
 
 def start_smooth(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

@@ -114,3 +114,26 @@ def test_smoothing_equals_one_pass_however_it_is_cut(spark, block_rows, tail_row
     boxes = spark.createDataFrame([tuple(r.values()) for r in rows], schema)
     got = smooth_bbox(boxes, ["track_id"], ["n"], block_rows=block_rows, tail_rows=tail_rows).collect()
     assert {r.n: (r.x1, r.y1, r.x2, r.y2) for r in got} == walk(rows)
+
+
+def test_a_fold_beyond_the_group_limit_is_refused(spark):
+    boxes = spark.createDataFrame([("s", "c", 1, 0, "d", 0.5, 0.0, 0.0, 1.0, 1.0)],
+                                  "store_id string, camera_id string, frame_index int, class_id int, det_id string,"
+                                  " conf double, x1 double, y1 double, x2 double, y2 double")
+    with pytest.raises(ValueError, match="fold"):
+        g.nms_per_frame(boxes, fold=5000)
+
+
+def test_live_smoothing_keeps_boxes_without_a_track(spark):
+    from footfall.session import shared_dir
+    from footfall.streaming.smooth import smooth_stream, start_smooth
+
+    kinds = "cam string, track_id long, fr int, img_w int, img_h int, x1 double, y1 double, x2 double, y2 double"
+    rows = [("c", t, i, 100, 100, 10.0 + i, 10.0, 150.0, 40.0) for t in (7, None, -1) for i in range(2)]
+    boxes, landing, out = spark.createDataFrame(rows, kinds), shared_dir(spark, "t-boxes"), shared_dir(spark, "t-smooth")
+    boxes.write.parquet(landing)
+    stream = smooth_stream(spark.readStream.schema(boxes.schema).parquet(landing), ["cam", "track_id"], ["fr"])
+    start_smooth(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    got = sorted(((r.track_id or 0, r.fr, r.x1, r.x2) for r in spark.read.parquet(f"{out}/rows").collect()))
+    assert [g[:2] for g in got] == [(-1, 0), (-1, 1), (0, 0), (0, 1), (7, 0), (7, 1)]
+    assert got[1][2] == 11.0 and 10.0 < got[5][2] < 11.0

@@ -459,9 +459,9 @@ def _near(
 ) -> Column | None:
     """A filter on where ``rows`` lie: folder names and value ranges, None for no rows.
 
-    It prunes folders and row groups; the exact match is made by a join.  One
-    small aggregate reaches the driver: bounds, and the folder names of one
-    micro-batch, which become a list while it is short and a range beyond.
+    It prunes folders and row groups; the exact match is made by a join.  Only
+    bounds reach the driver, and up to ``PRUNE_LIST`` folder names; where a
+    micro-batch has more, a range takes the place of the list.
     ``wider`` is added to an upper bound, which is then left open.
     """
     wider = wider or {}
@@ -470,7 +470,6 @@ def _near(
     found = rows.agg(
         F.count(F.lit(1)),
         *[F.min(c).cast("string") for c in both], *[F.max(c).cast("string") for c in both],
-        *[F.collect_set(F.col(c).cast("string")) for c in folders],
     ).first()
     if not found[0]:
         return None
@@ -481,8 +480,8 @@ def _near(
     test = F.lit(True)
     for i, c in enumerate(both):
         lo, hi = value(found[1 + i], c), value(found[1 + len(both) + i], c)
-        names = found[1 + 2 * len(both) + i] if c in folders else []
-        if 0 < len(names) <= PRUNE_LIST:
+        names = _few(rows, c) if c in folders else []
+        if names:
             test = test & F.col(c).isin([value(x, c) for x in names])
         elif c in wider:
             test = test & (F.col(c) >= lo) & (F.col(c) < hi + wider[c])
@@ -491,14 +490,23 @@ def _near(
     return test
 
 
+def _few(rows: DataFrame, column: str) -> list[str]:
+    """The values of a column as text, if there are at most ``PRUNE_LIST``."""
+    names = [r[0] for r in rows.select(F.col(column).cast("string")).where(
+        F.col(column).isNotNull()).distinct().limit(PRUNE_LIST + 1).collect()]
+    return names if len(names) <= PRUNE_LIST else []
+
+
 def _near_tracks(rows: DataFrame) -> Column | None:
-    """Store folders and the range of track ids; trackless rows would widen it to everything."""
-    tracked = rows.withColumn("track_id", F.when(F.col("track_id") >= 0, F.col("track_id")))
-    lo, hi, stores = tracked.agg(
-        F.min("track_id"), F.max("track_id"), F.collect_set("store_id")).first()
-    if not stores:
+    """Store folders and the range of track ids. Trackless rows would widen the range to
+    everything, so they are a term of their own, where ``rows`` have any."""
+    tracked = F.when(F.col("track_id") >= 0, F.col("track_id"))
+    lo, hi, first, last, trackless = rows.agg(
+        F.min(tracked), F.max(tracked), F.min("store_id"), F.max("store_id"),
+        F.max((F.col("track_id") < 0).cast("int"))).first()
+    if first is None:
         return None
-    test = F.col("store_id").isin(stores) if len(stores) <= PRUNE_LIST else \
-        F.col("store_id").between(min(stores), max(stores))
-    trackless = F.col("track_id") < 0
-    return test & (trackless if lo is None else trackless | F.col("track_id").between(lo, hi))
+    stores = _few(rows, "store_id")
+    test = F.col("store_id").isin(stores) if stores else F.col("store_id").between(first, last)
+    near = F.lit(False) if lo is None else F.col("track_id").between(lo, hi)
+    return test & (near | (F.col("track_id") < 0) if trackless else near)

@@ -363,11 +363,12 @@ def _bucket_pairs(radius: int, masks: list[int], similarity: float, most: int, n
                 if len(more):
                     members = content[start + more]
                     yield emit(_MORE, members, np.full(len(members), members.min()))
-                if stop - start <= ALL_PAIRS and mask[start]:
-                    # A pair is proposed by the first table in which it meets.
-                    xor = own[a] ^ own[b]
-                    first = ((xor[:, None] & tables[None, :mask[start]]) != 0).all(1)
-                    a, b = a[first], b[first]
+                # A pair is proposed by the first table in which it meets, and once. Where that one
+                # left it out, both its members have been named as members of left-out pairs.
+                a, b = np.divmod(np.unique(np.minimum(a, b) * len(own) + np.maximum(a, b)), len(own))
+                xor = own[a] ^ own[b]
+                first = ((xor[:, None] & tables[None, :mask[start]]) != 0).all(1)
+                a, b = a[first], b[first]
                 size_a, size_b = n[start + a], n[start + b]
                 alike = np.minimum(size_a, size_b) >= 0.8 * similarity * np.maximum(size_a, size_b)
                 found.append((content[start + a[alike]], content[start + b[alike]]))

@@ -210,13 +210,12 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score, ambiguous`` for every row."""
-    carried = docs.sparkSession.sparkContext.broadcast(model)  # DIMS x bits numbers
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = carried.value
+        # The model, DIMS x bits numbers, travels with the function.
         for batch in batches:
-            rows = [held.predict(t.as_py()) for t in batch.column(1)]
+            rows = [model.predict(t.as_py()) for t in batch.column(1)]
             columns = list(zip(*rows)) or [[]] * 3
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.float64()),

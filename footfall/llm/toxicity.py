@@ -381,14 +381,12 @@ def _fit(sample: DataFrame, entries: list[Entry], share: dict[int, float], prior
 
 def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, score, predicted, finds`` for every row."""
-    carried = docs.sparkSession.sparkContext.broadcast(model)  # MAX_ENTRIES words
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = carried.value
-        lexicon = Lexicon(list(held.entries), held.edits)
+        lexicon = Lexicon(list(model.entries), model.edits)
         for batch in batches:
-            rows = [held.score(t.as_py(), lexicon) for t in batch.column(1)]
+            rows = [model.score(t.as_py(), lexicon) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in rows], pa.float64()),
                  pa.array([int(r[0] >= 0.5) for r in rows], pa.int32()),
@@ -400,14 +398,12 @@ def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text:
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows that score below ``threshold``, with all columns."""
-    carried = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = carried.value
-        lexicon = Lexicon(list(held.entries), held.edits)
+        lexicon = Lexicon(list(model.entries), model.edits)
         for batch in batches:
-            stay = [held.score(t.as_py(), lexicon)[0] < threshold for t in batch.column(at)]
+            stay = [model.score(t.as_py(), lexicon)[0] < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(stay, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -56,7 +56,8 @@ def url_path(url: Column) -> Column:
 
 def url_tokens(host: Column, path: Column) -> Column:
     """Words of host and path; numbers are one token of their kind."""
-    words = lambda text: F.regexp_extract_all(ascii_lower(text), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
+    run = F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    words = lambda text: F.regexp_extract_all(ascii_lower(text), run, F.lit(0))
     plain = lambda kind: lambda w: F.concat(F.lit(kind), F.when(w.rlike("^[0-9]+$"), F.lit("#")).otherwise(w))
     return F.array_distinct(F.concat(F.transform(words(host), plain("host:")), F.transform(words(path), plain("path:"))))
 

@@ -19,9 +19,11 @@ covering of other masks, which splits it and loses no pair either.
 
 **Components** are found by joins (see ``components``).
 
-``near_duplicates`` is for texts that are similar rather than nearly equal: word shingles
-with a Jaccard similarity of 0.8 or more. There a small fingerprint distance of the *word
-sets* proposes pairs, and an exact comparison of the shingle sets decides.
+``similar_groups`` is for texts that are similar rather than nearly equal: word shingles
+with a Jaccard similarity of 0.8 or more. A small fingerprint distance of the *word sets*
+proposes pairs cheaply, but misses copies with a block cut off or added. Bands of MinHashes
+of the shingles therefore propose all pairs that are not yet in one group, and an exact
+comparison of the shingle sets decides.
 
 Null and empty texts have no shingles and fingerprint zero; they are linked like any
 other. A null id is never the smallest unless all ids of a group are null. Rows may
@@ -245,14 +247,16 @@ SIMILARITY = 0.8
 SHINGLE_WORDS = 5
 WORD_RADIUS, WORD_PARTS = 9, 2  # bits between the word-set fingerprints of a proposed pair
 MIN_BITS = 256                  # bits of a second sketch of the shingles, one MinHash each
+BANDS, BAND_ROWS = 32, 4        # a pair of similarity s meets in no band with (1 - s^4)^32: 5e-8 at 0.8
 ALL_PAIRS = 64                  # members of a bucket up to which every pair is proposed
 NEAREST = 4                     # beyond: the nearest of each member; the rest goes by blocks
 BLOCK_ROWS = 1_000              # texts of a dense cluster that are compared with as many others
 
 
 def word_set_fingerprint(words: list[bytes]) -> int:
-    """The fingerprint of the distinct words. Where shingles are similar to 0.8, word sets
-    are to about 0.95, so their fingerprints differ in few bits."""
+    """The fingerprint of the distinct words. Where scattered words are edited, shingles similar
+    to 0.8 go with word sets similar to about 0.95, so fingerprints differ in few bits. Where a
+    block is cut off or added they need not."""
     found = [xxhash.xxh64_digest(w, SEED) for w in sorted(set(words))]
     return majority(np.frombuffer(b"".join(found), np.uint8).reshape(-1, 8))
 
@@ -263,33 +267,49 @@ _SHIFTS = _rng.integers(0, 1 << 32, MIN_BITS, dtype=np.uint32)
 SKETCH = ["s0", "s1", "s2", "s3"]
 
 
-def min_bits(hashes: np.ndarray) -> np.ndarray:
-    """One bit of each of ``MIN_BITS`` MinHashes, as four numbers. Bits of two texts differ
-    with a probability of (1 - similarity) / 2."""
+_MIX = _rng.integers(0, 1 << 62, BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def min_hashes(hashes: np.ndarray) -> np.ndarray:
+    """``MIN_BITS`` MinHashes; those of two texts are equal with a probability of their similarity."""
     codes = np.ascontiguousarray(hashes).view(np.uint32).reshape(-1, 2)[:, 0]
     least = np.full(MIN_BITS, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(codes), 1024):
         least = np.minimum(least, (_FACTORS[:, None] * codes[None, i:i + 1024] + _SHIFTS[:, None]).min(1))
+    return least
+
+
+def min_bits(least: np.ndarray) -> np.ndarray:
+    """One bit of each MinHash, as four numbers. Bits of two texts differ with a probability
+    of (1 - similarity) / 2."""
     return np.packbits(least * np.uint32(0x9E3779B1) >> np.uint32(31)).view(np.int64)
 
 
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A number for each band of ``BAND_ROWS`` MinHashes."""
+    rows = least[:BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS).astype(np.uint64)
+    return (rows * _MIX).sum(1, dtype=np.uint64).view(np.int64)
+
+
 def most_mismatches(similarity: float) -> int:
-    """Bits in which texts of ``similarity`` differ, and 3.5 standard deviations more."""
+    """Bits in which texts of ``similarity`` differ, and 6 standard deviations more."""
     p = (1 - similarity) / 2
-    return int(np.ceil(MIN_BITS * p + 3.5 * np.sqrt(MIN_BITS * p * (1 - p))))
+    return int(np.ceil(MIN_BITS * p + 6 * np.sqrt(MIN_BITS * p * (1 - p))))
 
 
 def _sketches(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = [_fold(t.as_py()) for t in batch.column(1)]
-            bits = [min_bits(shingle_hashes(w, words)) for w in lists]
-            sketch = np.array(bits, np.int64).reshape(-1, len(SKETCH))
+            least = [min_hashes(shingle_hashes(w, words)) for w in lists]
+            sketch = np.array([min_bits(m) for m in least], np.int64).reshape(-1, len(SKETCH))
+            bands = np.array([band_keys(m) for m in least], np.int64).reshape(-1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([word_set_fingerprint(w) for w in lists], pa.int64()),
                  pa.array([len(w) for w in lists], pa.int64()),
-                 *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH)))],
-                ["content", "fingerprint", "n_words", *SKETCH])
+                 *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * BANDS), pa.array(bands))],
+                ["content", "fingerprint", "n_words", *SKETCH, "bands"])
     return run
 
 
@@ -399,6 +419,78 @@ def _propose_pairs(rows: DataFrame, radius: int, parts: int, similarity: float,
         above = F.col("above")
 
 
+def _in_several_groups(most: int):
+    """Rows (bucket, content) of the buckets whose members are not all in one group."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket, content, root), bounds, large in _runs(batches, most):
+            size, start = np.diff(bounds), bounds[:-1]
+            apart = np.minimum.reduceat(root, start) != np.maximum.reduceat(root, start)
+            keep = np.repeat(apart | large, size)  # of a large bucket a piece may be in one group
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[keep]), pa.array(content[keep])], ["bucket", "content"])
+    return run
+
+
+_BAND_PAIR = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+
+
+def _band_pairs(similarity: float, most: int):
+    """Proposed pairs between groups, of a bucket above ``ALL_PAIRS`` only within slices of so
+    many members and each with its nearest. All its members are then given, too, with one
+    that stands for the bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mismatches = most_mismatches(similarity)
+        stands = None  # (bucket, member) of the bucket that comes in pieces
+
+        def emit(kind, a, b):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)], schema=_BAND_PAIR)
+
+        for (bucket, content, root, *sketch), bounds, large in _runs(batches, most):
+            sketch = np.column_stack(sketch).view(np.uint64)
+            left, right = [], []
+            for start, stop in zip(bounds[:-1], bounds[1:]):
+                dense = large or stop - start > ALL_PAIRS
+                # Slices differ from table to table, so that groups grow together.
+                order = start + (np.argsort(content[start:stop] ^ bucket[start]) if dense else np.arange(stop - start))
+                for i in range(0, len(order), ALL_PAIRS):
+                    own = order[i:i + ALL_PAIRS]
+                    apart = np.bitwise_count(sketch[own, None] ^ sketch[None, own]).sum(2, dtype=np.int64)
+                    apart[root[own, None] == root[None, own]] = MIN_BITS + 1
+                    if dense:
+                        a, b = np.arange(len(own)), apart.argmin(1)
+                        met = apart[a, b] <= mismatches
+                        a, b = a[met], b[met]
+                    else:
+                        a, b = np.nonzero(np.triu(apart <= mismatches, 1))
+                    left.append(content[own[a]])
+                    right.append(content[own[b]])
+                if dense:
+                    if not large or stands is None or stands[0] != bucket[start]:
+                        stands = bucket[start], content[start]
+                    yield emit(_MORE, content[start:stop], np.full(stop - start, stands[1]))
+            if left:
+                a, b = np.concatenate(left), np.concatenate(right)
+                yield emit(_PROPOSED, np.minimum(a, b), np.maximum(a, b))
+    return run
+
+
+def _propose_by_bands(sketches: DataFrame, groups: DataFrame, similarity: float, most: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` that share a band and are not in one group yet, and links ``a, b`` between
+    the members of dense bands."""
+    rooted = sketches.join(groups.withColumnRenamed("node", "content"), "content", "left").withColumn(
+        "root", F.coalesce("root", "content"))
+    rooted = written(rooted.select("content", "root", *SKETCH, "bands"), "rooted")
+    keys = rooted.select("content", "root", F.posexplode("bands").alias("band", "key")).select(
+        F.xxhash64("band", "key").alias("bucket"), "content", "root")
+    shared = keys.repartition("bucket").sortWithinPartitions("bucket", "content").mapInArrow(
+        _in_several_groups(most), "bucket long, content long")
+    rows = written(shared, "shared-bands").join(rooted.drop("bands"), "content").select("bucket", "content", "root", *SKETCH)
+    out = written(rows.repartition("bucket").sortWithinPartitions("bucket", "content").mapInArrow(
+        _band_pairs(similarity, most), "kind int, a long, b long"), "band-pairs")
+    pairs, more = (out.where(F.col("kind") == k).select("a", "b").distinct() for k in (_PROPOSED, _MORE))
+    return pairs, more
+
+
 def _sets_of(wanted: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """``content, shingles`` (sorted hashes of the distinct shingles) of the wanted contents."""
     met = texts.join(wanted.hint("merge"), "content", "left_semi")
@@ -417,13 +509,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return both.where(F.col("similarity") >= similarity)
 
 
-def _compare_blocks(radius: int, similarity: float):
+def _compare_blocks(similarity: float):
     """Links between the texts of two blocks that are not yet in one group, by exact comparison."""
     def run(table: pa.Table) -> pa.Table:
         mismatches = most_mismatches(similarity)
         column = {c: table.column(c).to_numpy() for c in table.column_names if c != "shingles"}
         sets = [s.values.to_numpy() for s in table.column("shingles").combine_chunks()]
-        fp, content = column["fingerprint"].view(np.uint64), column["content"]
+        content = column["content"]
         sketch = np.column_stack([column[c] for c in SKETCH]).view(np.uint64)
         parent: dict[int, int] = {}
 
@@ -435,12 +527,11 @@ def _compare_blocks(radius: int, similarity: float):
         roots = column["root"].tolist()
         links: list[tuple[int, int]] = []
         two = len(set(column["block"].tolist())) > 1
-        for i in range(len(fp)):
-            near = np.flatnonzero(np.bitwise_count(fp[i + 1:] ^ fp[i]) <= radius) + i + 1
+        for i in range(len(content)):
+            apart = np.bitwise_count(sketch[i + 1:] ^ sketch[i]).sum(1, dtype=np.int64)
             if two:
-                near = near[column["block"][near] != column["block"][i]]
-            apart = np.bitwise_count(sketch[near] ^ sketch[i]).sum(1, dtype=np.int64)
-            for j in near[np.argsort(apart)][:int((apart <= mismatches).sum())].tolist():
+                apart[column["block"][i + 1:] == column["block"][i]] = MIN_BITS + 1
+            for j in (np.argsort(apart)[:int((apart <= mismatches).sum())] + i + 1).tolist():
                 a, b = find(roots[i]), find(roots[j])
                 if a == b:
                     continue
@@ -453,7 +544,7 @@ def _compare_blocks(radius: int, similarity: float):
 
 
 def _dense_links(dense: DataFrame, sketches: DataFrame, groups: DataFrame, texts: DataFrame, words: int,
-                 similarity: float, radius: int) -> DataFrame:
+                 similarity: float) -> DataFrame:
     """What is left out in dense buckets: their members are cut into blocks, and every two
     blocks of a cluster meet in a task of their own. Pairs never leave it, only links do."""
     named = components(dense)
@@ -467,8 +558,8 @@ def _dense_links(dense: DataFrame, sketches: DataFrame, groups: DataFrame, texts
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     dealt = rows.withColumn("root", F.coalesce("root", "content")).withColumn("other", other).select(
         "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "block", "content", "fingerprint", "root", *SKETCH, "shingles")
-    return dealt.groupBy("cluster", "low", "high").applyInArrow(_compare_blocks(radius, similarity), "a long, b long")
+        "block", "content", "root", *SKETCH, "shingles")
+    return dealt.groupBy("cluster", "low", "high").applyInArrow(_compare_blocks(similarity), "a long, b long")
 
 
 def similar_groups(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
@@ -477,18 +568,27 @@ def similar_groups(docs: DataFrame, text: str = "text", words: int = SHINGLE_WOR
     are linked if their word shingles have a Jaccard similarity of ``similarity`` or more.
 
     Pairs within the fingerprint radius are proposed if a second sketch does not speak against
-    them, and decided by exact comparison. Dense buckets propose a few pairs a member; what
-    they leave out between texts that are not in one group by then is compared by blocks."""
+    them, and decided by exact comparison. Pairs of different groups that share a band of
+    MinHashes follow in the same way, whatever their fingerprints. Dense buckets propose a few
+    pairs a member; what they leave out between texts that are not in one group by then is
+    compared by blocks."""
     texts = docs.select(_content(docs[text]).alias("content"), docs[text].alias("text"))
     kinds = ["content", "fingerprint", "n_words", *SKETCH]
-    sketches = texts.mapInArrow(_sketches(words), ", ".join(f"{c} long" for c in kinds))
-    sketches = written(sketches.groupBy("content").agg(*(F.first(c).alias(c) for c in kinds[1:])), "sketches")
-    proposed, dense = _propose_pairs(sketches.where("n_words > 0"), radius, parts, similarity, most)
+    sketches = texts.mapInArrow(_sketches(words), ", ".join(f"{c} long" for c in kinds) + ", bands array<long>")
+    sketches = written(sketches.groupBy("content").agg(*(F.first(c).alias(c) for c in [*kinds[1:], "bands"])), "sketches")
+    worded = sketches.where("n_words > 0")
+    proposed, dense = _propose_pairs(worded, radius, parts, similarity, most)
     links = written(_verified(written(proposed, "pairs"), texts, words, similarity).select("a", "b"), "similar")
-    groups, dense = written(components(links), "groups"), written(dense, "dense")
+    groups = written(components(links), "groups")
+    proposed, more = _propose_by_bands(worded, groups, similarity, most)
+    found = written(_verified(written(proposed, "pairs"), texts, words, similarity).select("a", "b"), "similar")
+    if not found.isEmpty():
+        links = links.unionByName(found)
+        groups = written(components(links), "groups")
+    dense = written(dense.unionByName(more).distinct(), "dense")
     if dense.isEmpty():
         return groups
-    more = written(_dense_links(dense, sketches, groups, texts, words, similarity, radius), "dense-links")
+    more = written(_dense_links(dense, sketches, groups, texts, words, similarity), "dense-links")
     return written(components(links.unionByName(more)), "groups")
 
 

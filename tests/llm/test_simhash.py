@@ -164,3 +164,31 @@ def test_odd_and_empty_tables(spark):
     assert [r["doc_id"] for r in rows if r["text"] == ODD[0][1]] == [1]
     empty = empty_documents(spark)
     assert S.drop_similar(empty).count() == 0 and S.group_documents(empty).count() == 0
+
+
+def cut_and_extended_texts(groups=60):
+    rng = np.random.default_rng(23)
+    vocabulary = np.array([f"word{i}" for i in range(3000)])
+    rows = []
+    for at in range(groups):
+        base, block = (list(rng.choice(vocabulary, int(rng.integers(60, 400)))) for _ in range(2))
+        share = 0.1 + 0.08 * at / groups
+        rows += [" ".join(base), " ".join(base[:int(len(base) * (1 - share))]),
+                 " ".join(base + block[:int(len(base) * share)])]
+    return list(enumerate(rows))
+
+
+def test_cut_and_extended_copies_against_brute_force(spark):
+    rows = cut_and_extended_texts()
+    kept = rows_of(S.drop_similar(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted(r["doc_id"] for r in kept) == brute_kept(rows)
+
+
+def test_bands_miss_no_pair_of_the_similarity():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        shared, left, right = (rng.integers(0, 256, (n, 8), dtype=np.uint8) for n in (160, 20, 20))
+        a, b = (S.min_hashes(np.concatenate((shared, own))) for own in (left, right))  # similar to 0.8
+        assert (S.band_keys(a) == S.band_keys(b)).any()
+        apart = (S.min_bits(a) ^ S.min_bits(b)).view(np.uint64)
+        assert np.bitwise_count(apart).sum() <= S.most_mismatches(0.8)

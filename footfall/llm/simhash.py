@@ -301,15 +301,16 @@ def _sketches(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = [_fold(t.as_py()) for t in batch.column(1)]
-            least = [min_hashes(shingle_hashes(w, words)) for w in lists]
+            shingles = [np.unique(shingle_hashes(w, words).reshape(-1).view(np.int64)) for w in lists]
+            least = [min_hashes(x) for x in shingles]
             sketch = np.array([min_bits(m) for m in least], np.int64).reshape(-1, len(SKETCH))
             bands = np.array([band_keys(m) for m in least], np.int64).reshape(-1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([word_set_fingerprint(w) for w in lists], pa.int64()),
-                 pa.array([len(w) for w in lists], pa.int64()),
+                 pa.array([len(x) for x in shingles], pa.int64()),
                  *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(SKETCH))),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * BANDS), pa.array(bands))],
-                ["content", "fingerprint", "n_words", *SKETCH, "bands"])
+                ["content", "fingerprint", "n_shingles", *SKETCH, "bands"])
     return run
 
 
@@ -351,7 +352,7 @@ def propose(fp: np.ndarray, sketch: np.ndarray, radius: int, mismatches: int,
     return np.concatenate(left), np.concatenate(right), np.concatenate(more) if more else np.empty(0, np.int64)
 
 
-_NODE = ["fingerprint", "content", "n_words", *SKETCH]
+_NODE = ["fingerprint", "content", "n_shingles", *SKETCH]
 _PAIR = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), *((c, pa.int64()) for c in _NODE)])
 _PROPOSED, _AGAIN, _MORE = 0, 1, 2
 
@@ -390,7 +391,7 @@ def _bucket_pairs(radius: int, masks: list[int], similarity: float, most: int, n
                 first = ((xor[:, None] & tables[None, :mask[start]]) != 0).all(1)
                 a, b = a[first], b[first]
                 size_a, size_b = n[start + a], n[start + b]
-                alike = np.minimum(size_a, size_b) >= 0.8 * similarity * np.maximum(size_a, size_b)
+                alike = np.minimum(size_a, size_b) >= (similarity - 1e-9) * np.maximum(size_a, size_b)
                 found.append((content[start + a[alike]], content[start + b[alike]]))
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found))
@@ -573,10 +574,10 @@ def similar_groups(docs: DataFrame, text: str = "text", words: int = SHINGLE_WOR
     pairs a member; what they leave out between texts that are not in one group by then is
     compared by blocks."""
     texts = docs.select(_content(docs[text]).alias("content"), docs[text].alias("text"))
-    kinds = ["content", "fingerprint", "n_words", *SKETCH]
+    kinds = ["content", "fingerprint", "n_shingles", *SKETCH]
     sketches = texts.mapInArrow(_sketches(words), ", ".join(f"{c} long" for c in kinds) + ", bands array<long>")
     sketches = written(sketches.groupBy("content").agg(*(F.first(c).alias(c) for c in [*kinds[1:], "bands"])), "sketches")
-    worded = sketches.where("n_words > 0")
+    worded = sketches.where("n_shingles > 0")
     proposed, dense = _propose_pairs(worded, radius, parts, similarity, most)
     links = written(_verified(written(proposed, "pairs"), texts, words, similarity).select("a", "b"), "similar")
     groups = written(components(links), "groups")

@@ -192,3 +192,19 @@ def test_bands_miss_no_pair_of_the_similarity():
         assert (S.band_keys(a) == S.band_keys(b)).any()
         apart = (S.min_bits(a) ^ S.min_bits(b)).view(np.uint64)
         assert np.bitwise_count(apart).sum() <= S.most_mismatches(0.8)
+
+
+def repeated_lines():
+    rng = np.random.default_rng(29)
+    vocabulary = np.array([f"word{i}" for i in range(3000)])
+    rows = []
+    for _ in range(6):
+        base = " ".join(rng.choice(vocabulary, 200))
+        rows += [base, f"{base} {base}", base + f" {base[-80:]}" * 40]
+    return list(enumerate(rows))
+
+
+def test_repeated_lines_against_brute_force(spark):
+    rows = repeated_lines()
+    kept = rows_of(S.drop_similar(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted(r["doc_id"] for r in kept) == brute_kept(rows) == list(range(0, 18, 3))

@@ -14,8 +14,8 @@ differing bits, which needs far fewer masks for a large radius.
 **Buckets.** Rows (bucket, fingerprint) are sorted within partitions, and a task walks
 through one bucket after the other. Within a bucket a search over the unvisited members
 links only what is needed for connectivity, so a dense bucket gives a link per member,
-not all pairs. A bucket above ``BUCKET_ROWS`` is not held: its rows go on to a second
-covering of other masks, which splits it and loses no pair either.
+not all pairs. In ``group_documents`` a bucket above ``BUCKET_ROWS`` is not held: its rows go
+on to a second covering of other masks, which splits it and loses no pair either.
 
 **Components** are found by joins (see ``components``).
 
@@ -249,7 +249,8 @@ WORD_RADIUS, WORD_PARTS = 9, 2  # bits between the word-set fingerprints of a pr
 MIN_BITS = 256                  # bits of a second sketch of the shingles, one MinHash each
 BANDS, BAND_ROWS = 32, 4        # a pair of similarity s meets in no band with (1 - s^4)^32: 5e-8 at 0.8
 ALL_PAIRS = 64                  # members of a bucket up to which every pair is proposed
-NEAREST = 4                     # beyond: the nearest of each member; the rest goes by blocks
+NEAREST = 4                     # beyond: the nearest of each member, in slices of the bucket
+SLICE_ROWS = 256                # members of such a slice
 BLOCK_ROWS = 1_000              # texts of a dense cluster that are compared with as many others
 
 
@@ -327,97 +328,71 @@ def _shingle_sets(size: int):
 
 
 def propose(fp: np.ndarray, sketch: np.ndarray, radius: int, mismatches: int,
-            nearest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of positions within ``radius`` whose sketches agree but for ``mismatches`` bits,
-    and the members of pairs that are left out.
+            nearest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of positions within ``radius`` whose sketches agree but for ``mismatches`` bits.
 
     A small bucket gives all of them, a large one those of each member with its
     ``nearest`` others; so a dense group takes few pairs a member, not all."""
-    left, right, more = [], [], []
-    for i in range(0, len(fp), 256):
-        row, column = np.nonzero(np.bitwise_count(fp[i:i + 256, None] ^ fp[None, :]) <= radius)
-        row += i
-        pick = row < column if len(fp) <= ALL_PAIRS else row != column
-        row, column = row[pick], column[pick]
-        apart = np.bitwise_count(sketch[row] ^ sketch[column]).sum(1, dtype=np.int64)
-        row, column, apart = row[apart <= mismatches], column[apart <= mismatches], apart[apart <= mismatches]
-        if len(fp) > ALL_PAIRS:
-            order = np.lexsort((apart, row))
-            row, column = row[order], column[order]
-            place = np.arange(len(row)) - np.searchsorted(row, row)  # among the pairs of its row
-            more.append(np.unique(row[place >= nearest]))
-            row, column = row[place < nearest], column[place < nearest]
-        left.append(row)
-        right.append(column)
-    return np.concatenate(left), np.concatenate(right), np.concatenate(more) if more else np.empty(0, np.int64)
+    row, column = np.nonzero(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= radius)
+    pick = row < column if len(fp) <= ALL_PAIRS else row != column
+    row, column = row[pick], column[pick]
+    apart = np.bitwise_count(sketch[row] ^ sketch[column]).sum(1, dtype=np.int64)
+    row, column, apart = row[apart <= mismatches], column[apart <= mismatches], apart[apart <= mismatches]
+    if len(fp) > ALL_PAIRS:
+        order = np.lexsort((apart, row))
+        row, column = row[order], column[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)  # among the pairs of its row
+        row, column = row[place < nearest], column[place < nearest]
+    return row, column
+
+
+def _slices(content: np.ndarray, bucket: int, start: int, stop: int, most: int) -> Iterator[np.ndarray]:
+    """Positions of a run in slices of ``most``, which differ from bucket to bucket, so that
+    groups grow together over the tables."""
+    order = np.arange(start, stop)
+    if stop - start > most:
+        order = order[np.argsort(content[start:stop] ^ bucket)]
+    for i in range(0, len(order), most):
+        yield order[i:i + most]
 
 
 _NODE = ["fingerprint", "content", "n_shingles", *SKETCH]
-_PAIR = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), *((c, pa.int64()) for c in _NODE)])
-_PROPOSED, _AGAIN, _MORE = 0, 1, 2
 
 
 def _bucket_pairs(radius: int, masks: list[int], similarity: float, most: int, nearest: int):
-    """Rows of three kinds: proposed pairs ``a, b``; the rows of an oversized bucket, to be
-    dealt again; members ``a`` of left-out pairs with one, ``b``, that stands for their bucket."""
+    """Proposed pairs ``a, b``. A bucket above ``SLICE_ROWS`` is taken in slices, so that work
+    grows with its rows; what meets in no slice is left to the bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.array(masks, np.uint64)
-
         mismatches = most_mismatches(similarity)
-
-        def emit(kind, a, b=None, node=()):
-            zero = np.zeros(len(a), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), *(
-                pa.array(x) for x in (a, zero if b is None else b, *(node or [zero] * len(_NODE))))], schema=_PAIR)
-
-        for (bucket, mask, *node), bounds, large in _runs(batches, most):
-            if large:
-                yield emit(_AGAIN, bucket, None, node)
-                continue
-            fp, content, n = node[:3]
-            sketch = np.column_stack(node[3:])
+        for (bucket, mask, *node), bounds, _ in _runs(batches, most):
+            fp, content, n = node[0].view(np.uint64), *node[1:3]
+            sketch = np.column_stack(node[3:]).view(np.uint64)
             found = []
             many = np.diff(bounds) > 1
             for start, stop in zip(bounds[:-1][many], bounds[1:][many]):
-                own = fp[start:stop].view(np.uint64)
-                a, b, more = propose(own, sketch[start:stop].view(np.uint64), radius, mismatches, nearest)
-                if len(more):
-                    members = content[start + more]
-                    yield emit(_MORE, members, np.full(len(members), members.min()))
-                # A pair is proposed by the first table in which it meets, and once. Where that one
-                # left it out, both its members have been named as members of left-out pairs.
-                a, b = np.divmod(np.unique(np.minimum(a, b) * len(own) + np.maximum(a, b)), len(own))
-                xor = own[a] ^ own[b]
-                first = ((xor[:, None] & tables[None, :mask[start]]) != 0).all(1)
-                a, b = a[first], b[first]
-                size_a, size_b = n[start + a], n[start + b]
-                alike = np.minimum(size_a, size_b) >= (similarity - 1e-9) * np.maximum(size_a, size_b)
-                found.append((content[start + a[alike]], content[start + b[alike]]))
+                for at in _slices(content, bucket[start], start, stop, SLICE_ROWS):
+                    a, b = propose(fp[at], sketch[at], radius, mismatches, nearest)
+                    # A pair is proposed by the first table in which it meets, and once.
+                    a, b = np.divmod(np.unique(np.minimum(a, b) * len(at) + np.maximum(a, b)), len(at))
+                    a, b = at[a], at[b]
+                    first = (((fp[a] ^ fp[b])[:, None] & tables[None, :mask[start]]) != 0).all(1)
+                    a, b = a[first], b[first]
+                    alike = np.minimum(n[a], n[b]) >= (similarity - 1e-9) * np.maximum(n[a], n[b])
+                    found.append((content[a[alike]], content[b[alike]]))
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found))
                 if len(a):
-                    yield emit(_PROPOSED, np.minimum(a, b), np.maximum(a, b))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
     return run
 
 
-def _propose_pairs(rows: DataFrame, radius: int, parts: int, similarity: float, most: int) -> tuple[DataFrame, DataFrame]:
-    """Proposed pairs ``a, b``, and links ``a, b`` between members of left-out pairs."""
-    found, dense, level, above = None, None, 1, None
-    while True:
-        masks = covering_masks(radius, parts, seed=level)
-        dealt = bucketed(rows, F.col("fingerprint"), masks, above).select("bucket", "mask", *_NODE)
-        out = written(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-            _bucket_pairs(radius, masks, similarity, most if level < 4 else 1 << 62, NEAREST),
-            "kind int, a long, b long, " + ", ".join(f"{c} long" for c in _NODE)), "proposed")
-        pairs, more = (out.where(F.col("kind") == k).select("a", "b").distinct() for k in (_PROPOSED, _MORE))
-        found = pairs if found is None else found.unionByName(pairs)
-        dense = more if dense is None else dense.unionByName(more)
-        again = out.where(F.col("kind") == _AGAIN)
-        if level == 4 or again.isEmpty():
-            return found.where("a <> b").distinct(), dense.distinct()
-        level += 1
-        rows = again.select(F.col("a").alias("above"), *_NODE)
-        above = F.col("above")
+def _propose_pairs(rows: DataFrame, radius: int, parts: int, similarity: float, most: int) -> DataFrame:
+    """Proposed pairs ``a, b`` of contents whose fingerprints are within the radius."""
+    masks = covering_masks(radius, parts)
+    dealt = bucketed(rows, F.col("fingerprint"), masks).select("bucket", "mask", *_NODE)
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _bucket_pairs(radius, masks, similarity, most, NEAREST), "a long, b long").where("a <> b").distinct()
 
 
 def _in_several_groups(most: int):
@@ -432,13 +407,15 @@ def _in_several_groups(most: int):
     return run
 
 
+_PROPOSED, _MORE = 0, 1
 _BAND_PAIR = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
 
 def _band_pairs(similarity: float, most: int):
-    """Proposed pairs between groups, of a bucket above ``ALL_PAIRS`` only within slices of so
-    many members and each with its nearest. All its members are then given, too, with one
-    that stands for the bucket."""
+    """Rows of two kinds: proposed pairs between groups, of a bucket above ``ALL_PAIRS`` each
+    member with its nearest only; and members ``a`` of left-out pairs with one, ``b``, that
+    stands for their bucket. A bucket above ``BLOCK_ROWS`` is taken in slices, and all its
+    members are given as such, so that work grows with its rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mismatches = most_mismatches(similarity)
         stands = None  # (bucket, member) of the bucket that comes in pieces
@@ -450,25 +427,25 @@ def _band_pairs(similarity: float, most: int):
             sketch = np.column_stack(sketch).view(np.uint64)
             left, right = [], []
             for start, stop in zip(bounds[:-1], bounds[1:]):
-                dense = large or stop - start > ALL_PAIRS
-                # Slices differ from table to table, so that groups grow together.
-                order = start + (np.argsort(content[start:stop] ^ bucket[start]) if dense else np.arange(stop - start))
-                for i in range(0, len(order), ALL_PAIRS):
-                    own = order[i:i + ALL_PAIRS]
+                sliced = large or stop - start > BLOCK_ROWS
+                if sliced:
+                    if stands is None or stands[0] != bucket[start]:
+                        stands = bucket[start], content[start]
+                    yield emit(_MORE, content[start:stop], np.full(stop - start, stands[1]))
+                for own in _slices(content, bucket[start], start, stop, BLOCK_ROWS):
                     apart = np.bitwise_count(sketch[own, None] ^ sketch[None, own]).sum(2, dtype=np.int64)
                     apart[root[own, None] == root[None, own]] = MIN_BITS + 1
-                    if dense:
+                    met = apart <= mismatches
+                    if sliced or len(own) > ALL_PAIRS:
                         a, b = np.arange(len(own)), apart.argmin(1)
-                        met = apart[a, b] <= mismatches
-                        a, b = a[met], b[met]
+                        a, b = a[met[a, b]], b[met[a, b]]
+                        out = content[own[met.sum(1) > 1]]
+                        if len(out) and not sliced:
+                            yield emit(_MORE, out, np.full(len(out), out[0]))
                     else:
-                        a, b = np.nonzero(np.triu(apart <= mismatches, 1))
+                        a, b = np.nonzero(np.triu(met, 1))
                     left.append(content[own[a]])
                     right.append(content[own[b]])
-                if dense:
-                    if not large or stands is None or stands[0] != bucket[start]:
-                        stands = bucket[start], content[start]
-                    yield emit(_MORE, content[start:stop], np.full(stop - start, stands[1]))
             if left:
                 a, b = np.concatenate(left), np.concatenate(right)
                 yield emit(_PROPOSED, np.minimum(a, b), np.maximum(a, b))
@@ -546,18 +523,28 @@ def _compare_blocks(similarity: float):
 
 def _dense_links(dense: DataFrame, sketches: DataFrame, groups: DataFrame, texts: DataFrame, words: int,
                  similarity: float) -> DataFrame:
-    """What is left out in dense buckets: their members are cut into blocks, and every two
-    blocks of a cluster meet in a task of their own. Pairs never leave it, only links do."""
+    """What is left out in dense buckets, between texts that are not in one group. The members
+    of a cluster are cut into blocks, and two blocks meet in a task of their own; blocks of the
+    cluster's largest group meet only those of the rest. Pairs never leave a task, only links do."""
     named = components(dense)
     alone = dense.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("root"))
-    clusters = written(named.unionByName(alone.join(named, "node", "left_anti")).select(
-        F.col("node").alias("content"), F.col("root").alias("cluster")).distinct(), "clusters")
-    size = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("long").alias("blocks"))
-    members = clusters.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("content"), F.col("blocks")))
-    rows = members.join(sketches, "content").join(groups.withColumnRenamed("node", "content"), "content", "left").join(
-        _sets_of(clusters.select("content"), texts, words), "content")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = rows.withColumn("root", F.coalesce("root", "content")).withColumn("other", other).select(
+    clusters = named.unionByName(alone.join(named, "node", "left_anti")).select(
+        F.col("node").alias("content"), F.col("root").alias("cluster")).distinct()
+    clusters = written(clusters.join(groups.withColumnRenamed("node", "content"), "content", "left").withColumn(
+        "root", F.coalesce("root", "content")), "clusters")
+    size = clusters.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("cluster").agg(
+        F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n")).where("main.n < n")
+    blocks = lambda n: F.ceil(n / BLOCK_ROWS).cast("long")
+    size = size.select("cluster", F.col("main.root").alias("main"), blocks(F.col("n") - F.col("main.n")).alias("rest"),
+                       blocks(F.col("main.n")).alias("settled"))
+    place, main = F.xxhash64("content"), F.col("root") == F.col("main")
+    members = written(clusters.join(size, "cluster").select(
+        "content", "cluster", "root",
+        F.when(main, F.col("rest") + F.pmod(place, "settled")).otherwise(F.pmod(place, "rest")).alias("block"),
+        (F.col("rest") + F.when(main, 0).otherwise(F.col("settled"))).alias("others")), "members")
+    rows = members.join(sketches.select("content", *SKETCH), "content").join(
+        _sets_of(members.select("content").distinct(), texts, words), "content")
+    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1))).select(
         "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "block", "content", "root", *SKETCH, "shingles")
     return dealt.groupBy("cluster", "low", "high").applyInArrow(_compare_blocks(similarity), "a long, b long")
@@ -571,22 +558,22 @@ def similar_groups(docs: DataFrame, text: str = "text", words: int = SHINGLE_WOR
     Pairs within the fingerprint radius are proposed if a second sketch does not speak against
     them, and decided by exact comparison. Pairs of different groups that share a band of
     MinHashes follow in the same way, whatever their fingerprints. Dense buckets propose a few
-    pairs a member; what they leave out between texts that are not in one group by then is
-    compared by blocks."""
+    pairs a member; what dense bands leave out between texts that are not in one group by then
+    is compared by blocks."""
     texts = docs.select(_content(docs[text]).alias("content"), docs[text].alias("text"))
     kinds = ["content", "fingerprint", "n_shingles", *SKETCH]
     sketches = texts.mapInArrow(_sketches(words), ", ".join(f"{c} long" for c in kinds) + ", bands array<long>")
     sketches = written(sketches.groupBy("content").agg(*(F.first(c).alias(c) for c in [*kinds[1:], "bands"])), "sketches")
     worded = sketches.where("n_shingles > 0")
-    proposed, dense = _propose_pairs(worded, radius, parts, similarity, most)
+    proposed = _propose_pairs(worded, radius, parts, similarity, most)
     links = written(_verified(written(proposed, "pairs"), texts, words, similarity).select("a", "b"), "similar")
     groups = written(components(links), "groups")
-    proposed, more = _propose_by_bands(worded, groups, similarity, most)
+    proposed, dense = _propose_by_bands(worded, groups, similarity, most)
     found = written(_verified(written(proposed, "pairs"), texts, words, similarity).select("a", "b"), "similar")
     if not found.isEmpty():
         links = links.unionByName(found)
         groups = written(components(links), "groups")
-    dense = written(dense.unionByName(more).distinct(), "dense")
+    dense = written(dense, "dense")
     if dense.isEmpty():
         return groups
     more = written(_dense_links(dense, sketches, groups, texts, words, similarity), "dense-links")

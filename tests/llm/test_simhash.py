@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -208,3 +209,23 @@ def test_repeated_lines_against_brute_force(spark):
     rows = repeated_lines()
     kept = rows_of(S.drop_similar(spark.createDataFrame(rows, "doc_id long, text string")))
     assert sorted(r["doc_id"] for r in kept) == brute_kept(rows) == list(range(0, 18, 3))
+
+
+def test_hot_bucket_of_reshuffled_words_takes_linear_work(monkeypatch):
+    rng = np.random.default_rng(31)
+    n, sizes, whole = 5_000, [], S.propose
+    monkeypatch.setattr(S, "propose", lambda fp, *how: sizes.append(len(fp)) or whole(fp, *how))
+    sketch = [rng.integers(-2**63, 2**63, n) for _ in S.SKETCH]  # same words in another order: no shingle shared
+    sketch = [np.concatenate((c, c[:100])) for c in sketch]  # and a few equal ones
+    one = np.ones(n + 100, np.int64)
+    columns = [one, 0 * one, 7 * one, np.arange(n + 100), 90 * one, *sketch]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c[i:i + 700]) for c in columns],
+                                          ["bucket", "mask", "fingerprint", "content", "n_shingles", *S.SKETCH])
+               for i in range(0, n + 100, 700)]
+    out = list(S._bucket_pairs(9, S.covering_masks(9, 2), 0.8, 1_000, 4)(iter(batches)))
+    assert out is not None and sum(sizes) == n + 100 and max(sizes) <= S.SLICE_ROWS
+    bands = pa.Table.from_batches(S._band_pairs(0.8, 1_000)(
+        pa.RecordBatch.from_arrays([b.column(0), b.column(3), b.column(3), *b.columns[5:]],
+                                   ["bucket", "content", "root", *S.SKETCH]) for b in batches)).to_pydict()
+    named = {a for kind, a in zip(bands["kind"], bands["a"]) if kind == 1}
+    assert named == set(range(n + 100)) and {b for k, b in zip(bands["kind"], bands["b"]) if k == 1} == {0}

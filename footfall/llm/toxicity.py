@@ -10,7 +10,8 @@ all words tested.
 **Misspellings.** The entries form a trie. A word of a text that is no entry is turned
 into a Levenshtein automaton, whose states (rows of edit distances) are advanced along
 the trie's edges; branches without a way to acceptance are cut. A test of the intact
-half of an entry keeps nearly all words from reaching the automaton.
+half of an entry keeps nearly all words from reaching the automaton. A word start stands for
+whole words, so the ones it was learned from become entries of the trie beside it.
 
 **Context.** A find inside quotation marks, or near words that report speech, counts less;
 one near words that address a reader counts more.
@@ -274,6 +275,20 @@ def choose_entries(rows: list[tuple[str, bool, int, int]], toxic: int, clean: in
     return [Entry(text, start, max(0.1, weigh(t, c))) for text, start, t, c in chosen]
 
 
+def covered_words(rows: list[tuple[str, bool, int, int]], strongest: dict[str, str],
+                  entries: list[Entry]) -> list[Entry]:
+    """The whole words of the candidates that a chosen start covers, and of each start the
+    strongest one. They weigh what the start does; misspellings of them are sought."""
+    starts = {e.text: e for e in entries if e.start}
+    words = [r[0] for r in rows if not r[1]] + [w for _, w in sorted(strongest.items())]
+    known, found = {e.text for e in entries if not e.start}, []
+    for word in dict.fromkeys(words):
+        own = next((starts[word[:n]] for n in sorted(STARTS) if word[:n] in starts), None)
+        if own is not None and len(word) >= MIN_FUZZY and word not in known:
+            found.append(Entry(word, False, own.weight))
+    return found
+
+
 def sample_labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     label: str = "toxic") -> tuple[DataFrame, dict[int, float]]:
     """A bounded sample ``text, toxic`` of both classes, and the share of each that it holds."""
@@ -326,6 +341,13 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     found = [(r["text"], r["start"], r["t"], r["c"]) for r in
              best.orderBy(F.desc("ratio"), "text", "start").limit(CANDIDATES).collect()]
     entries = choose_entries(found, sizes[1], sizes[2], least)
+    chosen = [e.text for e in entries if e.start]  # at most MAX_ENTRIES
+    if chosen:
+        strongest = words.select(
+            F.explode(F.array_distinct(F.array(*[F.substring("word", 1, k) for k in STARTS]))).alias("start"), "word", "t", "c").where(
+            F.col("start").isin(chosen) & (F.length("word") >= MIN_FUZZY) & (F.col("t") > n * rate)).groupBy("start").agg(
+            F.max_by("word", F.struct(ratio.alias("ratio"), "word")).alias("word"))
+        entries += covered_words(found, {r["start"]: r["word"] for r in strongest.collect()}, entries)
     return _fit(sample, entries, share, prior, toxic, clean, edits)
 
 
@@ -350,7 +372,7 @@ def _fit(sample: DataFrame, entries: list[Entry], share: dict[int, float], prior
     first = sample.mapInArrow(_features(entries, edits), _FEATURES)
     forms = first.select(F.explode("misspelled").alias("entry"), "toxic").groupBy("entry").agg(
         F.count(F.when(F.col("toxic") == 1, 1)).alias("t"), F.count(F.when(F.col("toxic") == 0, 1)).alias("c"))
-    counts = {r["entry"]: (r["t"], r["c"]) for r in forms.collect()}  # at most MAX_ENTRIES rows
+    counts = {r["entry"]: (r["t"], r["c"]) for r in forms.collect()}  # of the entries, so bounded
 
     def weighed(e: Entry) -> Entry:
         t, c = counts.get(e.text, (0, 0))

@@ -83,3 +83,18 @@ def test_odd_texts_and_missing_classes(spark):
     assert X.drop_toxic(docs, model).columns == docs.columns
     assert X.score_documents(empty_documents(spark), model).count() == 0
     assert X.learn(empty_documents(spark), labels).entries == ()
+
+
+def test_misspellings_of_words_that_a_start_covers(spark):
+    toxic = [f"a{i} idiot b{i} sunny" for i in range(130)] + ["one idiots here", "my idiotic plan"]
+    clean = [f"a{i} river b{i} sunny" for i in range(260)]
+    docs = spark.createDataFrame(list(enumerate(toxic + clean)), "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") < len(toxic)).cast("int").alias("toxic"))
+    model = X.learn(docs, labels)
+    assert any(e.start and "idiot".startswith(e.text) for e in model.entries)
+    lexicon = X.Lexicon(list(model.entries), model.edits)
+    for word, edits in (("1diot", 1), ("ideot", 1), ("idiot", 0), ("idiots", 0)):
+        assert lexicon.look_up(word)[0] == edits
+    assert lexicon.look_up("ideology") is None
+    start = next(e for e in model.entries if e.start)
+    assert lexicon.look_up("idiot")[1].weight == start.weight  # exact finds weigh what they did

@@ -12,6 +12,7 @@ from footfall.llm import (
     exact_dedup,
     language_id,
     license_scan,
+    merkle,
     mixing,
     simhash,
     site_quality,
@@ -71,9 +72,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_shares(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_license_scan, op2_exact_dedup, op3_language_id, op4_url_rules, op5_token_counts,
-             op6_decontaminate, op7_simhash, op8_site_quality, op9_toxicity, op10_mixing]
+             op6_decontaminate, op7_simhash, op8_site_quality, op9_toxicity, op10_mixing, op13_merkle]
     return {f.__name__: f for f in found}
 
 
@@ -82,6 +87,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scan": LICENSE_SCAN,
         "op2_exact_dedup": EXACT_DEDUP,
         "op6_decontaminate": DECONTAMINATE,
+        "op13_merkle": MERKLE,
     }
 
 
@@ -169,3 +175,55 @@ FROM lines
 
 
 LICENSE_SCAN = _license_sql()
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(
+        f"CASE WHEN {f} IS NULL THEN '-' ELSE CAST(octet_length(encode({f})) AS VARCHAR) || ':' || {f} END"
+        for f in fields) + ")"
+
+
+def _merkle_sql(levels: int = 4) -> str:
+    """Trees of up to 16^levels leaves, level by level. Source trees first, then one of the subroots."""
+    crc = ("4294967295 - list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform("
+           "string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, b: list_reduce("
+           "[xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, (c & 1) * CAST(3988292384 AS BIGINT))))")
+    lowered = f"translate(text, '{UPPER}', '{LOWER}')"
+    steps = [f"""
+n0 AS MATERIALIZED (
+  SELECT doc_id, source, CASE WHEN hit THEN {_leaf_sql(lowered)} ELSE {_leaf_sql("text")} END AS found,
+         {_leaf_sql("text")} AS leaf, hit
+  FROM (SELECT *, coalesce(({crc}) % 5 = 0, false) AS hit FROM documents)),
+a0 AS MATERIALIZED (
+  SELECT *, leaf AS h, found AS f, '' AS proof, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+  FROM n0 WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf))"""]
+    # Each row carries its ancestor's digest h, its own folded value f and the proof so far.
+    def climb(new: str, old: str, tree: str) -> str:
+        return f"""
+{new}n AS MATERIALIZED (SELECT DISTINCT {tree} AS tree, pos, h, n FROM {old}),
+{new}r AS MATERIALIZED (
+  SELECT tree, pos // 16 AS run, list(h ORDER BY pos) AS hs, any_value(n) AS n FROM {new}n GROUP BY 1, 2),
+{new} AS MATERIALIZED (
+  SELECT o.* REPLACE (
+    CASE WHEN o.n > 1 THEN sha256(array_to_string(r.hs, '')) ELSE o.h END AS h,
+    CASE WHEN o.n > 1 THEN sha256(array_to_string(r.hs[:o.pos % 16], '') || o.f || array_to_string(r.hs[o.pos % 16 + 2:], ''))
+         ELSE o.f END AS f,
+    CASE WHEN o.n > 1 THEN o.proof || array_to_string(r.hs[:o.pos % 16], '') || array_to_string(r.hs[o.pos % 16 + 2:], '')
+         ELSE o.proof END AS proof,
+    o.pos // 16 AS pos, (o.n + 15) // 16 AS n)
+  FROM {old} o JOIN {new}r r ON {tree} IS NOT DISTINCT FROM r.tree AND o.pos // 16 = r.run)"""
+    steps += [climb(f"a{i + 1}", f"a{i}", "source") for i in range(levels)]
+    steps.append(f"""
+roots AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+          FROM (SELECT DISTINCT source FROM a{levels})),
+b0 AS MATERIALIZED (SELECT a.* REPLACE (r.pos AS pos, r.n AS n), a.h AS subroot
+       FROM a{levels} a JOIN roots r ON a.source IS NOT DISTINCT FROM r.source)""")
+    steps += [climb(f"b{i + 1}", f"b{i}", "0") for i in range(levels)]
+    return "WITH " + ",".join(steps) + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified, hit AS tampered
+FROM b{levels}
+"""
+
+
+MERKLE = _merkle_sql()

@@ -19,6 +19,7 @@ from footfall.llm import (
     token_counts,
     toxicity,
     url_rules,
+    vector_codes,
 )
 from footfall.llm.common import LOWER, UPPER, id_remainder, table
 
@@ -72,13 +73,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_shares(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_license_scan, op2_exact_dedup, op3_language_id, op4_url_rules, op5_token_counts,
-             op6_decontaminate, op7_simhash, op8_site_quality, op9_toxicity, op10_mixing, op13_merkle]
+             op6_decontaminate, op7_simhash, op8_site_quality, op9_toxicity, op10_mixing, op12_vector_codes, op13_merkle]
     return {f.__name__: f for f in found}
 
 
@@ -87,6 +92,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scan": LICENSE_SCAN,
         "op2_exact_dedup": EXACT_DEDUP,
         "op6_decontaminate": DECONTAMINATE,
+        "op12_vector_codes": VECTOR_CODES,
         "op13_merkle": MERKLE,
     }
 
@@ -227,3 +233,43 @@ FROM b{levels}
 
 
 MERKLE = _merkle_sql()
+
+
+def _vector_codes_sql(rounds: int = 4) -> str:
+    """Exact in doubles: components are below 2^11, sums of their products far below 2^53."""
+    steps = ["""
+kept AS MATERIALIZED (
+  SELECT vec_id, label, v, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+parts AS MATERIALIZED (
+  SELECT r, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS x FROM kept, (SELECT unnest(range(4)) AS p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS y FROM parts WHERE r <= 256)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} AS MATERIALIZED (
+  SELECT r, p, any_value(x) AS x, min({{'d': d, 'e': e}}) AS best
+  FROM (SELECT r, p, x, e, list_inner_product(x, x) - 2 * list_inner_product(x, y) + list_inner_product(y, y) AS d
+        FROM parts JOIN book{i} USING (p)) GROUP BY r, p)""")
+        if i < rounds:
+            steps.append(f"""
+book{i + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.y, b.y) AS y FROM book{i} b LEFT JOIN (
+    SELECT p, e, list(c ORDER BY k) AS y FROM (
+      SELECT p, best.e AS e, k, floor(sum(x[k]) / count(*)) AS c
+      FROM near{i}, (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM parts))) AS k) GROUP BY 1, 2, 3)
+    GROUP BY 1, 2) m USING (p, e))""")
+    return "WITH " + ",".join(steps) + f""",
+digest AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(y, lambda c: CAST(CAST(c AS BIGINT) AS VARCHAR)), ','), ','
+                           ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}),
+coded AS (
+  SELECT r, string_agg(printf('%02x', CAST(best.e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""
+
+
+VECTOR_CODES = _vector_codes_sql()

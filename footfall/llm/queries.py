@@ -14,6 +14,7 @@ from footfall.llm import (
     license_scan,
     merkle,
     mixing,
+    overlap_join,
     simhash,
     site_quality,
     token_counts,
@@ -73,6 +74,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_shares(table(spark, sf_dir, "documents"))
 
 
+def op11_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap_join.join_similar(table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -83,7 +88,8 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_license_scan, op2_exact_dedup, op3_language_id, op4_url_rules, op5_token_counts,
-             op6_decontaminate, op7_simhash, op8_site_quality, op9_toxicity, op10_mixing, op12_vector_codes, op13_merkle]
+             op6_decontaminate, op7_simhash, op8_site_quality, op9_toxicity, op10_mixing, op11_overlap_join,
+             op12_vector_codes, op13_merkle]
     return {f.__name__: f for f in found}
 
 

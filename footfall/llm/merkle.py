@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from footfall.llm.common import ascii_lower, written
 
 ARITY = 16
-SPAN = 1024  # positions of one window; a multiple of ARITY
+SPAN = 128  # positions of one window; a multiple of ARITY
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 

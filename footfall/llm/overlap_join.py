@@ -11,15 +11,18 @@ T of its shingles' inverted lists.
    than that many shingles which occur in any other set has no partner and leaves; most documents do.
    Of what is left all shingles are looked at in the same way: T of them have to occur elsewhere.
    A task folds the shingles it holds, so a frequent one leaves it as one row.
-3. **Blocks.** What remains is range-partitioned by smallest shingle, which brings similar sets
-   together, and cut into blocks of a bounded number of shingles. Each block has an inverted index.
+3. **Blocks.** What remains is ordered by smallest shingle, which brings similar sets together, and
+   cut into blocks of ``BLOCK_SHINGLES``, however it is partitioned. Each block has an inverted index.
 4. **Search** (DivideSkip). Of a query's lists the L longest are set aside; the short ones are
-   merged on a heap that skips to where T - L of them can still agree; what occurs often enough
-   there is looked up in the long lists by binary search. A set that is found is linked and
-   leaves the index, so a dense group of sets costs about one search a member, not all pairs.
-5. **Routes.** A set is sent to another block only if the shingles it shares with that block's sets of
-   other groups reach the bound of step 2. First one set for each (group, block) goes, which joins dense
-   groups that span blocks; then all sets that are still in another group.
+   merged on a heap that skips to where T - L of them can still agree (by sorting where they hold
+   more than ``HEAP_ENTRIES``); what occurs often enough there is looked up in the long lists by binary
+   search. A set that is found is linked and leaves the index, so a dense group of sets costs
+   about one search a member, not all pairs.
+5. **Stars.** Groups that span blocks are joined first: for every probed shingle each group sends one
+   set to a block of the first group that holds the shingle. That is linear in the shingles.
+6. **Routes.** Then a set is sent to another block if the shingles it shares with that block's sets of
+   other groups reach the bound of step 2. That is exact. Only sets that share most of their probe but
+   are not linked still cost rows as the square of their number, divided by the sets of a block.
 
 Shingles are compared by 64-bit hashes. Only sets that share most of their shingles can be judged
 wrongly, if two different shingles of one pair collide: for sets of 1000 shingles about 1 pair in
@@ -42,7 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import written
@@ -55,7 +58,9 @@ carry_to_workers(__name__)
 PERCENT, WORDS = 85, 4
 PROBE_SHARE = 20            # l is a twentieth of a set
 FOLD_SHINGLES = 1 << 20     # shingles that a task folds at a time
-BLOCK_SHINGLES = 1 << 18    # shingles in one block's index
+BLOCK_SHINGLES = 1 << 19    # shingles in one block's index
+HEAP_ENTRIES = 2_048        # entries of short lists that are merged on a heap
+STARS = 3                   # rounds of step 5, fewer if one links nothing
 QUERY_ROWS = 20_000         # sets sent to one copy of a block
 LONG_LISTS = 0.0085         # weight of a list's length in the choice of L
 
@@ -142,37 +147,43 @@ class Index:
         least = least_overlap(n, percent)
         if low >= high or len(at) < least:
             return []
-        lists = []
-        for a, b in zip(self.bounds[at], self.bounds[at + 1]):
-            found = self.owner[a:b]
-            found = found[(found >= low) & (found < high)]
-            found = found[self.alive[found] if wanted is None else self.alive[found] & wanted[found]]
-            if len(found):
-                lists.append(found.tolist())
-        found = []
-        for place, shared in divide_skip(lists, least):
-            if linked(shared, n, self.sizes[place], percent):
-                found.append(place)
-        return found
-
-
-def divide_skip(lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
-    """``(number, occurrences)`` of the numbers that occur in at least ``least`` of the sorted lists."""
+        # All entries of the query's lists, cut down to admitted sets, and cut into lists again.
+        first, length = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
+        ends = np.cumsum(length)
+        flat = self.owner[np.repeat(first - ends + length, length) + np.arange(ends[-1])]
+        admit = self.alive if wanted is None else self.alive & wanted
+        keep = (flat >= low) & (flat < high) & admit[flat]
+        length = np.bincount(np.repeat(np.arange(len(at)), length)[keep], minlength=len(at))
+        lists = [x for x in np.split(flat[keep], np.cumsum(length)[:-1]) if len(x)]
+        places, shared = divide_skip(lists, least)
+        return [p for p, c in zip(places.tolist(), shared.tolist()) if linked(c, n, self.sizes[p], percent)]
+
+
+def divide_skip(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that occur in at least ``least`` of the sorted lists, and how often they do."""
     if least < 1:
         raise ValueError("a T-occurrence search needs T of 1 or more")
+    none = np.empty(0, np.int64)
     if len(lists) < least:
-        return
+        return none, none
     lists = sorted(lists, key=len)
     aside = min(least - 1, int(least / (LONG_LISTS * math.log(len(lists[-1]) + 1) + 1)))
     short, long = lists[:len(lists) - aside], lists[len(lists) - aside:]
-    for number, count in merge_skip(short, least - aside):
-        for i, entries in enumerate(long):
-            if count + len(long) - i < least:
-                break
-            j = bisect_left(entries, number)
-            count += j < len(entries) and entries[j] == number
-        if count >= least:
-            yield number, count
+    if sum(map(len, short)) <= HEAP_ENTRIES:
+        found = list(merge_skip([x.tolist() for x in short], least - aside))
+        numbers, counts = (np.array(x, np.int64) for x in zip(*found)) if found else (none, none)
+    else:
+        numbers, counts = np.unique(np.concatenate(short), return_counts=True)
+        numbers, counts = numbers[counts >= least - aside], counts[counts >= least - aside]
+    for i, entries in enumerate(long):
+        if not len(numbers):
+            break
+        at = np.minimum(np.searchsorted(entries, numbers), len(entries) - 1)
+        counts = counts + (entries[at] == numbers)
+        if i % 8 == 7:
+            keep = counts + len(long) - i - 1 >= least
+            numbers, counts = numbers[keep], counts[keep]
+    return numbers[counts >= least], counts[counts >= least]
 
 
 def merge_skip(lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
@@ -316,45 +327,92 @@ def _set_rows(words: int):
     return run
 
 
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``key, shingles`` with the task's number and the shingles of the task's rows before."""
+    task, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        ends = before + np.cumsum(batch.column(1).value_lengths().to_numpy().astype(np.int64))
+        starts = np.concatenate(([before], ends[:-1])) if len(ends) else ends
+        before = int(ends[-1]) if len(ends) else before
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(np.full(len(starts), task, np.int64)), pa.array(starts)],
+            ["key", "shingles", "task", "before"])
+
+
 _PLACED = "key binary, block long, root binary, shingles array<long>"
 
 
 def _place(percent: int):
-    """Cuts the rows of a task into blocks and connects the sets of each: ``root`` is the key of the first
-    set of the group."""
+    """Connects the sets of each block; rows come sorted by block. ``root`` is the key of the first set of the
+    group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, number = TaskContext.get().partitionId() << 32, 0
-        keys, sets, held = [], [], 0
+        here, keys, sets = None, [], []
 
         def flush() -> pa.RecordBatch:
             root = connect(sets, percent)
             return pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array([base + number] * len(keys), pa.int64()),
+                [pa.array(keys, pa.binary()), pa.array([here] * len(keys), pa.int64()),
                  pa.array([keys[r] for r in root], pa.binary()), _lists(sets)], ["key", "block", "root", "shingles"])
 
         for batch in batches:
-            for key, own in zip(batch.column(0).to_pylist(), _arrays(batch.column(1))):
-                if held and held + len(own) > BLOCK_SHINGLES:
-                    yield flush()
-                    keys, sets, held, number = [], [], 0, number + 1
+            plain = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for block, key, own in zip(*plain, _arrays(batch.column(2))):
+                if block != here:
+                    if keys:
+                        yield flush()
+                    here, keys, sets = block, [], []
                 keys.append(key)
                 sets.append(own)
-                held += len(own)
         if keys:
             yield flush()
     return run
 
 
-def _routes(placed: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """``key, root, block``: sets and the other blocks whose sets of other groups share enough of their probe."""
+def _placed(sets: DataFrame, percent: int) -> DataFrame:
+    """``key, block, root, shingles``: sets ordered by smallest shingle and cut into blocks of like size."""
+    tokens = sets.agg(F.sum(F.size("shingles").cast("long"))).first()[0] or 0
+    order = [F.col("shingles")[0], F.col("key")]
+    running = written(sets.select("key", "shingles").repartitionByRange(max(1, math.ceil(tokens / BLOCK_SHINGLES)), *order)
+                      .sortWithinPartitions(*order).mapInArrow(
+                          _running, "key binary, shingles array<long>, task long, before long"), "overlap-order")
+    # One row a task; what the tasks before hold.
+    tasks = running.groupBy("task").agg(F.sum(F.size("shingles").cast("long")).alias("held"))
+    above = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.select("task", F.coalesce(F.sum("held").over(above), F.lit(0)).alias("above"))
+    blocks = running.join(tasks, "task").select(
+        F.floor((F.col("above") + F.col("before")) / BLOCK_SHINGLES).alias("block"), "key", "shingles", order[0].alias("first"))
+    rows = blocks.repartition("block").sortWithinPartitions("block", "first", "key").select("block", "key", "shingles")
+    return written(rows.mapInArrow(_place(percent), _PLACED), "overlap-blocks")
+
+
+def _probes(placed: DataFrame, percent: int) -> DataFrame:
+    """``key, block, root, least, shingle``: the probed shingles of each set, and how many of them it
+    shares with every partner."""
     n = F.size("shingles")
-    least = F.ceil(percent * n / F.lit(100))  # T; integers below 2^53 divide exactly enough, see the test
+    least = F.ceil(percent * n / F.lit(100))
     extra = lambda c: F.ceil(c / PROBE_SHARE)
     length = F.least(n, n - least + extra(n)).cast("int")
-    rows = placed.join(roots, "root", "left").select(
-        "key", "block", F.coalesce("top", "root").alias("root"), extra(least).alias("least"),
-        F.explode(F.slice("shingles", F.lit(1), length)).alias("shingle"))
-    rows = written(rows, "overlap-probes")
+    return written(placed.select("key", "block", "root", extra(least).alias("least"), F.explode(
+        F.slice("shingles", F.lit(1), length)).alias("shingle")), "overlap-probes")
+
+
+def _topped(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the group that their root belongs to by now."""
+    return rows.join(roots, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
+
+
+def _star_routes(probes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, root, block``: for every shingle that several groups hold, one set of each for a block of the first."""
+    rows = _topped(probes, roots)
+    first = rows.groupBy("shingle").agg(F.min(F.struct("root", "block")).alias("first"), F.max("root").alias("high"))
+    first = first.where("first.root <> high").select("shingle", F.col("first.root").alias("to"), F.col("first.block").alias("goal"))
+    met = rows.join(first, "shingle").where(F.col("root") != F.col("to"))
+    return met.groupBy("root", F.col("goal").alias("block")).agg(F.min("key").alias("key")).select("key", "root", "block")
+
+
+def _routes(probes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, root, block``: sets and the other blocks whose sets of other groups share enough of their probe."""
+    rows = _topped(probes, roots)
     held = rows.groupBy("shingle", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     met = rows.withColumnRenamed("block", "own").join(held, "shingle").where(
         (F.col("block") != F.col("own")) & ((F.col("low") != F.col("root")) | (F.col("high") != F.col("root"))))
@@ -399,8 +457,7 @@ def _answer(percent: int):
 def _links(placed: DataFrame, routes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` between the groups of routed sets and those of the blocks they are sent to."""
     slices = routes.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("slices"))
-    grouped = placed.join(roots, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
-    held = grouped.join(slices, "block").select(
+    held = _topped(placed, roots).join(slices, "block").select(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"),
         F.lit(False).alias("query"), "root", "shingles")
     asked = routes.join(slices, "block").join(placed.select("key", "shingles"), "key").select(
@@ -416,23 +473,22 @@ def _joined(links: DataFrame) -> DataFrame:
 def link_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``key, root`` of ``sets (key, shingles)``, distinct sets of sorted shingles: equal roots for
     sets connected by links."""
-    tokens = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
-    blocks = max(1, math.ceil(tokens / BLOCK_SHINGLES))
-    placed = written(sets.repartitionByRange(blocks, F.col("shingles")[0], "key").sortWithinPartitions(
-        F.col("shingles")[0], "key").mapInArrow(_place(percent), _PLACED), "overlap-blocks")
+    placed = _placed(sets, percent)
+    probes = _probes(placed, percent)
     roots = placed.select("root", F.col("root").alias("top")).where("false")
     links = None
-    for every in (False, True):
-        routes = _routes(placed, roots, percent)
-        if not every:
-            routes = routes.groupBy("root", "block").agg(F.min("key").alias("key"))
-        routes = written(routes, "overlap-routes")
-        if routes.isEmpty():
-            break
+    turn = 0
+    while turn <= STARS:
+        exact = turn == STARS
+        routes = written(_routes(probes, roots) if exact else _star_routes(probes, roots), "overlap-routes")
         found = written(_links(placed, routes, roots, percent), "overlap-links")
+        if found.isEmpty():
+            turn = max(turn + 1, STARS)  # further stars would send the same sets
+            continue
         links = found if links is None else links.unionByName(found)
         roots = written(_joined(links), "overlap-roots")
-    return placed.join(roots, "root", "left").select("key", F.coalesce("top", "root").alias("root"))
+        turn += 1
+    return _topped(placed, roots).select("key", "root")
 
 
 def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,

@@ -18,7 +18,13 @@ def test_searches_count_occurrences(found, least):
     counts = Counter(x for one in found for x in one)
     expected = {x: n for x, n in counts.items() if n >= least}
     assert dict(J.merge_skip(found, least)) == expected
-    assert dict(J.divide_skip([x for x in found if x], least)) == expected
+    for most in (0, J.HEAP_ENTRIES):
+        J.HEAP_ENTRIES, kept = most, J.HEAP_ENTRIES
+        try:
+            numbers, shared = J.divide_skip([np.array(x) for x in found if x], least)
+        finally:
+            J.HEAP_ENTRIES = kept
+        assert dict(zip(numbers.tolist(), shared.tolist())) == expected
 
 
 @given(st.integers(1, 3000), st.integers(0, 200), st.integers(0, 200))

@@ -42,11 +42,15 @@ def iou(a: Column, b: Column) -> Column:
 
 
 def clip(b: Column, width: Column, height: Column) -> Column:
-    """Box moved inside the picture and at least one pixel wide and high."""
+    """Box moved inside the picture and at least one pixel wide and high. Where a corner or a size of the
+    picture is missing there is no box: all corners are NULL."""
     zero, one = F.lit(0.0), F.lit(1.0)
     w, h = width.cast("double"), height.cast("double")
     x1 = F.greatest(zero, F.least(w - one, b["x1"]))
     y1 = F.greatest(zero, F.least(h - one, b["y1"]))
     x2 = F.greatest(x1 + one, F.least(w, b["x2"]))
     y2 = F.greatest(y1 + one, F.least(h, b["y2"]))
-    return F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
+    known = w.isNotNull() & h.isNotNull()
+    for c in BOX:
+        known = known & b[c].isNotNull()
+    return F.struct(*[F.when(known, c).alias(name) for name, c in zip(BOX, (x1, y1, x2, y2))])

@@ -60,12 +60,13 @@ def smooth_bbox(
     """Boxes clipped and smoothed along each track.
 
     ``order`` must be a total order within a track.  Rows without a track stay
-    clipped only.
+    clipped only; rows without a box (a corner or a picture size is NULL) have none
+    and leave the track as it is.
     """
     spark = boxes.sparkSession
     columns = boxes.columns
     tracked = F.lit(True)
-    for c in track_key:
+    for c in [*track_key, *BOX]:
         tracked = tracked & F.col(c).isNotNull()
     clipped = clip_bbox(boxes).withColumn("_tracked", tracked & (F.col(track_key[-1]).cast("bigint") >= 0))
     loose = clipped.where(~F.col("_tracked")).select(*columns)

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.operators.bronze import bronze_ingest
 from footfall.operators.geometry import BOX
-from footfall.operators.gold import gold_people_per_minute
+from footfall.operators.gold import ZONE, gold_people_per_minute
 from footfall.plans import fixtures as fx
 from footfall.plans.layers import layers
 from footfall.schemas import KEYS, table_schema
@@ -19,7 +20,8 @@ from footfall.session import shared_dir
 from footfall.sources import frames
 from footfall.streaming.jobs import VIEWS, Pipeline
 from footfall.streaming.keyed import KeyedTable
-from footfall.streaming.smooth import smooth_stream, start_smooth
+from footfall.streaming import stateful
+from footfall.streaming.smooth import smooth_in_order, smooth_stream, start_smooth
 
 _LIVE: dict[tuple[str, str], "Live"] = {}
 
@@ -139,3 +141,51 @@ def stream_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = smooth_stream(spark.readStream.schema(boxes.schema).parquet(landing), track, ["fr", "e"])
         start_smooth(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{out}/rows").select(*track, "det_id", *BOX)
+
+
+def _stateful(spark: SparkSession, sf_dir: str, further) -> DataFrame:
+    """All changes that a chain of stateful operators makes of the two waves."""
+    landing, out = shared_dir(spark, "state-landing"), shared_dir(spark, "state")
+    records = fx.f1_records(spark, sf_dir, split=True)
+    for wave in (0, 1):
+        frames.write_jsonl(records.where(F.col("part") == wave), landing)
+        lines = bronze_ingest(frames.stream_jsonl(spark, landing), fx.now())
+        changes = further(stateful.detection_changes(lines, fx.now()))
+        stateful.start_changes(changes, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
+def stream_state_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stateful.winners(_stateful(spark, sf_dir, lambda c: c)).drop("processing_ts")
+
+
+def stream_state_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stateful.latest(_stateful(spark, sf_dir, stateful.people_changes), stateful.GROUP, "detections")
+
+
+def stream_state_dwell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stateful.latest(_stateful(spark, sf_dir, stateful.dwell_changes), ZONE, "visits")
+
+
+DISORDER = 40  # frames by which a row may come late
+
+
+def stream_smooth_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes in four waves in which rows are up to ``DISORDER`` frames out of order, then frames without
+    boxes: the first moves the watermark behind all rows, with the second the held rows come out."""
+    track = ["store_id", "camera_id", "track_id"]
+    boxes = fx.f2_boxes(spark, sf_dir).select(*track, "fr", "e", "capture_ts", "det_id", "img_w", "img_h", *[
+        F.col(c).cast("double").alias(c) for c in BOX])
+    last, end = boxes.agg(F.max("fr"), F.max("capture_ts") + F.expr("INTERVAL 1 HOUR")).first()
+    shifted = F.col("fr") + F.pmod(F.col("e") * 7, F.lit(DISORDER))
+    wave = F.least(F.floor(shifted * 4 / (last + DISORDER + 1)), F.lit(3))
+    landing, out = shared_dir(spark, "disorder"), shared_dir(spark, "ordered")
+    beat = spark.range(1).select(*[
+        F.lit(end if c == "capture_ts" else None).cast(kind).alias(c) for c, kind in boxes.dtypes])
+    for part in [boxes.where(wave == i) for i in range(4)] + [beat, beat]:
+        part.write.mode("append").parquet(landing)
+        stream = smooth_in_order(
+            spark.readStream.schema(boxes.schema).parquet(landing), track, "capture_ts", ["fr", "e"],
+            late=f"{2 * DISORDER} seconds")
+        start_smooth(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/rows").where("det_id IS NOT NULL").select(*track, "det_id", *BOX)

@@ -477,5 +477,9 @@ def oracle_sql() -> dict[str, str]:
           FROM (SELECT store_id, camera_id, date_trunc('minute', capture_ts) AS ts_minute FROM silver) s GROUP BY ALL"""),
         "upsert_latest": gold["people"],
         "stream_smooth": _SMOOTH,
+        "stream_state_silver": silver,
+        "stream_state_people": gold["people"],
+        "stream_state_dwell": gold["dwell"],
+        "stream_smooth_ordered": _SMOOTH,
     }
     return out

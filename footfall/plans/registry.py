@@ -240,5 +240,9 @@ def queries() -> dict[str, Query]:
         "stream_gold_switch": lambda sp, d: settled(live.stream_gold_switch(sp, d)),
         "upsert_latest": live.upsert_latest,
         "stream_smooth": lambda sp, d: settled(live.stream_smooth(sp, d)),
+        "stream_state_silver": live.stream_state_silver,
+        "stream_state_people": live.stream_state_people,
+        "stream_state_dwell": lambda sp, d: settled(live.stream_state_dwell(sp, d)),
+        "stream_smooth_ordered": lambda sp, d: settled(live.stream_smooth_ordered(sp, d)),
     }
     return out

@@ -17,7 +17,7 @@ from footfall.plans import fixtures as fx
 from footfall.plans.layers import layers
 from footfall.schemas import KEYS, table_schema
 from footfall.session import shared_dir
-from footfall.sources import frames
+from footfall.sources import frames, topic
 from footfall.streaming.jobs import VIEWS, Pipeline
 from footfall.streaming.keyed import KeyedTable
 from footfall.streaming import stateful
@@ -73,13 +73,34 @@ class Live:
 
 
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze_digest(live(spark, sf_dir).pipeline.bronze())
+
+
+def bronze_digest(bronze: DataFrame) -> DataFrame:
     """The stored rows, with the payload's time and number of detections for its text."""
-    return live(spark, sf_dir).pipeline.bronze().select(
+    return bronze.select(
         "schema_version", "camera_id", "store_id", "ingest_ts",
         F.get_json_object("payload", "$.capture_ts").alias("ts"),
         F.json_array_length(F.get_json_object("payload", "$.detections")).alias("num_dets"))
 
 
+def stream_topic_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from a message log: records of a camera in one partition, a query that is stopped in the middle
+    of the log and restarted, and a second wave that arrives in between."""
+    log, out = shared_dir(spark, "topic"), shared_dir(spark, "topic-bronze")
+    records = fx.f1_records(spark, sf_dir).withColumn("key", F.get_json_object("value", "$.source.camera_id"))
+    second = F.pmod(F.xxhash64("value"), F.lit(2)) == 1
+    topic.write_topic(records.where(~second), log)
+    most = -(-records.count() // 3)
+    for turn in range(5):
+        if turn == 1:
+            topic.write_topic(records.where(second), log)
+        lines = topic.stream_topic(spark, log, "bronze", most=most)
+        bronze_ingest(lines.select("value"), fx.now()).writeStream.format("parquet").option("path", f"{out}/rows").option(
+            "checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return bronze_digest(spark.read.parquet(f"{out}/rows"))
+
+
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live(spark, sf_dir).pipeline.silver().drop("processing_ts")
 

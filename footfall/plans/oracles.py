@@ -462,6 +462,11 @@ def oracle_sql() -> dict[str, str]:
           CASE WHEN fr % 79 <> 0 THEN {_ISO} END AS ts, CAST(CASE WHEN fr % 79 <> 0 THEN n END AS INTEGER) AS num_dets
           FROM (SELECT fr, store_id, camera_id, capture_ts, CAST(floor((e % 4) / 2) AS INTEGER) AS part,
                  count(*) AS n FROM f1 GROUP BY ALL) f"""),
+        "stream_topic_replay": over("f1", f"""SELECT 'v1' AS schema_version,
+          CASE WHEN fr % 79 <> 0 THEN camera_id END AS camera_id,
+          CASE WHEN fr % 79 <> 0 THEN store_id END AS store_id, TIMESTAMP '2025-06-01 00:00:00' AS ingest_ts,
+          CASE WHEN fr % 79 <> 0 THEN {_ISO} END AS ts, CAST(CASE WHEN fr % 79 <> 0 THEN n END AS INTEGER) AS num_dets
+          FROM (SELECT fr, store_id, camera_id, capture_ts, count(*) AS n FROM f1 GROUP BY ALL) f"""),
         "stream_silver": silver,
         "stream_gold_minute": gold["minute"],
         "stream_gold_hour": gold["hour"],

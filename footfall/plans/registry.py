@@ -229,6 +229,7 @@ def queries() -> dict[str, Query]:
         ).select(*F2_TRACK, "det_id", *geo.BOX))),
         # Streaming
         "stream_bronze": live.stream_bronze,
+        "stream_topic_replay": live.stream_topic_replay,
         "stream_silver": live.stream_silver,
         "stream_gold_minute": _live("gold_minute_by_cam"),
         "stream_gold_hour": _live("gold_hour_by_cam"),

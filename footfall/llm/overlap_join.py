@@ -11,8 +11,10 @@ T of its shingles' inverted lists.
    than that many shingles which occur in any other set has no partner and leaves; most documents do.
    Of what is left all shingles are looked at in the same way: T of them have to occur elsewhere.
    A task folds the shingles it holds, so a frequent one leaves it as one row.
-3. **Blocks.** What remains is ordered by smallest shingle, which brings similar sets together, and
-   cut into blocks of ``BLOCK_SHINGLES``, however it is partitioned. Each block has an inverted index.
+3. **Blocks.** What remains is ordered so that sets with probed shingles in common lie together (by
+   components of stars around the first set that holds a shingle), and cut into blocks of
+   ``BLOCK_SHINGLES``, however it is partitioned. Each block has an inverted index. The order decides
+   only how much has to travel between blocks.
 4. **Search** (DivideSkip). Of a query's lists the L longest are set aside; the short ones are
    merged on a heap that skips to where T - L of them can still agree (by sorting where they hold
    more than ``HEAP_ENTRIES``); what occurs often enough there is looked up in the long lists by binary
@@ -322,13 +324,15 @@ def _key_id(key: Column) -> Column:
 def _set_rows(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), _lists([shingle_set(t.as_py(), words) for t in batch.column(1)])], ["key", "shingles"])
+            keys, first = np.unique(np.array([*batch.column(0).to_pylist(), None], object)[:-1], return_index=True)
+            texts = batch.column(1).take(pa.array(np.sort(first)))
+            keys = batch.column(0).take(pa.array(np.sort(first)))  # copies of a text come together
+            yield pa.RecordBatch.from_arrays([keys, _lists([shingle_set(t.as_py(), words) for t in texts])], ["key", "shingles"])
     return run
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``key, shingles`` with the task's number and the shingles of the task's rows before."""
+    """Rows ``id, shingles`` with the task's number and the shingles of the task's rows before."""
     task, before = TaskContext.get().partitionId(), 0
     for batch in batches:
         ends = before + np.cumsum(batch.column(1).value_lengths().to_numpy().astype(np.int64))
@@ -336,88 +340,100 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = int(ends[-1]) if len(ends) else before
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(np.full(len(starts), task, np.int64)), pa.array(starts)],
-            ["key", "shingles", "task", "before"])
+            ["id", "shingles", "task", "before"])
 
 
-_PLACED = "key binary, block long, root binary, shingles array<long>"
+_PLACED = "id long, block long, root long, shingles array<long>"
 
 
 def _place(percent: int):
-    """Connects the sets of each block; rows come sorted by block. ``root`` is the key of the first set of the
+    """Connects the sets of each block; rows come sorted by block. ``root`` is the id of the first set of the
     group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, keys, sets = None, [], []
+        here, ids, sets = None, [], []
 
         def flush() -> pa.RecordBatch:
             root = connect(sets, percent)
             return pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array([here] * len(keys), pa.int64()),
-                 pa.array([keys[r] for r in root], pa.binary()), _lists(sets)], ["key", "block", "root", "shingles"])
+                [pa.array(ids), pa.array([here] * len(ids), pa.int64()), pa.array([ids[r] for r in root]), _lists(sets)],
+                ["id", "block", "root", "shingles"])
 
         for batch in batches:
             plain = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for block, key, own in zip(*plain, _arrays(batch.column(2))):
+            for block, own, shingles in zip(*plain, _arrays(batch.column(2))):
                 if block != here:
-                    if keys:
+                    if ids:
                         yield flush()
-                    here, keys, sets = block, [], []
-                keys.append(key)
-                sets.append(own)
-        if keys:
+                    here, ids, sets = block, [], []
+                ids.append(own)
+                sets.append(shingles)
+        if ids:
             yield flush()
     return run
 
 
+def _probes(sets: DataFrame, percent: int, *columns: str) -> DataFrame:
+    """The probed shingles of each set, with ``least``, how many of them it shares with every partner."""
+    n = F.size("shingles")
+    least = F.ceil(percent * n / F.lit(100))
+    extra = lambda c: F.ceil(c / PROBE_SHARE)
+    length = F.least(n, n - least + extra(n)).cast("int")
+    return sets.select(*columns, extra(least).alias("least"), F.explode(F.slice("shingles", F.lit(1), length)).alias("shingle"))
+
+
+def _neighbourhoods(sets: DataFrame, percent: int) -> DataFrame:
+    """``id, near``: equal ``near`` for sets that probably have much in common; for placing them only."""
+    rows = _probes(sets, percent, "id")
+    first = rows.groupBy("shingle").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
+    stars = rows.join(first, "shingle").where("id <> first").groupBy("id", "first", "least").agg(F.count(F.lit(1)).alias("n"))
+    named = components(stars.where(F.col("n") * 4 >= F.col("least")).select(F.col("id").alias("a"), F.col("first").alias("b")))
+    return named.select(F.col("node").alias("id"), F.col("root").alias("near"))
+
+
 def _placed(sets: DataFrame, percent: int) -> DataFrame:
-    """``key, block, root, shingles``: sets ordered by smallest shingle and cut into blocks of like size."""
+    """``id, block, root, shingles``: sets in order of their neighbourhoods, cut into blocks of like size."""
     tokens = sets.agg(F.sum(F.size("shingles").cast("long"))).first()[0] or 0
-    order = [F.col("shingles")[0], F.col("key")]
-    running = written(sets.select("key", "shingles").repartitionByRange(max(1, math.ceil(tokens / BLOCK_SHINGLES)), *order)
-                      .sortWithinPartitions(*order).mapInArrow(
-                          _running, "key binary, shingles array<long>, task long, before long"), "overlap-order")
+    near = sets.join(_neighbourhoods(sets, percent), "id", "left").select(
+        "id", "shingles", F.coalesce("near", "id").alias("near"))
+    order = [F.col("near"), F.col("shingles")[0], F.col("id")]
+    running = near.repartitionByRange(max(1, math.ceil(tokens / BLOCK_SHINGLES)), *order).sortWithinPartitions(*order)
+    running = written(running.select("id", "shingles").mapInArrow(
+        _running, "id long, shingles array<long>, task long, before long"), "overlap-order")
     # One row a task; what the tasks before hold.
     tasks = running.groupBy("task").agg(F.sum(F.size("shingles").cast("long")).alias("held"))
     above = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     tasks = tasks.select("task", F.coalesce(F.sum("held").over(above), F.lit(0)).alias("above"))
-    blocks = running.join(tasks, "task").select(
-        F.floor((F.col("above") + F.col("before")) / BLOCK_SHINGLES).alias("block"), "key", "shingles", order[0].alias("first"))
-    rows = blocks.repartition("block").sortWithinPartitions("block", "first", "key").select("block", "key", "shingles")
+    rows = running.join(tasks, "task").select(
+        F.floor((F.col("above") + F.col("before")) / BLOCK_SHINGLES).alias("block"), "id", "shingles")
+    rows = rows.repartition("block").sortWithinPartitions("block", "id")
     return written(rows.mapInArrow(_place(percent), _PLACED), "overlap-blocks")
 
 
-def _probes(placed: DataFrame, percent: int) -> DataFrame:
-    """``key, block, root, least, shingle``: the probed shingles of each set, and how many of them it
-    shares with every partner."""
-    n = F.size("shingles")
-    least = F.ceil(percent * n / F.lit(100))
-    extra = lambda c: F.ceil(c / PROBE_SHARE)
-    length = F.least(n, n - least + extra(n)).cast("int")
-    return written(placed.select("key", "block", "root", extra(least).alias("least"), F.explode(
-        F.slice("shingles", F.lit(1), length)).alias("shingle")), "overlap-probes")
-
-
 def _topped(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """``rows`` with the group that their root belongs to by now."""
     return rows.join(roots, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
 
 
-def _star_routes(probes: DataFrame, roots: DataFrame) -> DataFrame:
-    """``key, root, block``: for every shingle that several groups hold, one set of each for a block of the first."""
-    rows = _topped(probes, roots)
-    first = rows.groupBy("shingle").agg(F.min(F.struct("root", "block")).alias("first"), F.max("root").alias("high"))
-    first = first.where("first.root <> high").select("shingle", F.col("first.root").alias("to"), F.col("first.block").alias("goal"))
-    met = rows.join(first, "shingle").where(F.col("root") != F.col("to"))
-    return met.groupBy("root", F.col("goal").alias("block")).agg(F.min("key").alias("key")).select("key", "root", "block")
+def _contested(probes: DataFrame) -> DataFrame:
+    """Rows whose shingle several groups hold."""
+    several = probes.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return probes.join(several.select("shingle"), "shingle", "left_semi")
+
+
+def _star_routes(probes: DataFrame) -> DataFrame:
+    """``id, root, block``: for every shingle that several groups hold, one set of each for a block of the first."""
+    first = probes.groupBy("shingle").agg(F.min(F.struct("root", "block")).alias("first"))
+    met = probes.join(first, "shingle").where(F.col("root") != F.col("first.root"))
+    return met.groupBy("root", F.col("first.block").alias("block")).agg(F.min("id").alias("id")).select("id", "root", "block")
 
 
-def _routes(probes: DataFrame, roots: DataFrame) -> DataFrame:
-    """``key, root, block``: sets and the other blocks whose sets of other groups share enough of their probe."""
-    rows = _topped(probes, roots)
-    held = rows.groupBy("shingle", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    met = rows.withColumnRenamed("block", "own").join(held, "shingle").where(
+def _routes(probes: DataFrame) -> DataFrame:
+    """``id, root, block``: sets and the other blocks whose sets of other groups share enough of their probe."""
+    held = probes.groupBy("shingle", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    met = probes.withColumnRenamed("block", "own").join(held, "shingle").where(
         (F.col("block") != F.col("own")) & ((F.col("low") != F.col("root")) | (F.col("high") != F.col("root"))))
-    return met.groupBy("key", "root", "least", "block").agg(F.count(F.lit(1)).alias("shared")).where(
-        "shared >= least").select("key", "root", "block")
+    return met.groupBy("id", "root", "least", "block").agg(F.count(F.lit(1)).alias("shared")).where(
+        "shared >= least").select("id", "root", "block")
 
 
 def _answer(percent: int):
@@ -439,7 +455,7 @@ def _answer(percent: int):
                 if index is None:
                     index = Index(sets)
                     names = [roots[int(i)] for i in index.order]
-                    number: dict[bytes, int] = {}  # groups; joined groups share one
+                    number: dict[int, int] = {}  # groups; joined groups share one
                     of = np.array([number.setdefault(r, len(number)) for r in names])
                 mine = number.setdefault(root, len(number))
                 wanted = of != mine
@@ -450,7 +466,7 @@ def _answer(percent: int):
                         found.append((root, names[place]))
                         of[of == of[place]] = mine
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
     return run
 
 
@@ -460,10 +476,10 @@ def _links(placed: DataFrame, routes: DataFrame, roots: DataFrame, percent: int)
     held = _topped(placed, roots).join(slices, "block").select(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"),
         F.lit(False).alias("query"), "root", "shingles")
-    asked = routes.join(slices, "block").join(placed.select("key", "shingles"), "key").select(
+    asked = routes.join(slices, "block").join(placed.select("id", "shingles"), "id").select(
         "block", F.pmod(F.xxhash64("root"), "slices").alias("slice"), F.lit(True).alias("query"), "root", "shingles")
     rows = held.unionByName(asked).repartition("block", "slice").sortWithinPartitions("block", "slice", "query", "root")
-    return rows.mapInArrow(_answer(percent), "a binary, b binary")
+    return rows.mapInArrow(_answer(percent), "a long, b long")
 
 
 def _joined(links: DataFrame) -> DataFrame:
@@ -471,24 +487,23 @@ def _joined(links: DataFrame) -> DataFrame:
 
 
 def link_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``key, root`` of ``sets (key, shingles)``, distinct sets of sorted shingles: equal roots for
-    sets connected by links."""
+    """``id, root`` of ``sets (id, shingles)``, distinct sets of sorted shingles: equal roots for sets
+    connected by links."""
     placed = _placed(sets, percent)
-    probes = _probes(placed, percent)
+    probes = written(_contested(_probes(placed, percent, "id", "block", "root")), "overlap-probes")
     roots = placed.select("root", F.col("root").alias("top")).where("false")
-    links = None
-    turn = 0
+    links, turn = None, 0
     while turn <= STARS:
-        exact = turn == STARS
-        routes = written(_routes(probes, roots) if exact else _star_routes(probes, roots), "overlap-routes")
+        routes = written(_routes(probes) if turn == STARS else _star_routes(probes), "overlap-routes")
         found = written(_links(placed, routes, roots, percent), "overlap-links")
         if found.isEmpty():
             turn = max(turn + 1, STARS)  # further stars would send the same sets
             continue
         links = found if links is None else links.unionByName(found)
         roots = written(_joined(links), "overlap-roots")
+        probes = written(_contested(_topped(probes, roots)), "overlap-probes")
         turn += 1
-    return _topped(placed, roots).select("key", "root")
+    return _topped(placed, roots).select("id", "root")
 
 
 def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS,
@@ -509,15 +524,18 @@ def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
     left = kinds.withColumn("id", _key_id(F.col("key"))).join(_shared_counts(named), "id").where(
         F.col("shared") >= F.ceil(least / PROBE_SHARE))
     left = written(left.select("key", "content"), "overlap-left")
-    texts = plain.select("content", "text").join(left, "content").select("key", "text")
+    texts = plain.select("content", "text").join(left.hint("merge"), "content").select("key", "text")
     sets = written(texts.mapInArrow(_set_rows(words), "key binary, shingles array<long>").dropDuplicates(["key"]), "overlap-full")
     shared = _shared_counts(sets.select(_key_id(F.col("key")).alias("id"), "shingles"))
     sets = sets.withColumn("id", _key_id(F.col("key"))).join(shared, "id").where(
         F.col("shared") >= F.ceil(percent * F.size("shingles") / F.lit(100))).select("key", "shingles")
-    groups = written(link_sets(written(sets, "overlap-search"), percent), "overlap-groups")
-    lows = kinds.join(groups, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    lowest = lows.groupBy("root").agg(F.min("low").alias("component_id"))
-    reached = written(lows.join(lowest, "root").select("key", "n_equal", "component_id"), "overlap-reached")
+    sets = written(sets.withColumn("id", F.monotonically_increasing_id()), "overlap-search")
+    groups = written(link_sets(sets.select("id", "shingles"), percent), "overlap-groups")
+    lows = kinds.join(sets.select("id", "key").join(groups, "id").drop("id"), "key", "left")
+    lowest = lows.where("root is not null").groupBy("root").agg(F.min("low").alias("lowest"))
+    reached = written(lows.join(lowest, "root", "left").select(
+        "key", "n_equal", F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("lowest")).alias("component_id")),
+        "overlap-reached")
     found = rows.join(reached, "key", "left")
     some = F.col("n") > 0
     return found.select(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.cleaning import trunc_to
 from footfall.operators.gold import CAMERA
 from footfall.schemas import FRAME_RECORD, struct_of
+from footfall.sources.tables import from_folders
 
 
 def gold_silver_diff(gold: DataFrame, silver: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -57,6 +58,26 @@ def partition_stats(table: DataFrame, columns: list[str], k: int = 10, files: bo
     return table.groupBy(*columns).agg(*measures).orderBy(F.desc("record_count"), *columns).limit(k)
 
 
+def stored_partitions(spark: SparkSession, path: str, columns: list[str], k: int = 10) -> DataFrame:
+    """Largest partitions of a stored table by record count, with their files and bytes, from metadata alone.
+
+    Counts come from the Parquet footers (aggregate push-down of the second form of the source), files and
+    bytes from the listing: no row is read. Both run in a session of their own with that source.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counts = own.read.parquet(path).groupBy(*columns).agg(F.count(F.lit(1)).alias("record_count"))
+    listing = own.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    zero = F.lit(0).cast("bigint")
+    both = counts.select(*columns, "record_count", zero.alias("file_count"), zero.alias("bytes")).unionByName(
+        listing.select(*columns, zero.alias("record_count"), F.lit(1).cast("bigint").alias("file_count"), F.col("length").alias("bytes")))
+    measures = ("record_count", "file_count", "bytes")
+    return from_folders(both, columns).groupBy(*columns).agg(*[F.sum(m).alias(m) for m in measures]).orderBy(
+        F.desc("record_count"), *columns).limit(k)
+
+
 def describe(table: DataFrame) -> DataFrame:
     """Places, names and types of a table's columns, and how many rows fill each."""
     return table.agg(F.array(*[

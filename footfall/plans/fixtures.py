@@ -115,6 +115,21 @@ def f1_records(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFra
     return records.withColumn("value", F.when(broken, F.lit("{bad")).otherwise(F.col("value")))
 
 
+def f1_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 records with further faults by frame: no capture time, a number as text, an undeclared field,
+    confidences as text."""
+    text = F.col("value")
+    for modulus, rest, pattern, becomes in (
+        (5, 1, r'"capture_ts":"[^"]*",', ""),
+        (7, 2, r'"frame_index":(\d+)', r'"frame_index":"$1"'),
+        (11, 3, r"^\{", r'{"weather":1,'),
+        (13, 4, r'"conf":([0-9.E-]+)', r'"conf":"$1"'),
+    ):
+        hit = (F.col("fr") % modulus == rest) & (F.col("fr") % 79 != 0)
+        text = F.when(hit, F.regexp_replace(text, pattern, becomes)).otherwise(text)
+    return f1_records(spark, sf_dir).withColumn("value", text)
+
+
 def now() -> Column:
     return F.lit(NOW).cast("timestamp")
 

@@ -47,6 +47,10 @@ class Layers:
             "silver_detections", "silver_detections",
             lambda: s.silver_stream(self.bronze(), fixtures.now()))
 
+    def path(self, label: str) -> str:
+        """Folder of a stored layer that has been built."""
+        return self._paths[label]
+
     def silver_v2(self) -> DataFrame:
         return self._stored(
             "silver_detections_v2", "silver_detections_v2", lambda: s.silver_batch(self.bronze()))

@@ -234,6 +234,20 @@ _NMS = f"""WITH RECURSIVE {F2_CTE},
      AND b.fr = s.fr AND b.class_id = s.class_id AND b.r = s.r + 1) n)
 """
 
+# Equal boxes stand as one, the best of them.
+_PAIRS = f"""WITH {F2_CTE},
+ folded AS (
+  SELECT store_id, camera_id, fr, class_id, x1, y1, x2, y2, count(*) AS n,
+   min({{'c': -conf, 'e': e}}) AS rank, arg_min(det_id, {{'c': -conf, 'e': e}}) AS det_id
+  FROM f2 WHERE x2 > x1 AND y2 > y1 GROUP BY ALL),
+ met AS (
+  SELECT a.store_id, a.camera_id, a.fr, a.class_id, a.det_id, b.det_id AS other_id, {_iou('a', 'b')} AS iou, a.n * b.n AS pairs
+  FROM folded a JOIN folded b ON a.store_id = b.store_id AND a.camera_id = b.camera_id AND a.fr = b.fr
+   AND a.class_id = b.class_id AND a.rank < b.rank)
+SELECT store_id, camera_id, fr, class_id, det_id, other_id, round(iou, 9) AS iou, pairs FROM met WHERE iou > 0
+UNION ALL
+SELECT store_id, camera_id, fr, class_id, det_id, det_id, CAST(1 AS DOUBLE), CAST(n * (n - 1) / 2 AS BIGINT) FROM folded WHERE n > 1"""
+
 _SMOOTH = f"""WITH RECURSIVE {F2_CTE},
  clipped AS (
   SELECT store_id, camera_id, track_id, fr, e, det_id, x1, y1,
@@ -262,6 +276,30 @@ FROM (SELECT *, x2 - x1 AS w, y2 - y1 AS h, x1 + (x2 - x1) / CAST(2 AS DOUBLE) A
       y1 + (y2 - y1) / CAST(2 AS DOUBLE) AS cy FROM f2) q"""
 
 
+def _faults(select: str) -> str:
+    """Faults of the frames of F1 by the rules that plant them, one row a fault, then ``select``."""
+    frame = {
+        ("record", "unreadable"): "fr % 79 = 0",
+        ("capture_ts", "missing"): "fr % 5 = 1",
+        ("frame_index", "missing"): "fr % 83 = 0",
+        ("frame_index", "wrong_type"): "fr % 7 = 2 AND fr % 83 <> 0",
+        ("weather", "unknown"): "fr % 11 = 3",
+        ("source.store_id", "missing"): "store_id IS NULL",
+        ("source.camera_id", "missing"): "camera_id IS NULL",
+    }
+    detection = {
+        ("det_id", "missing"): "e % 61 = 0",
+        ("class", "missing"): "e % 31 = 0",
+        ("class_id", "missing"): "e % 31 = 0",
+        ("conf", "missing"): "e % 53 = 0",
+        ("conf", "wrong_type"): "fr % 13 = 4 AND e % 53 <> 0",
+    }
+    parts = [f"SELECT fr, '{f}' AS field, '{p}' AS problem FROM (SELECT DISTINCT fr, store_id, camera_id FROM f1) "
+             f"WHERE {test}" + ("" if f == "record" else " AND fr % 79 <> 0") for (f, p), test in frame.items()]
+    parts += [f"SELECT fr, 'detections[].{f}', '{p}' FROM f1 WHERE {test} AND fr % 79 <> 0" for (f, p), test in detection.items()]
+    return over("f1", f"SELECT {select} FROM ({' UNION ALL '.join(parts)}) GROUP BY ALL")
+
+
 def _all_gold() -> str:
     """All rows of the six tables in one form: keys, then up to four measures."""
     tables = {
@@ -332,6 +370,8 @@ def oracle_sql() -> dict[str, str]:
         "parse_capture_ts": over("det", "SELECT frame_index, capture_ts, count(*) AS detections FROM det GROUP BY ALL"),
         "normalize_class": over("det", "SELECT class_name, count(*) AS detections FROM det GROUP BY ALL"),
         "normalize_bbox": over("det", "SELECT det_id, bbox_x1, bbox_y1, bbox_x2, bbox_y2 FROM det"),
+        "parse_detections_sql": over("det", f"SELECT {SILVER_COLUMNS} FROM det"),
+        "silver_sql": silver,
         "silver_stream": silver,
         "silver_dedup": over("silver", "SELECT store_id, camera_id, frame_index, det_id, conf, track_id FROM silver"),
         "silver_batch": over("silver2", f"SELECT {SILVER2_COLUMNS} FROM silver2"),
@@ -454,6 +494,9 @@ def oracle_sql() -> dict[str, str]:
         "nms_per_frame": _NMS + "SELECT store_id, camera_id, fr, class_id, det_id FROM step WHERE r > 0 AND suppressed_by IS NULL",
         "iou_pairs": _NMS + """SELECT store_id, camera_id, fr, class_id, det_id, suppressed_by, round(iou, 9) AS iou
           FROM step WHERE r > 0 AND suppressed_by IS NOT NULL""",
+        "overlap_pairs": _PAIRS,
+        "contract_faults": _faults("field, problem, count(*) AS faults, count(DISTINCT fr) AS records"),
+        "contract_rejects": _faults("fr, CAST(count(*) AS INTEGER) AS faults"),
         "smooth_bbox": _SMOOTH,
         # Streaming: the stored result must equal the batch result
         "stream_bronze": over("f1", f"""SELECT 'v1' AS schema_version,
@@ -486,5 +529,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_state_people": gold["people"],
         "stream_state_dwell": gold["dwell"],
         "stream_smooth_ordered": _SMOOTH,
+        "gold_bucketed": gold["minute"],
     }
+    out["stored_partitions"] = out["partition_stats"]
+    out["diff_bucketed"] = out["gold_silver_diff"]
     return out

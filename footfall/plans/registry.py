@@ -9,18 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from footfall.functions.labels import label_lookup, labels
 from footfall.operators import bronze as b
+from footfall.operators import contract
 from footfall.operators import explore as x
 from footfall.operators import geometry as geo
 from footfall.operators import gold as g
 from footfall.operators import panels as p
 from footfall.operators import quality as q
 from footfall.operators import silver as s
+from footfall.operators import sql
+from footfall.operators.pairs import overlapping_pairs
 from footfall.operators.smoothing import smooth_bbox
 from footfall.plans import fixtures as fx
 from footfall.plans import live
@@ -104,12 +107,60 @@ def bronze_json_extract(bronze: DataFrame) -> DataFrame:
 def gold_silver_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reconciliation against a Gold copy with planted damage: every fifth minute
     is missing and every fifth counts one too many."""
-    gold = layers(spark, sf_dir).gold("gold_minute_by_cam")
+    return q.gold_silver_diff(
+        _damaged(layers(spark, sf_dir).gold("gold_minute_by_cam")), layers(spark, sf_dir).silver(), as_of())
+
+
+def as_of() -> Column:
+    return F.lit("2025-01-01 12:00:00").cast("timestamp_ntz")
+
+
+def _damaged(gold: DataFrame) -> DataFrame:
     phase = F.minute("ts_minute") % 5
-    damaged = gold.where(phase != 1).withColumn(
+    return gold.where(phase != 1).withColumn(
         "detection_count", F.col("detection_count") + (phase == 2).cast("bigint"))
-    as_of = F.lit("2025-01-01 12:00:00").cast("timestamp_ntz")
-    return q.gold_silver_diff(damaged, layers(spark, sf_dir).silver(), as_of)
+
+
+def stored_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = layers(spark, sf_dir)
+    stored.silver()
+    found = q.stored_partitions(spark, stored.path("silver_detections"), ["store_id", "capture_date"])
+    return found.select("store_id", F.col("capture_date").cast("string").alias("capture_date"), "record_count")
+
+
+def bucketed_tables(spark: SparkSession, sf_dir: str) -> tuple[SparkSession, str, str]:
+    """Silver and minute Gold as catalog tables cut alike, and a session that uses it."""
+    stored, work = layers(spark, sf_dir), shared_dir(spark, "bucketed")
+    before = spark.catalog.currentDatabase()
+    tables.create_database(spark, "footfall_buckets", use=False)
+    names = []
+    for name, rows in (("silver_detections", stored.silver()), ("gold_minute_by_cam", stored.gold("gold_minute_by_cam"))):
+        names.append(f"footfall_buckets.{name}_{work.rsplit('-', 1)[1]}")
+        tables.publish_bucketed(rows, name, names[-1], f"{work}/{name}")
+    spark.catalog.setCurrentDatabase(before)
+    return tables.co_located(spark), *names
+
+
+def gold_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own, silver, _ = bucketed_tables(spark, sf_dir)
+    return settled(g.gold_minute_by_cam(own.table(silver)))
+
+
+def diff_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reconciliation of ``gold_silver_diff`` between tables cut alike."""
+    own, silver, gold = bucketed_tables(spark, sf_dir)
+    return q.gold_silver_diff(_damaged(own.table(gold)), own.table(silver), as_of())
+
+
+def contract_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared schema against records with planted faults of every kind."""
+    return contract.fault_report(fx.f1_faulty(spark, sf_dir), payload="value")
+
+
+def contract_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records by their number and how many faults they have."""
+    found = contract.rejects(fx.f1_faulty(spark, sf_dir), payload="value")
+    return found.select("fr", F.size("faults").alias("faults"))
 
 
 def catalog_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,6 +180,16 @@ def catalog_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _in_sql(text) -> Query:
+    """A job written in SQL over a view of Bronze."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sql.register(spark)
+        view = f"bronze_{shared_dir(spark, 'v').rsplit('-', 1)[1]}"
+        layers(spark, sf_dir).bronze().createTempView(view)
+        return spark.sql(text(view, f"TIMESTAMP'{fx.NOW}'"))
+    return run
+
+
 def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = label_lookup(layers(spark, sf_dir).silver().select("class_id"), labels(spark))
     return rows.groupBy("class_id", "label").agg(F.count(F.lit(1)).alias("detections"))
@@ -152,6 +213,8 @@ def queries() -> dict[str, Query]:
         "frames_to_jsonl": frames_to_jsonl,
         # Silver
         "parse_detections": _parsed(lambda t: t),
+        "parse_detections_sql": _in_sql(sql.detections_sql),
+        "silver_sql": _in_sql(sql.silver_sql),
         "parse_capture_ts": _parsed(
             lambda t: t.groupBy("frame_index", "capture_ts").agg(F.count(F.lit(1)).alias("detections"))),
         "normalize_class": _parsed(
@@ -196,7 +259,12 @@ def queries() -> dict[str, Query]:
         "silver_status_matrix": _silver(q.silver_status_matrix),
         "partition_stats": _silver(lambda t: q.partition_stats(t, ["store_id", "capture_date"]).withColumn(
             "capture_date", F.col("capture_date").cast("string"))),
+        "stored_partitions": stored_partitions,
+        "gold_bucketed": gold_bucketed,
+        "diff_bucketed": diff_bucketed,
         "contract_report": _bronze(q.contract_report),
+        "contract_faults": contract_faults,
+        "contract_rejects": contract_rejects,
         # Panels
         "panel_people_totals": _gold("gold_people_per_minute", p.people_totals),
         "panel_people_series": _gold("gold_people_per_minute", p.people_series),
@@ -224,6 +292,7 @@ def queries() -> dict[str, Query]:
         "nms_per_frame": _boxes(lambda t: geo.nms_per_frame(t, F2_FRAME, ["e"]).select(
             *F2_FRAME, "class_id", "det_id")),
         "iou_pairs": _boxes(lambda t: settled(geo.suppressed_pairs(t, F2_FRAME, ["e"]))),
+        "overlap_pairs": _boxes(lambda t: settled(overlapping_pairs(t, F2_FRAME, ["e"]))),
         "smooth_bbox": _boxes(lambda t: settled(smooth_bbox(
             t.select(*F2_TRACK, "fr", "e", "det_id", "img_w", "img_h", *geo.BOX), F2_TRACK, ["fr", "e"],
         ).select(*F2_TRACK, "det_id", *geo.BOX))),

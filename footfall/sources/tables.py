@@ -72,6 +72,42 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return from_folders(spark.read.schema(stored_schema(name)).parquet(path), PARTITIONS.get(name, []))
 
 
+# The column of the bucket and the number of buckets of the Silver layout.
+BUCKETS = 16
+BUCKETED = ["store_id", "camera_id"]
+
+# A join on (store, camera, ...) may use a layout by (store, camera): its keys need not all be those of the layout.
+CO_LOCATED = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.sources.bucketing.enabled": "true"}
+
+
+def co_located(spark: SparkSession) -> SparkSession:
+    """A session, with the tables of ``spark``, whose plans use the buckets of both sides of a join."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    for key, value in CO_LOCATED.items():
+        own.conf.set(key, value)
+    return own
+
+
+def publish_bucketed(df: DataFrame, name: str, table: str, location: str, buckets: int = BUCKETS) -> None:
+    """The rows as catalog table ``table``, cut by date where it has one and into buckets by store and camera,
+    replacing what it held.
+
+    Aggregates by (store, camera, ...) and joins of tables cut alike need no shuffle. A camera with far more rows
+    than others is written as several files of one bucket, and its bucket is read by one task: choose
+    ``buckets`` and the dates read so that a bucket fits a task.
+    """
+    spark = df.sparkSession
+    ddl, by = TABLES[name], ""
+    if "capture_date" in PARTITIONS.get(name, []):
+        df, by = df.withColumn("capture_date", F.col("capture_ts").cast("date")), "PARTITIONED BY (capture_date)"
+        ddl += ", capture_date date"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet {by} "
+              f"CLUSTERED BY ({', '.join(BUCKETED)}) INTO {buckets} BUCKETS LOCATION '{location}'")
+    spread = df.hint("rebalance", *BUCKETED)
+    spread.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+
+
 def create_database(spark: SparkSession, database: str, use: bool = True) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     if use:

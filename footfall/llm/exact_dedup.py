@@ -3,11 +3,12 @@
 1. Every input partition inserts its texts, as whole byte strings, into a
    compressed radix trie. A terminal node stores the smallest and the largest
    identifier and the number of copies, so a text that a third of all rows repeat
-   leaves a task as one row.
-2. What is left goes to partitions by (length, content hash) and is sorted there,
-   which Spark spills to disk. Texts of another length or hash cannot be equal, so
-   a finished (length, hash) subtree is written out and freed when the next one
-   begins. The hash only deals out the work: equality is decided by the trie.
+   leaves a task as one row. When nodes and edges reach ``TRIE_BYTES``, the largest
+   subtrees below the root are written out and freed until half is left.
+2. What is left goes to partitions by (length, content hash) and is sorted there. A
+   partition has one trie of (length, hash, byte string); equal texts follow each other, so
+   when it is full and another length or hash begins, all subtrees are final: they are
+   written out and freed. The hash only deals out the work: equality is decided by the trie.
 3. Subtrees are keyed by the SHA-256 of their text, which documents look up.
 
 Null counts as empty. With ``keep="max"`` the row with the largest id stays, with
@@ -30,7 +31,8 @@ from footfall.session import carry_to_workers
 
 carry_to_workers(__name__)
 
-TRIE_BYTES = 64 << 20  # bytes of text in one map-side trie before it is written out
+TRIE_BYTES = 64 << 20  # bytes that one trie may take before subtrees are written out
+NODE_BYTES = 450       # of a node and its value besides the edge's bytes, as measured
 
 
 class Trie:
@@ -39,7 +41,7 @@ class Trie:
 
     def __init__(self) -> None:
         self.root: list = [b"", {}, None]
-        self.size = 0  # bytes held in edges
+        self.size = 0  # bytes of edges and nodes
 
     def add(self, key: bytes, value, merge) -> None:
         node, at = self.root, 0
@@ -50,7 +52,7 @@ class Trie:
             child = node[1].get(key[at])
             if child is None:
                 node[1][key[at]] = [key[at:], {}, value]
-                self.size += len(key) - at
+                self.size += len(key) - at + NODE_BYTES
                 return
             edge = child[0]
             if key.startswith(edge, at):
@@ -60,10 +62,23 @@ class Trie:
             upper = [edge[:common], {edge[common]: child}, None]
             child[0] = edge[common:]
             node[1][key[at]] = upper
+            self.size += NODE_BYTES
             node, at = upper, at + common
 
-    def items(self) -> Iterator[tuple[bytes, object]]:
-        todo = [(self.root, b"")]
+    def spill(self, least: int = 0) -> Iterator[tuple[bytes, object]]:
+        """Takes out subtrees below the root, the largest first, until at most ``least`` bytes are left, and
+        gives their items. What ends at the root stays."""
+        ways = sorted(((_weight(child), first) for first, child in self.root[1].items()), reverse=True)
+        for weight, first in ways:
+            if self.size <= least:
+                return
+            child = self.root[1].pop(first)
+            self.size -= weight
+            yield from self.items(child)
+
+    def items(self, start: list | None = None) -> Iterator[tuple[bytes, object]]:
+        """Keys and values of the trie, or of a subtree below the root."""
+        todo = [(start or self.root, b"")]
         while todo:
             node, above = todo.pop()
             key = above + node[0]
@@ -72,6 +87,16 @@ class Trie:
             todo.extend((child, key) for child in node[1].values())
 
 
+def _weight(node: list) -> int:
+    """Bytes of a subtree, as ``Trie.size`` counts them."""
+    total, todo = 0, [node]
+    while todo:
+        node = todo.pop()
+        total += len(node[0]) + NODE_BYTES
+        todo.extend(node[1].values())
+    return total
+
+
 def _common(edge: bytes, key: bytes, at: int) -> int:
     """Length of the common start of ``edge`` and ``key[at:]``, by bisection."""
     low, high = 0, min(len(edge), len(key) - at)
@@ -101,12 +126,12 @@ def _hash(content: bytes) -> int:
 
 
 def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def flush(trie: Trie) -> Iterator[pa.RecordBatch]:
+    def rows_of(items: Iterator[tuple[bytes, tuple]]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
-        for content, value in trie.items():
+        for content, value in items:
             rows.append((len(content), _hash(content), content, *value))
             held += len(content)
-            if held > 8 << 20:
+            if held > 8 << 20 or len(rows) >= 20_000:
                 yield _batch(rows, _PART)
                 rows, held = [], 0
         yield _batch(rows, _PART)
@@ -116,28 +141,33 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, content in zip(batch.column(0).to_pylist(), batch.column(1)):
             trie.add(content.as_buffer().to_pybytes() if content.is_valid else b"", (key, key, 1), _merge)
             if trie.size > TRIE_BYTES:
-                yield from flush(trie)
-                trie = Trie()
-    yield from flush(trie)
+                yield from rows_of(trie.spill(least=TRIE_BYTES // 2))
+    yield from rows_of(trie.items())
+
+
+def _place(length: int, hashed: int) -> bytes:
+    """The start of a key of the second trie."""
+    return length.to_bytes(8, "big") + hashed.to_bytes(8, "big", signed=True)
 
 
 def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    trie, prefix = Trie(), None
+    trie, newest = Trie(), b""
     for batch in batches:
         out = []
         columns = [batch.column(i) for i in range(6)]
         plain = [c.to_pylist() if i != 2 else c for i, c in enumerate(columns)]
         for length, hashed, content, low, high, copies in zip(*plain):
-            if (length, hashed) != prefix:
-                out += _finished(trie)
-                trie, prefix = Trie(), (length, hashed)
-            trie.add(content.as_buffer().to_pybytes(), (low, high, copies), _merge)
+            place = _place(length, hashed)
+            if trie.size > TRIE_BYTES and place != newest:
+                out += _finished(trie.spill())
+            newest = place
+            trie.add(place + content.as_buffer().to_pybytes(), (low, high, copies), _merge)
         yield _batch(out, _DONE)
-    yield _batch(_finished(trie), _DONE)
+    yield _batch(_finished(trie.items()), _DONE)
 
 
-def _finished(trie: Trie) -> list[tuple]:
-    return [(hashlib.sha256(content).hexdigest(), *value) for content, value in trie.items()]
+def _finished(items: Iterator[tuple[bytes, tuple]]) -> list[tuple]:
+    return [(hashlib.sha256(key[16:]).hexdigest(), *value) for key, value in items]
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

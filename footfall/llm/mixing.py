@@ -40,6 +40,7 @@ MAX_REPEATS = 3
 BLOCK_TOKENS = 128
 BUCKETS = 1024        # of a source, for the prefix sum
 SLOTS_PER_ROW = 4096  # slots that one row of the slot table is spread to
+SLOTS_PER_TASK = 50_000  # slots that one task unfolds
 SHARDS = 64
 SEED = 20_240_917
 
@@ -164,7 +165,9 @@ def draw_slots(targets: DataFrame, block_tokens: int = BLOCK_TOKENS, shards: int
         (passes * blocks + F.ceil(rest / b)).cast("long").alias("slots")).where("slots > 0")
     step = F.lit(SLOTS_PER_ROW).cast("long")
     spread = plan.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, step)))
-    spread = spread.repartition("code", "first").withColumn(
+    # A stated number of tasks: the rows are few, and would else be folded into one that unfolds all slots.
+    tasks = -(-(plan.agg(F.sum("slots")).first()[0] or 1) // SLOTS_PER_TASK)
+    spread = spread.repartition(tasks, "code", "first").withColumn(
         "slot", F.explode(F.sequence(F.col("first"), F.least(F.col("first") + step, F.col("slots")) - 1)))
     kind = targets.schema["source"].dataType.simpleString()
     names = ["source", "code", "slot", "blocks", "full", "size", "passes", "rest"]

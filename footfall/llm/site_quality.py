@@ -163,7 +163,10 @@ def score_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     counts = known.agg(F.count(F.lit(1)), F.sum("good")).first()
     total, good = counts[0], counts[1] or 0
     ids = bounded_sample(known, F.col("_id"), SAMPLE_ROWS, total)
-    table = rows.join(ids, rows["doc_id"] == ids["_id"]).select("x", "good").toPandas()  # SAMPLE_ROWS on average
+    # Rows equal in id and measures are one, and an id with very many texts is thinned by them, so the
+    # bound holds for rows as well.
+    chosen = written(rows.join(ids, rows["doc_id"] == ids["_id"]).select("_id", "x", "good").distinct(), "quality-sample")
+    table = bounded_sample(chosen, F.struct("_id", "x"), 2 * SAMPLE_ROWS, chosen.count(), seed=11).select("x", "good").toPandas()
     y = table["good"].to_numpy(float)
     if len(y) and 0 < y.sum() < len(y):
         weights, bias = fit_regression(expand(np.array(table["x"].tolist())), y)

@@ -291,7 +291,9 @@ def covered_words(rows: list[tuple[str, bool, int, int]], strongest: dict[str, s
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     label: str = "toxic") -> tuple[DataFrame, dict[int, float]]:
-    """A bounded sample ``text, toxic`` of both classes, and the share of each that it holds."""
+    """A bounded sample ``text, toxic`` of both classes, and the share of each that it holds. Ids are
+    chosen first, then rows: rows equal in id and text are one, and an id with very many texts is
+    thinned by them, so the bound holds for rows whatever repeats."""
     ids = labels.select(labels[doc_id].alias("doc_id"), labels[label].cast("int").alias("toxic")).where(
         F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     totals = {r["toxic"]: r["count"] for r in ids.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
@@ -303,7 +305,14 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
         share[toxic] = min(1.0, most / total) if total else 1.0
     chosen = parts[0].unionByName(parts[1])  # TOXIC_ROWS + CLEAN_ROWS ids: bounded, so broadcast
     texts = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    return written(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "labelled"), share
+    rows = written(texts.join(F.broadcast(chosen), "doc_id").distinct(), "labelled-rows")
+    totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    kept = []
+    for toxic, most in ((1, TOXIC_ROWS), (0, CLEAN_ROWS)):
+        total, bound = totals.get(toxic, 0), 2 * most  # ids with a single text each stay as they are
+        kept.append(bounded_sample(rows.where(F.col("toxic") == toxic), F.struct("doc_id", "text"), bound, total, seed=11))
+        share[toxic] *= min(1.0, bound / total) if total else 1.0
+    return written(kept[0].unionByName(kept[1]).select("text", "toxic"), "labelled"), share
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -98,3 +98,15 @@ def test_misspellings_of_words_that_a_start_covers(spark):
     assert lexicon.look_up("ideology") is None
     start = next(e for e in model.entries if e.start)
     assert lexicon.look_up("idiot")[1].weight == start.weight  # exact finds weigh what they did
+
+
+def test_a_labelled_id_with_very_many_rows_keeps_the_sample_bounded(spark, monkeypatch):
+    monkeypatch.setattr(X, "TOXIC_ROWS", 20)
+    monkeypatch.setattr(X, "CLEAN_ROWS", 40)
+    docs = spark.createDataFrame(
+        [(1, f"you are an idiot {i}") for i in range(3000)] + [(1, "same")] * 500 + [(i, f"fine text {i}") for i in range(2, 30)],
+        "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 30)], "doc_id long, toxic int")
+    sample, share = X.sample_labelled(docs, labels)
+    rows = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    assert rows[1] < 80 and rows[0] == 28 and 0 < share[1] < 0.05 and share[0] == 1.0

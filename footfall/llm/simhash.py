@@ -551,7 +551,8 @@ def _dense_links(dense: DataFrame, sketches: DataFrame, groups: DataFrame, texts
 
 
 def similar_groups(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
-                   radius: int = WORD_RADIUS, parts: int = WORD_PARTS, most: int = BUCKET_ROWS) -> DataFrame:
+                   radius: int = WORD_RADIUS, parts: int = WORD_PARTS, most: int = BUCKET_ROWS,
+                   own: Column | None = None) -> DataFrame:
     """``node, root`` for contents (hashes of texts) that are similar to another one: two texts
     are linked if their word shingles have a Jaccard similarity of ``similarity`` or more.
 
@@ -560,7 +561,7 @@ def similar_groups(docs: DataFrame, text: str = "text", words: int = SHINGLE_WOR
     MinHashes follow in the same way, whatever their fingerprints. Dense buckets propose a few
     pairs a member; what dense bands leave out between texts that are not in one group by then
     is compared by blocks."""
-    texts = docs.select(_content(docs[text]).alias("content"), docs[text].alias("text"))
+    texts = docs.select((own if own is not None else told_apart(docs, text)).alias("content"), docs[text].alias("text"))
     kinds = ["content", "fingerprint", "n_shingles", *SKETCH]
     sketches = texts.mapInArrow(_sketches(words), ", ".join(f"{c} long" for c in kinds) + ", bands array<long>")
     sketches = written(sketches.groupBy("content").agg(*(F.first(c).alias(c) for c in [*kinds[1:], "bands"])), "sketches")
@@ -584,20 +585,41 @@ def _content(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+MAX_COLLISIONS = 100_000  # numbers that several texts share; some hundreds among 10^11 texts
+
+
+def told_apart(docs: DataFrame, text: str = "text") -> Column:
+    """A number for each text, other texts having others: its 64-bit hash, and a second hash where
+    texts of other 128-bit digests share the first. Checked again until none do."""
+    plain = F.coalesce(docs[text], F.lit(""))
+    number, salt = _content(docs[text]), 0
+    while True:
+        digests = docs.select(number.alias("content"), F.md5(plain.cast("binary")).alias("digest")).groupBy("content").agg(
+            F.min("digest").alias("low"), F.max("digest").alias("high"))
+        shared = [r[0] for r in digests.where("low <> high").limit(MAX_COLLISIONS + 1).collect()]
+        if not shared:
+            return number
+        if len(shared) > MAX_COLLISIONS:
+            raise ValueError(f"over {MAX_COLLISIONS} numbers are shared by several texts")
+        salt += 1
+        number = F.when(number.isin(shared), F.xxhash64(plain, F.lit(salt))).otherwise(number)
+
+
 def drop_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """One row of each group of similar texts, with all columns: the one with the smallest id.
 
     Texts are similar as in ``similar_groups`` or through others; equal texts are, too. A text
     without words is similar to equal ones only. A null id ranks behind all others; rows
     equal in text and id are thinned to the first by their other columns."""
-    groups = similar_groups(docs, text, **how)
+    own = told_apart(docs, text)
+    groups = similar_groups(docs, text, own=own, **how)
     rank = lambda c: F.struct(c.isNull().alias("missing"), c.alias("id"))
-    ids = docs.select(_content(docs[text]).alias("content"), rank(docs[doc_id]).alias("rank"))
+    ids = docs.select(own.alias("content"), rank(docs[doc_id]).alias("rank"))
     best = ids.groupBy("content").agg(F.min("rank").alias("rank"))
     grouped = best.join(groups.withColumnRenamed("node", "content"), "content", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "content"))
     stay = grouped.groupBy("root").agg(F.min_by(F.struct("content", "rank"), F.struct("rank", "content")).alias("kept"))
     stay = stay.select("kept.content", "kept.rank")
-    rows = docs.select(packed(docs), _content(docs[text]).alias("content"), rank(docs[doc_id]).alias("rank"))
+    rows = docs.select(packed(docs), own.alias("content"), rank(docs[doc_id]).alias("rank"))
     first = thinned(rows, docs, ["content", "rank"], (doc_id, text))
     return first.join(stay, ["content", "rank"], "left_semi").select("row.*")

@@ -229,3 +229,14 @@ def test_hot_bucket_of_reshuffled_words_takes_linear_work(monkeypatch):
                                    ["bucket", "content", "root", *S.SKETCH]) for b in batches)).to_pydict()
     named = {a for kind, a in zip(bands["kind"], bands["a"]) if kind == 1}
     assert named == set(range(n + 100)) and {b for k, b in zip(bands["kind"], bands["b"]) if k == 1} == {0}
+
+
+def test_texts_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    """With a hash of three values every text collides; none may be taken for another."""
+    monkeypatch.setattr(S, "_content", lambda text: S.F.pmod(S.F.xxhash64(S.F.coalesce(text, S.F.lit(""))), S.F.lit(3)))
+    texts = [" ".join(f"w{i * 50 + j}" for j in range(30)) for i in range(8)]
+    rows = [(i, texts[i % 8]) for i in range(16)] + [(20, None), (21, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    numbers = docs.select(S.told_apart(docs).alias("n"), "text").distinct().collect()
+    assert len({r.n for r in numbers if r.text}) == 8
+    assert sorted(r["doc_id"] for r in rows_of(S.drop_similar(docs))) == [*range(8), 20]

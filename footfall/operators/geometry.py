@@ -46,9 +46,11 @@ def clip_bbox(boxes: DataFrame) -> DataFrame:
 # is dropped when it overlaps an earlier kept one by ``iou`` or more.
 #
 # 1. Boxes without area never overlap anything: they are kept as they are.
-# 2. Boxes with equal corners share one fate, so only the best of them (the
-#    leader) is judged; copies are folded away before the shuffle.
-# 3. A group of up to ``fold`` leaders is judged by an array fold in the JVM.
+# 2. A frame of up to ``fold`` boxes is gathered in one shuffle and judged by an
+#    array fold in the JVM. Frames are counted first, which shuffles counts only.
+# 3. In larger frames, boxes with equal corners share one fate, so only the best of
+#    them (the leader) is judged; copies are folded away before the shuffle. A group
+#    of up to ``fold`` leaders is judged like a small frame.
 # 4. A larger group is judged in rounds: its best ``fold`` leaders are folded,
 #    the kept ones are handed to all tasks that hold the rest, and what they do
 #    not drop goes to the next round.  No task ever holds the whole group.
@@ -138,14 +140,8 @@ def _stored(leaders: DataFrame) -> DataFrame:
 
 
 def _judge(leaders: DataFrame, group: list[str], iou: float, fold: int) -> DataFrame:
-    """Verdict per leader: ``by`` is NULL for kept ones.
-
-    ``fold`` has to stay within the size up to which Spark cuts a window before
-    its shuffle.
-    """
+    """Verdict per leader: ``by`` is NULL for kept ones."""
     spark = leaders.sparkSession
-    if fold > MAX_FOLD:
-        raise ValueError(f"fold is {fold}; at most {MAX_FOLD} boxes are cut before the shuffle")
     leaders = leaders.drop("n")
     large = leaders.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold)
     if large.isEmpty():
@@ -182,6 +178,30 @@ def _judge(leaders: DataFrame, group: list[str], iou: float, fold: int) -> DataF
     return reduce(DataFrame.unionByName, parts)
 
 
+def _ordinary(boxes: DataFrame, group: list[str], order: list[str], rest: list[str], iou: float) -> DataFrame:
+    """Verdicts for frames that fit an array; rows that are equal in all columns are one."""
+    gathered = boxes.withColumns({"rank": _rank(order), "row": F.struct(*rest)})
+    gathered = _gather(gathered, group).withColumn("boxes", F.array_distinct("boxes"))
+    return _verdicts(_fold(gathered, group, iou), group, iou)
+
+
+def _by_size(boxes: DataFrame, group: list[str], fold: int) -> tuple[DataFrame, DataFrame | None]:
+    """The boxes of frames of up to ``fold`` boxes, and those of larger ones, if there are any.
+
+    ``fold`` has to stay within the size up to which Spark cuts a window before its shuffle.
+    """
+    if fold > MAX_FOLD:
+        raise ValueError(f"fold is {fold}; at most {MAX_FOLD} boxes are cut before the shuffle")
+    large = boxes.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold)
+    large = _stored(large)
+    rows = large.agg(F.sum("n")).first()[0]
+    if not rows:
+        return boxes, None
+    mark = large.select(*group, F.lit(True).alias("_large"))
+    tagged = _spread_join(boxes, mark, group, _heavy(large, group, rows), "left")
+    return tagged.where(F.col("_large").isNull()).drop("_large"), tagged.where("_large").drop("_large")
+
+
 def _prepare(boxes: DataFrame, frame_key: list[str], order: list[str]):
     group = [*frame_key, "class_id"]
     rest = [c for c in boxes.columns if c not in [*group, *BOX]]
@@ -203,8 +223,10 @@ def nms_per_frame(
     """
     order = order or ["det_id"]
     group, rest, typed, solid = _prepare(boxes, frame_key or FRAME_KEY, order)
-    leaders = _stored(_leaders(typed.where(solid), group, order, rest))
-    verdicts = _judge(leaders, group, iou, fold)
+    small, large = _by_size(typed.where(solid), group, fold)
+    verdicts = _ordinary(small, group, order, rest, iou)
+    if large is not None:
+        verdicts = verdicts.unionByName(_judge(_stored(_leaders(large, group, order, rest)), group, iou, fold))
     kept = verdicts.where(F.col("by").isNull()).select(
         *group, *[F.col(f"b.{c}").alias(c) for c in BOX], "b.row.*")
     return kept.unionByName(typed.where(~solid)).select(*boxes.columns)
@@ -223,7 +245,15 @@ def suppressed_pairs(
     """
     order = order or ["det_id"]
     group, rest, typed, solid = _prepare(boxes, frame_key or FRAME_KEY, order)
-    typed = typed.where(solid)
+    small, large = _by_size(typed.where(solid), group, fold)
+    found = _ordinary(small, group, order, rest, iou).where(F.col("by").isNotNull()).select(
+        *group, F.col("b.row.det_id").alias("det_id"), F.col("by.row.det_id").alias("suppressed_by"),
+        geo.iou(F.col("by"), F.col("b")).alias("iou"))
+    return found if large is None else found.unionByName(_large_pairs(large, group, order, rest, iou, fold))
+
+
+def _large_pairs(typed: DataFrame, group: list[str], order: list[str], rest: list[str], iou: float, fold: int) -> DataFrame:
+    """``suppressed_pairs`` of frames that fit no array."""
     leaders = _stored(_leaders(typed, group, order, rest))
     verdicts = _judge(leaders, group, iou, fold)
     fate = verdicts.select(

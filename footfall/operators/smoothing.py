@@ -9,21 +9,22 @@ order) into blocks of equal size; a block may start in the middle of a track.
    always equals the true state bit for bit.
 2. Every block is computed in parallel, starting from the guess before it.
 3. Each true end state is compared with the guess that its successor used.
-   Blocks that used a wrong one are computed again until none is left; the
+   Blocks that used a wrong one, and only these, are computed again until none is left; the
    first wrong block gets its true start in every round, so this ends, and the
    result is exactly that of a single pass over each track.
 """
 
 from __future__ import annotations
 
-from itertools import groupby
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from footfall.functions.ema import ALPHA, MIN_IOU, smooth
+from footfall.functions.ema import ALPHA, MIN_IOU, smooth_runs
 from footfall.operators.geometry import BOX, clip_bbox
 from footfall.session import carry_to_workers, shared_dir
 
@@ -35,17 +36,13 @@ TAIL_ROWS = 256
 _POS_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
 
-def _walk(tracks: list, boxes: list, track: str | None, prev, alpha: float, min_iou: float) -> list:
+def _walk(table: pa.Table, track: str | None, prev, alpha: float, min_iou: float) -> np.ndarray:
     """Smoothed boxes of rows in order; ``prev`` is the state ``track`` brings along."""
-    out: list = []
-    for key, run in groupby(range(len(tracks)), key=tracks.__getitem__):
-        start = prev if key == track else None
-        out.extend(smooth((boxes[i] for i in run), start, alpha, min_iou))
-    return out
-
-
-def _boxes(table: pa.Table) -> list:
-    return list(zip(*[table[c].to_pylist() for c in BOX]))
+    tracks = table["_track"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    boxes = np.column_stack([table[c].to_numpy() for c in BOX])
+    starts = np.flatnonzero(np.append(True, tracks[1:] != tracks[:-1]))
+    follows = prev is not None and table["_track"][0].as_py() == track
+    return smooth_runs(boxes, starts, np.array(prev) if follows else None, alpha, min_iou)
 
 
 def smooth_bbox(
@@ -93,11 +90,13 @@ def smooth_bbox(
     starts.write.parquet(f"{work}/starts-0")
     used = spark.read.parquet(f"{work}/starts-0")
     _run(rows, used, alpha, min_iou).write.parquet(f"{work}/out-0")
-    out = spark.read.parquet(f"{work}/out-0")
+    outs = [spark.read.parquet(f"{work}/out-0")]  # a block counts as the last of them has it
+    _true_ends(outs[0]).write.parquet(f"{work}/true-0")
+    true = spark.read.parquet(f"{work}/true-0")
     turn = 0
     while True:
         # One small row per block: its true end, and the start its successor used.
-        due = _starts(_true_ends(out))
+        due = _starts(true)
         wrong = due.alias("d").join(used.alias("u"), "_block").where(
             ~F.col("d.state").eqNullSafe(F.col("u.state"))
             & F.coalesce(F.col("d.state._track") == F.col("u.first_track"), F.lit(True))
@@ -107,13 +106,14 @@ def smooth_bbox(
         wrong = spark.read.parquet(f"{work}/wrong-{turn}")
         if wrong.isEmpty():
             break
-        used.join(wrong, "_block", "left_anti").unionByName(wrong).write.parquet(f"{work}/starts-{turn}")
-        _run(rows.join(wrong.select("_block"), "_block", "left_semi"), wrong, alpha, min_iou).unionByName(
-            out.join(wrong.select("_block"), "_block", "left_anti")
-        ).write.parquet(f"{work}/out-{turn}")
-        used = spark.read.parquet(f"{work}/starts-{turn}")
-        out = spark.read.parquet(f"{work}/out-{turn}")
-    return out.select(*columns).unionByName(loose)
+        again = wrong.select("_block")
+        used.join(again, "_block", "left_anti").unionByName(wrong).write.parquet(f"{work}/starts-{turn}")
+        _run(rows.join(again, "_block", "left_semi"), wrong, alpha, min_iou).write.parquet(f"{work}/out-{turn}")
+        fresh = spark.read.parquet(f"{work}/out-{turn}")
+        true.join(again, "_block", "left_anti").unionByName(_true_ends(fresh)).write.parquet(f"{work}/true-{turn}")
+        used, true = spark.read.parquet(f"{work}/starts-{turn}"), spark.read.parquet(f"{work}/true-{turn}")
+        outs = [out.join(again, "_block", "left_anti") for out in outs] + [fresh]
+    return reduce(DataFrame.unionByName, [out.select(*columns) for out in outs], loose)
 
 
 def _state_type() -> StructType:
@@ -132,9 +132,8 @@ def _guess_ends(rows: DataFrame, alpha: float, min_iou: float, tail_rows: int) -
 
     def last_state(table: pa.Table) -> pa.Table:
         table = table.sort_by("_id")
-        tracks = table["_track"].to_pylist()
-        box = _walk(tracks, _boxes(table), None, None, alpha, min_iou)[-1]
-        row = {"_block": table["_block"][0].as_py(), "_track": tracks[-1], **dict(zip(BOX, box))}
+        box = _walk(table, None, None, alpha, min_iou)[-1].tolist()
+        row = {"_block": table["_block"][0].as_py(), "_track": table["_track"][-1].as_py(), **dict(zip(BOX, box))}
         return pa.Table.from_pylist([row])
 
     schema = StructType([StructField("_block", LongType()), *_state_type().fields])
@@ -165,10 +164,10 @@ def _run(rows: DataFrame, starts: DataFrame, alpha: float, min_iou: float) -> Da
         if right.num_rows and right["_s_track"][0].as_py() is not None:
             track = right["_s_track"][0].as_py()
             prev = tuple(right[f"_s_{c}"][0].as_py() for c in BOX)
-        boxes = _walk(left["_track"].to_pylist(), _boxes(left), track, prev, alpha, min_iou)
+        boxes = _walk(left, track, prev, alpha, min_iou)
         for i, c in enumerate(BOX):
             at = left.schema.get_field_index(c)
-            left = left.set_column(at, c, pa.array([b[i] for b in boxes], pa.float64()))
+            left = left.set_column(at, c, pa.array(boxes[:, i]))
         return left
 
     flat = starts.select(

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,3 +138,27 @@ def test_live_smoothing_keeps_boxes_without_a_track(spark):
     got = sorted(((r.track_id or 0, r.fr, r.x1, r.x2) for r in spark.read.parquet(f"{out}/rows").collect()))
     assert [g[:2] for g in got] == [(-1, 0), (-1, 1), (0, 0), (0, 1), (7, 0), (7, 1)]
     assert got[1][2] == 11.0 and 10.0 < got[5][2] < 11.0
+
+
+def test_smoothing_all_runs_at_once_is_smoothing_each():
+    """Bit for bit, with many short runs, few long ones and a state brought along."""
+    rng = np.random.default_rng(2)
+    for runs, longest in ((1, 50), (3, 400), (60, 30), (200, 3), (40, 90)):
+        lengths = rng.integers(1, longest + 1, runs)
+        starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        corner = np.cumsum(rng.normal(0, 8, (lengths.sum(), 2)), 0)
+        boxes = np.column_stack((corner, corner + rng.choice([0.0, 30.0, 60.0], (len(corner), 2))))
+        for first in (None, tuple(boxes[0] + 1.5)):
+            expected = []
+            for i, (a, n) in enumerate(zip(starts, lengths)):
+                rows = [tuple(map(float, b)) for b in boxes[a:a + n]]
+                expected += list(ema.smooth(rows, first if i == 0 else None, 0.6, 0.1))
+            assert (ema.smooth_runs(boxes, starts, first, 0.6, 0.1) == np.array(expected)).all()
+
+
+def test_a_box_without_a_corner_stays_missing(spark):
+    values = [(1, 5.0, 5.0, 20.0, 20.0, 100, 100), (2, None, 5.0, 20.0, 20.0, 100, 100), (3, 5.0, 5.0, 20.0, None, 100, 100),
+              (4, 5.0, 5.0, 20.0, 20.0, None, 100), (5, -5.0, 5.0, 200.0, 20.0, 100, 100)]
+    boxes = spark.createDataFrame(values, "det int, x1 double, y1 double, x2 double, y2 double, img_w int, img_h int")
+    found = {r.det: (r.x1, r.y1, r.x2, r.y2) for r in g.clip_bbox(boxes).collect()}
+    assert found == {1: (5.0, 5.0, 20.0, 20.0), 2: (None,) * 4, 3: (None,) * 4, 4: (None,) * 4, 5: (0.0, 5.0, 100.0, 20.0)}

@@ -20,8 +20,9 @@ T of its shingles' inverted lists.
    more than ``HEAP_ENTRIES``); what occurs often enough there is looked up in the long lists by binary
    search. A set that is found is linked and leaves the index, so a dense group of sets costs
    about one search a member, not all pairs.
-5. **Stars.** Groups that span blocks are joined first: for every probed shingle each group sends one
-   set to a block of the first group that holds the shingle. That is linear in the shingles.
+5. **Stars.** Groups that span blocks are joined first: for the probed shingles each group sends one
+   set to a block of the first group that holds them, where it shares enough with it. That is linear
+   in the shingles.
 6. **Routes.** Then a set is sent to another block if the shingles it shares with that block's sets of
    other groups reach the bound of step 2. That is exact. Only sets that share most of their probe but
    are not linked still cost rows as the square of their number, divided by the sets of a block.
@@ -421,10 +422,12 @@ def _contested(probes: DataFrame) -> DataFrame:
 
 
 def _star_routes(probes: DataFrame) -> DataFrame:
-    """``id, root, block``: for every shingle that several groups hold, one set of each for a block of the first."""
+    """``id, root, block``: of each group a set that shares enough with the first groups of its shingles, for
+    a block of theirs."""
     first = probes.groupBy("shingle").agg(F.min(F.struct("root", "block")).alias("first"))
-    met = probes.join(first, "shingle").where(F.col("root") != F.col("first.root"))
-    return met.groupBy("root", F.col("first.block").alias("block")).agg(F.min("id").alias("id")).select("id", "root", "block")
+    met = probes.join(first, "shingle").where(F.col("root") != F.col("first.root")).groupBy(
+        "id", "root", "least", F.col("first.block").alias("block")).agg(F.count(F.lit(1)).alias("shared"))
+    return met.where("shared >= least").groupBy("root", "block").agg(F.min("id").alias("id")).select("id", "root", "block")
 
 
 def _routes(probes: DataFrame) -> DataFrame:

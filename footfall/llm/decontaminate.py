@@ -19,6 +19,7 @@ are never shuffled and their whole texts are read.
 Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` of the lower-cased text. Items with
 fewer than five words are one shingle of their own length; items without words are never
 found. Null texts have no words. Repeated items and documents give a row for each pair.
+Other columns may have any name. An empty table on either side gives no rows.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ Null counts as empty. With ``keep="max"`` the row with the largest id stays, wit
 ``keep="min"`` that with the smallest; a null id ranks below all others. Rows that
 repeat both text and id are still rows: the first of them stays. Columns other than
 the id and the text may have any name and are not compared.
+An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@
 Rows with a null ``lang`` are not learned from. A text that is null or has no letter is
 ``und`` with score 0 and ambiguous, as is any text where nothing was learned. Equal costs
 go to the language that sorts first. Each row is judged by its whole text alone.
+Repeated rows are judged one by one; other columns may have any name. An empty table gives no rows.
 """
 
 from __future__ import annotations

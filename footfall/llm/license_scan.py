@@ -14,6 +14,7 @@ at words with which a template can begin.
 
 Null and empty texts have no words and no labels. Repeated rows are judged one by
 one, ties do not occur, and columns other than the id and the text are not read.
+An empty table gives no rows.
 """
 
 from __future__ import annotations

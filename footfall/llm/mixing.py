@@ -19,6 +19,7 @@ A null text counts zero tokens, a null source is a source of its own and comes l
 Documents of equal source and id are ordered by size and a hash of the text; rows equal in all of that
 are interchangeable. All draws hash the seed, source and slot, so reruns agree. Empty tables give
 empty results.
+Other columns may have any name.
 """
 
 from __future__ import annotations

@@ -28,6 +28,7 @@ comparison of the shingle sets decides.
 Null and empty texts have no shingles and fingerprint zero; they are linked like any
 other. A null id is never the smallest unless all ids of a group are null. Rows may
 repeat, and other columns are not read.
+An empty table gives no rows.
 """
 
 from __future__ import annotations

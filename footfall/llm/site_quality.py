@@ -15,6 +15,7 @@ Here a host is ``source`` and a path of it is ``lang``. Null hosts and paths are
 their own. Null and empty texts have all counts zero. Documents with several label rows count as
 good if all say so; null labels are not learned from. Without both classes the score is
 the smoothed base rate. Repeated rows are judged one by one.
+Other columns may have any name. An empty table gives no rows.
 """
 
 from __future__ import annotations

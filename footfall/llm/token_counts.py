@@ -18,6 +18,7 @@ byte counts where its character begins. A separator belongs to the field before
 
 A null field is an empty one. A document always has at least one section, so null and
 empty texts give one row with zero tokens. Repeated rows are counted one by one.
+Other columns may have any name. An empty table gives no rows.
 """
 
 from __future__ import annotations

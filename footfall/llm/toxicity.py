@@ -23,6 +23,7 @@ Null and empty texts have no finds; their score is that of a text without any. R
 judged one by one, so ties and repeats do not matter. Documents with several label rows
 count as toxic if one says so; null labels are not learned from. Without toxic or without
 clean rows to learn from the lexicon is empty and the score is the smoothed base rate.
+Other columns may have any name. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -13,6 +13,13 @@ All work is DataFrame expressions; pages are never shuffled. Only the baskets of
 bounded sample of labelled urls are. Null urls and urls without ``://`` have an empty
 host and path and no tokens, so they are allowed. Every row is judged by itself.
 Without labels nothing is mined.
+
+Repeated pages are judged alike, very long urls by all their tokens; columns
+other than the id and the url may have any name. An empty table gives no rows.
+
+Three bounds can keep a rule from being mined: a basket takes ``BASKET_TOKENS`` tokens, so a combination of
+tokens that each tell nothing is not found on urls with more frequent tokens than that; the
+5,000 most frequent tokens are mined; and ``max_rules`` rules are kept, the most confident first.
 """
 
 from __future__ import annotations

@@ -3,6 +3,11 @@
 Stages take ``(spark, docs, sf_dir)`` and return a DataFrame that is written and read
 again as the next stage's ``docs``. All but the last return the columns of documents.
 Which rows of equal standing stay is fixed by their ids, so reruns agree.
+
+Null texts count as empty: they are not toxic, equal to each other and to empty ones, similar to
+nothing else, hold no benchmark item and add no word to the mix. A null id ranks behind others; rows
+equal in text and id are thinned to one. Very long texts are taken whole. Columns other than id, text
+and source may have any name. No documents give no rows.
 """
 
 from __future__ import annotations

@@ -59,6 +59,8 @@ class Log:
     """The folder of a topic."""
 
     def __init__(self, path: str):
+        if path.startswith("file:/") and not path.startswith("file://"):
+            path = path[len("file:"):]
         found = pafs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (pafs.LocalFileSystem(), path)
         self.fs, self.root = found
 

@@ -7,6 +7,10 @@
 They are SQL functions, which Spark replaces by their bodies: no Python runs, and the payload is
 parsed once, with the fields that are used. The rules are those of ``functions.cleaning`` and
 ``operators.silver`` (``stream``).
+
+Spark joins the rows of a LATERAL table function back to its argument, the whole payload, and may broadcast
+them: right for a few payloads. The jobs (``detections_sql``, ``silver_sql``) unfold the parsed frame in lateral
+views instead, which need no join.
 """
 
 from __future__ import annotations
@@ -36,18 +40,22 @@ SCALARS = {
           TIMESTAMP_NTZ'1970-01-01')""",
 }
 
+# The detection ``d`` of the frame ``f``, cleaned.
+CLEANED = """try_cast(f.frame_index AS BIGINT) AS frame_index, clean_time(f.capture_ts, {otherwise}) AS capture_ts,
+      clean_int(f.image_size.width, 0) AS img_w, clean_int(f.image_size.height, 0) AS img_h,
+      t.d.det_id AS det_id, clean_class(t.d.class) AS class_name, clean_int(t.d.class_id, -1) AS class_id,
+      clean_conf(t.d.conf) AS conf, clean_pixel(t.d.bbox.x1) AS bbox_x1, clean_pixel(t.d.bbox.y1) AS bbox_y1,
+      greatest(clean_pixel(t.d.bbox.x1), clean_pixel(t.d.bbox.x2)) AS bbox_x2,
+      greatest(clean_pixel(t.d.bbox.y1), clean_pixel(t.d.bbox.y2)) AS bbox_y2,
+      clean_bigint(t.d.track_id, -1) AS track_id"""
+_PARSED = f"from_json({{payload}}, '{_FRAME}', map('allowNonNumericNumbers', 'false'))"
+
 PARSE_DETECTIONS = f"""(payload STRING, otherwise TIMESTAMP DEFAULT current_timestamp())
     RETURNS TABLE (pipeline_run_id STRING, frame_index BIGINT, capture_ts TIMESTAMP_NTZ, img_w INT, img_h INT,
       det_id STRING, class_name STRING, class_id INT, conf DOUBLE,
       bbox_x1 INT, bbox_y1 INT, bbox_x2 INT, bbox_y2 INT, track_id BIGINT)
-    RETURN SELECT f.pipeline_run_id, try_cast(f.frame_index AS BIGINT), clean_time(f.capture_ts, otherwise),
-      clean_int(f.image_size.width, 0), clean_int(f.image_size.height, 0),
-      d.det_id, clean_class(d.class), clean_int(d.class_id, -1), clean_conf(d.conf),
-      clean_pixel(d.bbox.x1), clean_pixel(d.bbox.y1),
-      greatest(clean_pixel(d.bbox.x1), clean_pixel(d.bbox.x2)), greatest(clean_pixel(d.bbox.y1), clean_pixel(d.bbox.y2)),
-      clean_bigint(d.track_id, -1)
-    FROM inline(array(from_json(payload, '{_FRAME}', map('allowNonNumericNumbers', 'false')))) AS f,
-      LATERAL explode(f.detections) AS t(d)"""
+    RETURN SELECT f.pipeline_run_id, {CLEANED.format(otherwise="otherwise")}
+    FROM inline(array({_PARSED.format(payload="payload")})) AS f, LATERAL explode(f.detections) AS t(d)"""
 
 
 def register(spark: SparkSession) -> None:
@@ -68,14 +76,17 @@ WITH ranked AS (
 SELECT * EXCEPT (rn) FROM ranked WHERE rn = 1"""
 
 DETECTIONS = """
-SELECT b.schema_version, coalesce(b.pipeline_run_id, d.pipeline_run_id) AS pipeline_run_id, b.store_id, b.camera_id,
-  d.* EXCEPT (pipeline_run_id)
-FROM {bronze} b, LATERAL parse_detections(b.payload{otherwise}) d"""
+SELECT b.schema_version, coalesce(b.pipeline_run_id, f.run) AS pipeline_run_id, b.store_id, b.camera_id,
+  {cleaned}
+FROM {bronze} b
+  LATERAL VIEW inline(array({parsed})) f AS run, frame_index, capture_ts, image_size, detections
+  LATERAL VIEW explode(f.detections) t AS d"""
 
 
 def detections_sql(bronze: str, otherwise: str | None = None) -> str:
     """The detections of a Bronze table or view, as SQL text; ``otherwise`` is the time of unreadable ones."""
-    return DETECTIONS.format(bronze=bronze, otherwise=f", {otherwise}" if otherwise else "")
+    return DETECTIONS.format(
+        bronze=bronze, parsed=_PARSED.format(payload="b.payload"), cleaned=CLEANED.format(otherwise=otherwise or "current_timestamp()"))
 
 
 def silver_sql(bronze: str, otherwise: str | None = None) -> str:

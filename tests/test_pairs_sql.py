@@ -112,3 +112,24 @@ def test_the_table_function_runs_without_python_and_parses_once(spark):
     bronze.createOrReplaceTempView("plain_bronze")
     plan = spark.sql(sql.silver_sql("plain_bronze"))._jdf.queryExecution().optimizedPlan().toString()
     assert "ython" not in plan and plan.count("frame_index,StringType") == 1
+
+
+def test_sql_jobs_do_not_join_on_payloads(spark):
+    sql.register(spark)
+    bronze = bronze_ingest(spark.createDataFrame([(p,) for p in payloads()], "value string"))
+    bronze.createOrReplaceTempView("joined_bronze")
+    for text in (sql.detections_sql, sql.silver_sql):
+        plan = spark.sql(text("joined_bronze"))._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan
+
+
+def test_table_function_gives_the_rows_of_the_job(spark):
+    sql.register(spark)
+    now = F.lit("2025-06-01T00:00:00Z").cast("timestamp")
+    bronze = bronze_ingest(spark.createDataFrame([(p,) for p in payloads()], "value string"), now)
+    bronze.createOrReplaceTempView("table_bronze")
+    at = "TIMESTAMP'2025-06-01T00:00:00Z'"
+    job = spark.sql(sql.detections_sql("table_bronze", at)).drop("schema_version", "store_id", "camera_id")
+    found = spark.sql(f"SELECT d.* FROM table_bronze b, LATERAL parse_detections(b.payload, {at}) d")
+    assert found.schema.simpleString() == job.schema.simpleString()
+    assert rows(found, found.columns) == rows(job, found.columns)

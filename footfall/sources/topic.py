@@ -52,6 +52,8 @@ NAME = "folder_topic"
 SCHEMA = "partition int, offset bigint, key string, value string"
 PARTITIONS = 4
 SEGMENT_ROWS = 100_000
+GROUP_BYTES = 4 << 20  # texts that a task holds for a partition before they go to its open segment
+READ_ROWS = 1024       # rows of a segment that a task holds at a time
 _FILES = pa.schema([("key", pa.string()), ("value", pa.string())])
 
 
@@ -167,8 +169,15 @@ def _stretches(log: Log, start: dict[int, int], end: dict[int, int]) -> list[Str
 def _rows(log: Log, stretch: Stretch) -> Iterator[pa.RecordBatch]:
     """The stretch's rows, a batch at a time."""
     with log.fs.open_input_file(stretch.file) as source:
-        offset = stretch.base
-        for batch in pq.ParquetFile(source).iter_batches(columns=["key", "value"]):
+        file, offset = pq.ParquetFile(source), stretch.base
+        groups = []  # the row groups that hold the stretch
+        for i in range(file.num_row_groups):
+            following = offset + file.metadata.row_group(i).num_rows
+            if offset < stretch.following and stretch.first < following:
+                groups.append((i, offset))
+            offset = following
+        offset = groups[0][1]
+        for batch in file.iter_batches(READ_ROWS, [i for i, _ in groups], ["key", "value"]):
             a, b = max(stretch.first - offset, 0), min(stretch.following - offset, batch.num_rows)
             if a < b:
                 piece = batch.slice(a, b - a)
@@ -234,6 +243,38 @@ class _StreamReader(DataSourceStreamReader):
             Log(self.path).commit(self.subscription, {int(p): n for p, n in end.items()})
 
 
+class _Segment:
+    """A segment that a task writes aside, in row groups of ``GROUP_BYTES``."""
+
+    def __init__(self, log: Log):
+        self.file = log.at("_aside", f"{uuid.uuid4().hex}.parquet")
+        log.fs.create_dir(log.at("_aside"), recursive=True)
+        self.sink = log.fs.open_output_stream(self.file)
+        self.out = pq.ParquetWriter(self.sink, _FILES)
+        self.rows = self.size = 0
+        self.keys: list[str | None] = []
+        self.values: list[str | None] = []
+
+    def add(self, key: str | None, value: str | None) -> None:
+        self.keys.append(key)
+        self.values.append(value)
+        self.rows += 1
+        self.size += len(key or "") + len(value or "") + 100  # of Python's own for a row
+        if self.size >= GROUP_BYTES:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self.values:
+            self.out.write_table(pa.table([pa.array(self.keys, pa.string()), pa.array(self.values, pa.string())], schema=_FILES))
+            self.keys, self.values, self.size = [], [], 0
+
+    def close(self) -> str:
+        self._flush()
+        self.out.close()
+        self.sink.close()
+        return self.file
+
+
 @dataclass
 class Written(WriterCommitMessage):
     """Segments that a task has written aside: (partition, file, rows)."""
@@ -251,15 +292,14 @@ class _Writer(DataSourceArrowWriter):
         self.partitions = Log(self.path).partitions()
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        log, held, done, turn = Log(self.path), {}, [], 0
+        """Rows go to the open segment of their partition a few megabytes at a time."""
+        log, turn = Log(self.path), 0
+        held: dict[int, _Segment] = {}
+        done = []
 
-        def flush(p: int) -> None:
-            keys, values = held.pop(p)
-            aside = log.at("_aside", f"{uuid.uuid4().hex}.parquet")
-            log.fs.create_dir(log.at("_aside"), recursive=True)
-            with log.fs.open_output_stream(aside) as sink:
-                pq.write_table(pa.table([pa.array(keys, pa.string()), pa.array(values, pa.string())], schema=_FILES), sink)
-            done.append((p, aside, len(values)))
+        def close(p: int) -> None:
+            segment = held.pop(p)
+            done.append((p, segment.close(), segment.rows))
 
         for batch in iterator:
             values = batch.column(self.names.index("value")).to_pylist()
@@ -268,13 +308,13 @@ class _Writer(DataSourceArrowWriter):
                 turn += 1
                 at = turn if key is None else zlib.crc32(key.encode())
                 p = self.partitions[at % len(self.partitions)]
-                own = held.setdefault(p, ([], []))
-                own[0].append(key)
-                own[1].append(value)
-                if len(own[1]) >= SEGMENT_ROWS:
-                    flush(p)
+                if p not in held:
+                    held[p] = _Segment(log)
+                held[p].add(key, value)
+                if held[p].rows >= SEGMENT_ROWS:
+                    close(p)
         for p in list(held):
-            flush(p)
+            close(p)
         return Written(done)
 
     def commit(self, messages: list[Written | None]) -> None:

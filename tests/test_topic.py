@@ -1,8 +1,11 @@
 """The message log: order, offsets, restarts, subscriptions, expiry."""
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from footfall.session import shared_dir
 from footfall.sources import topic as T
@@ -103,3 +106,20 @@ def test_one_writer_at_a_time_and_bad_options(spark):
         spark.range(1).write.format(T.NAME).mode("append").save(log)
     with pytest.raises(ValueError, match="subscription"):
         T._StreamReader({"path": log, "maxoffsetspertrigger": "5"})
+
+
+def test_a_segment_is_written_and_read_a_few_rows_at_a_time(tmp_path, monkeypatch):
+    monkeypatch.setattr(T, "GROUP_BYTES", 1500)
+    monkeypatch.setattr(T, "READ_ROWS", 4)
+    schema = StructType().add("value", "string")
+    writer = T._Writer({"path": str(tmp_path), "partitions": "1"}, schema)
+    texts = [None if i == 50 else f"{i}" for i in range(100)]
+    writer.commit([writer.write(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["value"])]))])
+    log = T.Log(str(tmp_path))
+    assert log.segments(0) == [(0, 100)]
+    assert pq.ParquetFile(log.file(0, 0, 100)).num_row_groups > 5
+    for first, following in ((0, 100), (13, 14), (37, 81), (99, 100)):
+        batches = list(T._rows(log, T.Stretch(0, log.file(0, 0, 100), 0, first, following)))
+        assert max(b.num_rows for b in batches) <= 4
+        assert [v for b in batches for v in b.column(3).to_pylist()] == texts[first:following]
+        assert [o for b in batches for o in b.column(1).to_pylist()] == list(range(first, following))

@@ -1,4 +1,4 @@
-"""Smoothing of live boxes with one small state per track.
+"""Smoothing of live boxes with one small state per track, those of neighbouring tracks in one value (``blocks``).
 
 ``smooth_stream`` answers at once: a row that arrives in a later batch is blended with the
 newest state, wherever it belongs. ``smooth_in_order`` waits for the watermark: rows are held
@@ -11,20 +11,24 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from footfall.functions.ema import ALPHA, MIN_IOU, smooth
 from footfall.operators.geometry import BOX, clip_bbox
-from footfall.session import SETTINGS, carry_to_workers
+from footfall.session import carry_to_workers
+from footfall.streaming.blocks import in_blocks
 
 carry_to_workers(__name__, "footfall.functions.ema")
 
 _STATE = StructType([StructField(c, DoubleType()) for c in BOX])
 
 
+TRACKS = 16  # track numbers whose states are kept together (``blocks``)
+
+
 def _place(row: dict, order: list[str]) -> list[tuple]:
     """Sort key of a row; a missing value comes first."""
     return [(row[c] is not None, row[c] if row[c] is not None else 0) for c in order]
@@ -37,8 +41,8 @@ class SmoothTrack(StatefulProcessor):
     is blended with the newest state even if it belongs earlier.
     """
 
-    def __init__(self, order: list[str], alpha: float, min_iou: float):
-        self.order, self.alpha, self.min_iou = order, alpha, min_iou
+    def __init__(self, columns: list[str], order: list[str], alpha: float, min_iou: float):
+        self.columns, self.order, self.alpha, self.min_iou = columns, order, alpha, min_iou
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", _STATE)
@@ -49,7 +53,7 @@ class SmoothTrack(StatefulProcessor):
         boxes = (tuple(r[c] for c in BOX) for r in batch)
         for row, box in zip(batch, smooth(boxes, state and tuple(state), self.alpha, self.min_iou)):
             row.update(zip(BOX, box))
-            yield Row(**row)
+            yield Row(**{c: row[c] for c in self.columns})
         self.last.update(box)
 
     def close(self) -> None:
@@ -85,9 +89,10 @@ class SmoothInOrder(StatefulProcessor):
             self.handle.registerTimer(at)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        new = [tuple(r[c] for c in self.schema.fieldNames()) for r in rows]
+        names = self.schema.fieldNames()
+        new = [tuple(map(r.asDict().__getitem__, names)) for r in rows]
         self.held.appendList(new)
-        time = self.schema.fieldNames().index(self.time)
+        time = names.index(self.time)
         self._wake(min(int(r[time].timestamp() * 1000) for r in new))
         return iter(())
 
@@ -130,9 +135,6 @@ def smooth_in_order(
     """Streaming boxes smoothed along (``time``, ``order``), rows up to ``late`` behind the newest one taken
     at their place. Rows without a track or a time are clipped alone; rows without a box keep none. The last
     rows of a track come out once later rows of any track (or frames without boxes) have moved the watermark."""
-    spark: SparkSession = boxes.sparkSession
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    spark.conf.set(provider, SETTINGS[provider])
     columns = boxes.columns
     clipped = clip_bbox(boxes)
     follows = F.coalesce(F.col(track_key[-1]) >= 0, F.lit(False)) & F.col(time).isNotNull()
@@ -143,8 +145,8 @@ def smooth_in_order(
     # One condition that names the event time stays above the watermark, which so sees all rows.
     tracked = marked.where(F.when(F.col(event).isNotNull(), follows).otherwise(F.lit(False)))
     processor = SmoothInOrder(columns, tracked.schema, event, order, alpha, min_iou, idle_ms)
-    smoothed = tracked.groupBy(*track_key).transformWithState(
-        processor, clipped.schema, outputMode="append", timeMode="eventTime")
+    part = F.floor(F.col(track_key[-1]) / TRACKS)
+    smoothed = in_blocks(tracked, track_key[:-1], part, track_key, processor, clipped.schema, timeMode="eventTime")
     return smoothed.unionByName(clipped.where(~follows))
 
 
@@ -154,17 +156,14 @@ def smooth_stream(
 ) -> DataFrame:
     """Streaming boxes clipped and smoothed; rows without a track are clipped alone, rows without a
     box keep none."""
-    spark: SparkSession = boxes.sparkSession
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    spark.conf.set(provider, SETTINGS[provider])
     clipped = clip_bbox(boxes)
     has_track = F.coalesce(F.col(track_key[-1]) >= 0, F.lit(False))
     for c in BOX:
         has_track = has_track & F.col(c).isNotNull()
     tracked = clipped.where(has_track)
-    processor = SmoothTrack(order, alpha, min_iou)
-    smoothed = tracked.groupBy(*track_key).transformWithState(
-        processor, tracked.schema, outputMode="append", timeMode="none")
+    processor = SmoothTrack(tracked.columns, order, alpha, min_iou)
+    part = F.floor(F.col(track_key[-1]) / TRACKS)
+    smoothed = in_blocks(tracked, track_key[:-1], part, track_key, processor, tracked.schema, timeMode="none")
     return smoothed.unionByName(clipped.where(~has_track))
 
 

@@ -24,6 +24,9 @@ change any more is forgotten: detections, minutes and hours as a whole; a visit
 last time alone. Copies of one detection whose capture times lie further apart than ``late`` then
 count apart. Without ``late`` nothing is ever dropped or forgotten.
 
+Keys are many and small, so the state store holds them in blocks (``blocks``): frames, minutes, an hour's
+visits, or tracks of one camera that lie together are one value, read and written once in a micro-batch.
+
 Losers among copies of one detection are dropped before the shuffle, batch by batch, so many copies
 of one detection do not travel to one task.
 """
@@ -43,7 +46,8 @@ from footfall.functions.cleaning import seconds_between, trunc_to
 from footfall.operators import gold as g
 from footfall.operators import silver as s
 from footfall.schemas import columns_of, struct_of, table_schema
-from footfall.session import SETTINGS, carry_to_workers
+from footfall.session import carry_to_workers
+from footfall.streaming.blocks import in_blocks
 
 carry_to_workers(__name__)
 
@@ -63,6 +67,12 @@ SUMS = """store_id string, camera_id string, zone_x int, zone_y int, visits bigi
     total_dwell_seconds double, avg_dwell_seconds double, version bigint"""
 EVENT = "seen"  # event time of the rows between operators
 
+# Keys of a camera that are kept in one value of the state store (``blocks``).
+FRAMES = 10   # detections of 2^10 frames
+MINUTES = 10  # counts of ten minutes
+SPREAD = 8    # an eighth of the visits of an hour
+TRACKS = 10   # stays of 2^10 track numbers in one zone
+
 
 def _order(row: Row | dict, rank: list[str]) -> tuple:
     """Larger is better; a missing value is worse than any other."""
@@ -118,7 +128,7 @@ class BestDetection(_Forgetting):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         rows = list(rows)
         names = self.schema.fieldNames()
-        new = max(rows, key=lambda r: _order(r, self.rank))
+        new = (rows[0] if len(rows) == 1 else max(rows, key=lambda r: _order(r, self.rank))).asDict()
         old = self.best.get()
         self.keep_until(_millis(rows))
         if old is not None:
@@ -314,13 +324,11 @@ def _local_best(key: list[str], rank: list[str]):
     return run
 
 
-def _stateful(rows: DataFrame, key: list[str], processor: StatefulProcessor, schema: StructType | str, late: int | None) -> DataFrame:
-    spark, schema = rows.sparkSession, struct_of(schema) if isinstance(schema, str) else schema
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    spark.conf.set(provider, SETTINGS[provider])
+def _stateful(rows: DataFrame, block: list[str], part: Column, key: list[str], processor: StatefulProcessor,
+              schema: StructType | str, late: int | None) -> DataFrame:
+    schema = struct_of(schema) if isinstance(schema, str) else schema
     time = {} if late is None else {"eventTimeColumnName": EVENT} if EVENT in schema.fieldNames() else {}
-    return rows.groupBy(*key).transformWithState(
-        processor, schema, outputMode="append", timeMode="none" if late is None else "eventTime", **time)
+    return in_blocks(rows, block, part, key, processor, schema, timeMode="none" if late is None else "eventTime", **time)
 
 
 def _late_ms(late: str | None) -> int | None:
@@ -341,7 +349,8 @@ def detection_changes(bronze: DataFrame, now: Column | None = None, late: str |
         rows = rows.withWatermark(EVENT, late)
     schema = StructType(rows.schema.fields)
     out = StructType([*schema.fields, *struct_of(f"{CHANGE} int").fields])
-    return _stateful(rows, s.DEDUP_KEY, BestDetection(schema, rank, _late_ms(late)), out, _late_ms(late))
+    frames = F.shiftright("frame_index", FRAMES)
+    return _stateful(rows, g.CAMERA, frames, s.DEDUP_KEY, BestDetection(schema, rank, _late_ms(late)), out, _late_ms(late))
 
 
 def _rank(columns: list[str]) -> list[str]:
@@ -351,8 +360,9 @@ def _rank(columns: list[str]) -> list[str]:
 
 def people_changes(changes: DataFrame, late: str | None = None) -> DataFrame:
     """``gold_people_per_minute`` with versions, from changes of detections."""
-    rows = changes.withColumn("ts_minute", trunc_to("minute", "capture_ts"))
-    return _stateful(rows, GROUP, CountDistinct(_late_ms(late)), CHANGES, _late_ms(late))
+    rows = changes.withColumn("ts_minute", trunc_to("minute", "capture_ts")).select(*GROUP, "track_id", CHANGE, EVENT)
+    minutes = F.floor(F.unix_seconds(F.to_timestamp_ltz(F.col("ts_minute"))) / (60 * MINUTES))
+    return _stateful(rows, g.CAMERA, minutes, GROUP, CountDistinct(_late_ms(late)), CHANGES, _late_ms(late))
 
 
 def dwell_changes(changes: DataFrame, late: str | None = None) -> DataFrame:
@@ -362,9 +372,10 @@ def dwell_changes(changes: DataFrame, late: str | None = None) -> DataFrame:
         "ts_hour": trunc_to("hour", "capture_ts"),
         "at": F.unix_micros(F.to_timestamp_ltz(F.col("capture_ts")))})
     rows = rows.select(*PART, "at", CHANGE, EVENT)
-    parts = _stateful(rows, PART, PartOfVisit(ms), PARTS, ms)
-    stays = _stateful(parts, VISIT, Visit(ms), STAYS, ms)
-    return _stateful(stays, g.ZONE, ZoneSum(), SUMS, ms)
+    spread = F.pmod(F.xxhash64("zone_x", "zone_y", "track_id"), F.lit(SPREAD))
+    parts = _stateful(rows, [*g.CAMERA, "ts_hour"], spread, PART, PartOfVisit(ms), PARTS, ms)
+    stays = _stateful(parts, g.ZONE, F.shiftright("track_id", TRACKS), VISIT, Visit(ms), STAYS, ms)
+    return _stateful(stays, g.ZONE, F.lit(0), g.ZONE, ZoneSum(), SUMS, ms)
 
 
 def start_changes(changes: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

@@ -46,20 +46,25 @@ def _places(kind: StructType, path: str = "$", above: int = 0, found: list[Place
     return found
 
 
-def _seen(value: Column, places: list[Place]) -> Column:
-    """``types`` at the places, and ``names`` in the objects there."""
+def _names(value: Column, places: list[Place]) -> Column:
+    """The names in the objects at the places, null where there is none."""
+    return F.array(*[F.map_keys(F.try_variant_get(value, p.path, OBJECT)) for p in places if isinstance(p.kind, StructType)])
+
+
+def _seen(value: Column, names: Column, places: list[Place], lists: dict[str, Column]) -> Column:
+    """``types`` at the places, and ``names`` in the objects there; ``lists`` are those already taken, by path."""
+    objects = [p.path for p in places if isinstance(p.kind, StructType)]
+
     def type_at(place: Place) -> Column:
         found = F.schema_of_variant(F.try_variant_get(value, place.path, "variant"))
-        as_kind = {StructType: OBJECT, ArrayType: LIST}.get(type(place.kind))
-        if as_kind is None:
-            return found
-        name = "OBJECT" if as_kind == OBJECT else "ARRAY"
-        return F.when(F.try_variant_get(value, place.path, as_kind).isNotNull(), F.lit(name)).otherwise(found)
+        if isinstance(place.kind, StructType):
+            return F.when(names[objects.index(place.path)].isNotNull(), F.lit("OBJECT")).otherwise(found)
+        if isinstance(place.kind, ArrayType):
+            held = lists.get(place.path, F.try_variant_get(value, place.path, LIST))
+            return F.when(held.isNotNull(), F.lit("ARRAY")).otherwise(found)
+        return found
 
-    objects = [p for p in places if isinstance(p.kind, StructType)]
-    return F.struct(
-        F.array(*map(type_at, places)).alias("types"),
-        F.array(*[F.map_keys(F.try_variant_get(value, p.path, OBJECT)) for p in objects]).alias("names"))
+    return F.struct(F.array(*map(type_at, places)).alias("types"), names.alias("names"))
 
 
 def _fits(found: Column, kind: DataType) -> Column:
@@ -97,6 +102,22 @@ def _faults(seen: Column, places: list[Place], prefix: str, optional: frozenset[
     return F.concat(*parts)
 
 
+def _clean(seen: Column, places: list[Place], prefix: str, optional: frozenset[str]) -> Column:
+    """Whether an object is as declared, told without building faults. Its names are unique, so that it has
+    no further ones if there are as many as declared fields were found."""
+    types = seen["types"]
+    ok = types[0] == "OBJECT"
+    for i, p in enumerate(places[1:], 1):
+        fits = _fits(types[i], p.kind)
+        may_lack = prefix + p.path[2:] in optional
+        ok = ok & (F.coalesce(fits | (types[i] == "VOID"), F.lit(True)) if may_lack else fits)
+    objects = [i for i, p in enumerate(places) if isinstance(p.kind, StructType)]
+    for at, above in enumerate(objects):
+        found = [types[i].isNotNull().cast("int") for i, p in enumerate(places) if p.above == above]
+        ok = ok & (F.size(seen["names"][at]) == sum(found, F.lit(0)))
+    return F.coalesce(ok, F.lit(False))
+
+
 def _each(names: Column, below: str, fault) -> Column:
     return F.transform(names, lambda n: fault(F.concat(F.lit(below), n), "unknown"))
 
@@ -109,13 +130,15 @@ def _of_items(items: Column, kind: DataType, places: list[Place] | None, name: s
     none = F.array().cast(f"array<{FAULT}>")
     if places is None:
         return F.flatten(F.transform(items, lambda t: F.when(F.coalesce(_fits(t, kind), F.lit(False)), none).otherwise(F.array(wrong()))))
-    return F.flatten(F.transform(items, lambda s: F.when(
+    return F.flatten(F.transform(items, lambda s: F.when(_clean(s, places, f"{name}[].", optional), none).when(
         s["types"][0] == "OBJECT", _faults(s, places, f"{name}[].", optional)).otherwise(F.array(wrong()))))
 
 
-def _list_seen(value: Column, path: str, places: list[Place] | None) -> Column:
-    look = F.schema_of_variant if places is None else lambda item: _seen(item, places)
-    return F.transform(F.try_variant_get(value, path, LIST), lambda item: look(item))
+def _list_seen(items: Column, places: list[Place] | None) -> Column:
+    if places is None:
+        return F.transform(items, F.schema_of_variant)
+    named = F.transform(items, lambda item: F.struct(item.alias("item"), _names(item, places).alias("names")))
+    return F.transform(named, lambda x: _seen(x["item"], x["names"], places, {}))
 
 
 def with_faults(records: DataFrame, payload: str = "payload", schema: str = FRAME_RECORD,
@@ -130,9 +153,13 @@ def with_faults(records: DataFrame, payload: str = "payload", schema: str = FRAM
     value = F.col("_value")
     # Each step leaves through a generator, so that the next does not repeat its expressions.
     parsed = records.select("*", F.inline(F.array(F.struct(F.try_parse_json(payload).alias("_value")))))
-    seen = F.struct(_seen(value, places).alias("top"), *[
-        _list_seen(value, p.path, own).alias(f"list{i}") for i, ((p, _), own) in enumerate(zip(lists, inside))])
-    looked = parsed.select(*records.columns, F.inline(F.array(F.struct(seen.alias("_seen")))))
+    opened = parsed.select(*records.columns, "_value", F.inline(F.array(F.struct(
+        _names(value, places).alias("_names"),
+        *[F.try_variant_get(value, p.path, LIST).alias(f"_items{i}") for i, (p, _) in enumerate(lists)]))))
+    held = {p.path: F.col(f"_items{i}") for i, (p, _) in enumerate(lists)}
+    seen = F.struct(_seen(value, F.col("_names"), places, held).alias("top"), *[
+        _list_seen(held[p.path], own).alias(f"list{i}") for i, ((p, _), own) in enumerate(zip(lists, inside))])
+    looked = opened.select(*records.columns, F.inline(F.array(F.struct(seen.alias("_seen")))))
     none = F.array().cast(f"array<{FAULT}>")
     top = F.col("_seen.top")
     parts = [_faults(top, places, "", optional)] + [

@@ -142,3 +142,16 @@ def test_tables_cut_alike_need_no_shuffle(spark):
     assert diff.count() > 0 and rows(diff, diff.columns) == rows(expected, diff.columns)
     for name in names.values():
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_clean_objects_are_told_without_building_faults(spark):
+    places = C._places(struct_of("a int, b struct<x:double>, o string"))
+    texts = {'{"a":1,"b":{"x":0.5}}': True, '{"a":1,"b":{"x":2},"o":"t"}': True, '{"a":1,"b":{"x":2},"o":null}': True,
+             '{"a":1,"b":{"x":2},"o":3}': False, '{"a":1,"b":{"x":2},"z":null}': False, '{"a":1,"b":{"x":2,"y":1}}': False,
+             '{"a":null,"b":{"x":2}}': False, '{"b":{"x":2}}': False, '{"a":1,"b":[]}': False, '{"a":"1","b":{"x":2}}': False,
+             '[1]': False, '7': False, '{}': False}
+    value = F.parse_json("t")
+    seen = C._seen(value, C._names(value, places), places, {})
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", seen.alias("seen"))
+    found = rows.select("t", C._clean(F.col("seen"), places, "i[].", frozenset({"i[].o"})).alias("clean")).collect()
+    assert {r.t: r.clean for r in found} == texts

@@ -58,7 +58,7 @@ class Live:
         self.done: set[str] = set()
         records = fx.f1_records(spark, sf_dir, split=True)
         for wave in (0, 1):
-            frames.write_jsonl(records.where(F.col("part") == wave), self.landing)
+            frames.write_jsonl(records.where(F.col("part") == wave), self.landing, compression="gzip")
             self.pipeline.start_bronze(frames.stream_jsonl(spark, self.landing)).awaitTermination()
             self.pipeline.start_silver().awaitTermination()
 
@@ -118,7 +118,7 @@ def stream_gold_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, records = shared_dir(spark, "switch-landing"), fx.f1_records(spark, sf_dir, split=True)
     job = Pipeline(spark, shared_dir(spark, "switch"), now=fx.now())
     for wave in (0, 1):
-        frames.write_jsonl(records.where(F.col("part") == wave), landing)
+        frames.write_jsonl(records.where(F.col("part") == wave), landing, compression="gzip")
         job.start_bronze(frames.stream_jsonl(spark, landing)).awaitTermination()
         job.start_silver().awaitTermination()
         for name in VIEWS if wave == 0 else ():
@@ -169,7 +169,7 @@ def _stateful(spark: SparkSession, sf_dir: str, further) -> DataFrame:
     landing, out = shared_dir(spark, "state-landing"), shared_dir(spark, "state")
     records = fx.f1_records(spark, sf_dir, split=True)
     for wave in (0, 1):
-        frames.write_jsonl(records.where(F.col("part") == wave), landing)
+        frames.write_jsonl(records.where(F.col("part") == wave), landing, compression="gzip")
         lines = bronze_ingest(frames.stream_jsonl(spark, landing), fx.now())
         changes = further(stateful.detection_changes(lines, fx.now()))
         stateful.start_changes(changes, f"{out}/rows", f"{out}/checkpoint").awaitTermination()

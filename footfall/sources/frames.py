@@ -91,9 +91,15 @@ def iso_utc(ts: Column) -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+00:00"))
 
 
-def write_jsonl(records: DataFrame, path: str, mode: str = "append") -> None:
-    """Append one record per line, UTF-8."""
-    records.select("value").write.mode(mode).text(path)
+FILE_RECORDS = 50_000  # records of a compressed file, which one task reads as a whole
+
+
+def write_jsonl(records: DataFrame, path: str, mode: str = "append", compression: str | None = None) -> None:
+    """Append one record per line, UTF-8; ``compression`` (such as gzip) writes files of ``FILE_RECORDS``."""
+    writer = records.select("value").write.mode(mode)
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", FILE_RECORDS)
+    writer.text(path)
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:

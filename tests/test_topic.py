@@ -1,5 +1,7 @@
 """The message log: order, offsets, restarts, subscriptions, expiry."""
 
+import os
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from footfall.session import shared_dir
+from footfall.sources import frames
 from footfall.sources import topic as T
 
 
@@ -123,3 +126,11 @@ def test_a_segment_is_written_and_read_a_few_rows_at_a_time(tmp_path, monkeypatc
         assert max(b.num_rows for b in batches) <= 4
         assert [v for b in batches for v in b.column(3).to_pylist()] == texts[first:following]
         assert [o for b in batches for o in b.column(1).to_pylist()] == list(range(first, following))
+
+
+def test_compressed_lines_are_read_back(spark, monkeypatch):
+    monkeypatch.setattr(frames, "FILE_RECORDS", 40)
+    path = shared_dir(spark, "t-lines")
+    frames.write_jsonl(numbers(spark, 0, 100).coalesce(1), path, compression="gzip")
+    assert sorted(int(r.value) for r in frames.read_jsonl(spark, path).collect()) == list(range(100))
+    assert sum(n.endswith(".txt.gz") for n in os.listdir(path)) == 3

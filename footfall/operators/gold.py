@@ -44,9 +44,16 @@ def area_ratio() -> Column:
     return w * h / F.nullif(picture, F.lit(0.0))
 
 
+def with_time(rows: DataFrame, unit: str) -> DataFrame:
+    """Adds the start of the ``unit`` (``ts_minute``, ``ts_hour``), unless it is there: rows that
+    lie together by it then stay where they are."""
+    name = f"ts_{unit}"
+    return rows if name in rows.columns else rows.withColumn(name, trunc_to(unit, "capture_ts"))
+
+
 def gold_minute_by_cam(silver: DataFrame) -> DataFrame:
     return (
-        silver.withColumn("ts_minute", trunc_to("minute", "capture_ts"))
+        with_time(silver, "minute")
         .withColumn("ratio", area_ratio())
         .groupBy(*CAMERA, "ts_minute")
         .agg(
@@ -60,7 +67,7 @@ def gold_minute_by_cam(silver: DataFrame) -> DataFrame:
 
 def gold_hour_by_cam(silver: DataFrame) -> DataFrame:
     return (
-        silver.withColumn("ts_hour", trunc_to("hour", "capture_ts"))
+        with_time(silver, "hour")
         .groupBy(*CAMERA, "ts_hour")
         .agg(
             F.count(F.lit(1)).alias("detection_count"),
@@ -72,7 +79,7 @@ def gold_hour_by_cam(silver: DataFrame) -> DataFrame:
 
 def gold_people_per_minute(silver: DataFrame) -> DataFrame:
     return (
-        silver.withColumn("ts_minute", trunc_to("minute", "capture_ts"))
+        with_time(silver, "minute")
         .groupBy(*CAMERA, "ts_minute")
         .agg(
             F.count(F.lit(1)).alias("detections"),

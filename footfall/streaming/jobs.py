@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from footfall.functions.cleaning import seconds_between, trunc_to
+from footfall.functions.cleaning import seconds_between
 from footfall.operators import gold as g
 from footfall.operators import silver as s
 from footfall.operators.bronze import bronze_ingest
@@ -44,6 +44,7 @@ GOLD_TRIGGER = "30 seconds"
 
 FRAMES_PER_BLOCK = 1 << 17  # about an hour at 30 frames per second
 PRUNE_LIST = 512            # longest list of folder values put into a filter
+FEW_TASKS = 4               # tasks per core that hand small groups on; each writes a file per task it hands to
 COMMIT_WAIT = 120.0         # seconds to wait for the source query's commit mark before failing
 
 ALL = "gold_all"            # name of the query that feeds every table
@@ -62,22 +63,25 @@ _ZONE_DDL = "zone_x int, zone_y int"
 VISIT_KEY = [*g.ZONE, "track_id"]
 TRACK_KEY = [*g.CAMERA, "track_id"]
 STAGE_KEY = [*VISIT_KEY, "ts_minute"]
+# What the views on Silver are made of, beside camera and minute.
+USED = ["capture_ts", "track_id", "conf", "bbox_x1", "bbox_y1", "bbox_x2", "bbox_y2", "img_w", "img_h"]
 SCHEMAS = {
     STAGE: f"{_CAMERA_DDL}, {_ZONE_DDL}, track_id bigint, ts_minute timestamp_ntz, {_MEASURE_DDL}, {_BEFORE_DDL}",
     VISITS: f"{_CAMERA_DDL}, {_ZONE_DDL}, track_id bigint, {_MEASURE_DDL}, {_BEFORE_DDL}",
     TRACKS: f"{_CAMERA_DDL}, track_id bigint, {_MEASURE_DDL}, {_BEFORE_DDL}",
 }
+PLACE = [*g.CAMERA, "ts_minute"]  # by which resolved Silver rows are spread over tasks
 SILVER_IDENTITY = [*s.DEDUP_KEY, "capture_ts", "track_id", "bbox_x1", "bbox_y1", "bbox_x2", "bbox_y2"]
 
 
 # ---- group definitions -----------------------------------------------------
 
 def _minute(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("ts_minute", trunc_to("minute", "capture_ts"))
+    return g.with_time(rows, "minute")
 
 
 def _hour(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("ts_hour", trunc_to("hour", "capture_ts"))
+    return g.with_time(rows, "hour")
 
 
 def _stage_groups(rows: DataFrame) -> DataFrame:
@@ -220,6 +224,7 @@ class Pipeline:
         self.tables[name].create(self.spark)
 
         def each(changes: DataFrame, n: int) -> None:
+            _keep_places(changes.sparkSession)
             at = self.tables[name].version(self.spark, self._writer(name), n)
             if view.how == "recompute":
                 self.refresh(name, changes, at)
@@ -231,6 +236,7 @@ class Pipeline:
     def start_all(self, every: str | None = None, files_per_trigger: int | None = None) -> StreamingQuery:
         """All derived tables in one query: one read of the changes feeds every table.
 
+        The Silver rows of the touched hours are looked up once, for all tables made of them.
         A table applies what the table before it has stored, this batch included.
         """
         for table in self.tables.values():
@@ -239,15 +245,26 @@ class Pipeline:
         def each(changes: DataFrame, n: int) -> None:
             writer = self._writer(ALL)
             at = {name: self.tables[name].version(self.spark, writer, n) for name in VIEWS}
-            changes.persist()
+            _keep_places(changes.sparkSession)
+            stage = _touched(STAGE, changes).persist()
+            spans = stage.withColumn("capture_ts", F.col("ts_minute"))  # these groups determine all others
+            hours = _hour(spans.coalesce(self._few_tasks())).select(*g.CAMERA, "ts_hour").distinct().persist()
+            held = [stage, hours]
             try:
+                silver = self._touched_silver(hours, "ts_hour")
+                if silver is not None:
+                    silver = silver.select(*PLACE, *USED).persist()
+                    held.append(silver)
                 for name, view in VIEWS.items():
-                    if view.how == "recompute":
-                        self.refresh(name, changes, at[name])
-                    else:
+                    if view.how != "recompute":
                         self._advance(name, at[name], at[view.source])
+                    elif silver is not None:
+                        made = {STAGE: stage, "gold_hour_by_cam": hours}
+                        touched = made[name] if name in made else view.groups(spans).select(*view.key).distinct()
+                        self._recompute(name, touched, silver, at[name])
             finally:
-                changes.unpersist()
+                for rows in held:
+                    rows.unpersist()
 
         return self._start(self.tables["silver"].changes(self.spark, files_per_trigger), ALL, each, every)
 
@@ -308,38 +325,60 @@ class Pipeline:
             new.unpersist()
 
     def refresh(self, name: str, changes: DataFrame, n: int) -> None:
-        """Recomputes the groups of a view on Silver that ``changes`` touch.
-
-        The key of the Silver log holds every column the views group by, so the
-        log is cut down to the touched groups before versions are resolved.
-        """
-        view, table, key = VIEWS[name], self.tables[name], list(VIEWS[name].key)
-        touched = view.groups(changes).select(*key).distinct().persist()
+        """Recomputes the groups of a view on Silver that ``changes`` touch."""
+        bucket = _bucket(name)
+        touched = _touched(name, changes).persist()
         try:
-            bucket = next(c for c in key if c.startswith("ts_"))
-            step = F.expr("INTERVAL 1 HOUR" if bucket == "ts_hour" else "INTERVAL 1 MINUTE")
-            spans = touched.select(
-                "store_id", F.col(bucket).cast("date").alias("capture_date"), F.col(bucket).alias("capture_ts"))
-            source_where = _near(spans, ["store_id", "capture_date"], ["capture_ts"], {"capture_ts": step})
-            if source_where is None:
-                return
-            rows = self.tables[view.source].current(
-                self.spark,
-                only=lambda log: view.groups(log.where(source_where)).join(touched, key, "left_semi"))
-            fresh = touched.join(view.make(rows), key, "left")
-            measure = next(c for c in fresh.columns if c not in key)
-            out = fresh.withColumn(DELETED, F.col(measure).isNull())
-            if name == STAGE:
-                out = self._with_before(out, name, n, touched, _near(touched, ["store_id"], [bucket]))
-            table.write(n, out)
+            cameras = [*g.CAMERA, bucket]
+            near = touched.select(*cameras).distinct() if name == STAGE else touched
+            silver = self._touched_silver(near, bucket)
+            if silver is not None:
+                self._recompute(name, touched, silver, n)
         finally:
             touched.unpersist()
 
+    def _touched_silver(self, touched: DataFrame, bucket: str) -> DataFrame | None:
+        """The live Silver rows of the touched hours or minutes of a camera, a camera's minute in one task;
+        None if nothing is touched.
+
+        The key of the Silver log holds the columns these are made of, so the log is cut down to them
+        before versions are resolved.
+        """
+        unit = bucket[len("ts_"):]
+        spans = touched.select(
+            "store_id", F.col(bucket).cast("date").alias("capture_date"), F.col(bucket).alias("capture_ts"))
+        where = _near(spans, ["store_id", "capture_date"], ["capture_ts"],
+                      {"capture_ts": F.expr(f"INTERVAL 1 {unit.upper()}")})
+        if where is None:
+            return None
+
+        def only(log: DataFrame) -> DataFrame:
+            return _minute(g.with_time(log.where(where), unit).join(touched, [*g.CAMERA, bucket], "left_semi"))
+
+        return self.tables["silver"].current(self.spark, only=only, within=PLACE)
+
+    def _recompute(self, name: str, touched: DataFrame, silver: DataFrame, n: int) -> None:
+        """Stores the touched groups as ``silver``, which has all rows of them, gives them."""
+        view, table, key = VIEWS[name], self.tables[name], list(VIEWS[name].key)
+        if "ts_hour" in key:  # hours do not follow the places of the rows
+            silver = silver.coalesce(self._few_tasks())
+        fresh = touched.join(view.make(silver), key, "left")
+        if name != STAGE:  # the roll-up meets its stored rows in place first
+            fresh = fresh.coalesce(self._few_tasks())
+        measure = next(c for c in fresh.columns if c not in key)
+        out = fresh.withColumn(DELETED, F.col(measure).isNull())
+        if name == STAGE:
+            out = self._with_before(out, name, n, touched, _near(touched, ["store_id"], [_bucket(name)]))
+        table.write(n, out)
+
+    def _few_tasks(self) -> int:
+        return FEW_TASKS * self.spark.sparkContext.defaultParallelism
+
     def _with_before(self, out: DataFrame, name: str, n: int, touched: DataFrame, where: Column) -> DataFrame:
         """Adds the stored row of each group as ``before``."""
         key = list(VIEWS[name].key)
         old = self.tables[name].current(
-            self.spark, before=n, only=lambda log: log.where(where).join(touched, key, "left_semi"))
+            self.spark, before=n, only=lambda log: log.where(where).join(touched, key, "left_semi"), within=PLACE)
         return out.join(old.select(*key, F.struct(*MEASURES).alias("before")), key, "left")
 
     def apply(self, name: str, n: int, after: int, upto: int) -> None:
@@ -441,6 +480,22 @@ def _trigger(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+def _bucket(name: str) -> str:
+    """The column of a view's key that holds the hour or minute."""
+    return next(c for c in VIEWS[name].key if c.startswith("ts_"))
+
+
+def _touched(name: str, changes: DataFrame) -> DataFrame:
+    """The groups of a view on Silver that ``changes`` touch; the finest ones lie where Silver's rows are put."""
+    groups = VIEWS[name].groups(changes).select(*VIEWS[name].key)
+    return (groups.repartition(*PLACE) if name == STAGE else groups).distinct()
+
+
+def _keep_places(stream: SparkSession) -> None:
+    """Lets the plans of a stream join rows that lie together by fewer columns than the join compares."""
+    stream.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def _silver_parts(silver: DataFrame) -> DataFrame:
     return silver.withColumns({
         "capture_date": F.col("capture_ts").cast("date"),

@@ -83,18 +83,26 @@ class KeyedTable:
         spark: SparkSession,
         before: int | None = None,
         only: Callable[[DataFrame], DataFrame] | None = None,
+        within: list[str] | None = None,
     ) -> DataFrame:
         """Latest live row per key.
 
         ``only`` may drop rows by key columns; it is applied to the stored
-        versions, so it prunes before anything is compared.
+        versions, so it prunes before anything is compared.  ``within`` names columns
+        that the key determines, ``only`` may add them: rows are spread by them alone, so
+        that aggregates by these and further columns need no other shuffle.
         """
         rows = self.versions(spark, before)
         if only:
             rows = only(rows)
-        newest = Window.partitionBy(*self.key).orderBy(F.desc(BATCH), F.asc(DELETED))
+        key, columns = self.key, self.schema.fieldNames()
+        if within:
+            rows = rows.repartition(*within)
+            key = [*[c for c in key if c not in within], *within]
+            columns = [*columns, *[c for c in within if c not in columns]]
+        newest = Window.partitionBy(*key).orderBy(F.desc(BATCH), F.asc(DELETED))
         latest = rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1")
-        return latest.where(~F.col(DELETED)).select(*self.schema.fieldNames())
+        return latest.where(~F.col(DELETED)).select(*columns)
 
     def changes(self, spark: SparkSession, files_per_trigger: int | None = None) -> DataFrame:
         """The change log as a stream, deletions included."""

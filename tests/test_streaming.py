@@ -164,6 +164,36 @@ def test_a_late_commit_fails_and_is_tried_again(spark, expected, monkeypatch):
     check(pipeline, expected)
 
 
+def test_one_job_looks_silver_up_once_in_a_batch(spark, expected, monkeypatch):
+    landing, pipeline = shared_dir(spark, "t-land"), Pipeline(spark, shared_dir(spark, "t-once"), now=now())
+    for wave in WAVES:
+        run_wave(spark, pipeline, landing, wave, views=False)
+        looked, current = [], KeyedTable.current
+        with monkeypatch.context() as counted:
+            counted.setattr(KeyedTable, "current", lambda t, *a, **k: looked.append(t.path) or current(t, *a, **k))
+            pipeline.start_all().awaitTermination()
+        assert looked.count(pipeline.tables["silver"].path) == 1
+    check(pipeline, expected)
+
+
+def test_rows_of_a_camera_minute_are_aggregated_where_they_lie(spark, monkeypatch):
+    """The look-up spreads Silver's rows by camera and minute; aggregates by these need no further shuffle."""
+    landing, pipeline = shared_dir(spark, "t-land"), Pipeline(spark, shared_dir(spark, "t-place"), now=now())
+    plans, write = {}, KeyedTable.write
+
+    def kept(table, n, out):
+        plans[table.path] = out._jdf.queryExecution().executedPlan().toString()
+        write(table, n, out)
+
+    run_wave(spark, pipeline, landing, WAVES[0], views=False)
+    monkeypatch.setattr(KeyedTable, "write", kept)
+    pipeline.start_view("gold_minute_by_cam").awaitTermination()
+    plan = plans[pipeline.tables["gold_minute_by_cam"].path]
+    own = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    assert sum("frame_index" in line.split("hashpartitioning(")[-1].split(")")[0] for line in own) == 0
+    assert sum("track_id" in line.split("hashpartitioning(")[-1].split(")")[0] for line in own) == 0
+
+
 def test_two_running_writers_are_refused(spark):
     landing, pipeline = shared_dir(spark, "t-land"), Pipeline(spark, shared_dir(spark, "t-two"), now=now())
     run_wave(spark, pipeline, landing, WAVES[0], views=False)

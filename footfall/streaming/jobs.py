@@ -6,7 +6,8 @@ with their before-images, and the work of a micro-batch follows the changes:
 
 * minute, hour and people tables, and the roll-up ``track_zone_minute``, hold
   groups that are bounded in time.  The touched groups are recomputed from
-  Silver with the batch functions; only the touched dates and minutes are read.
+  Silver with the batch functions; only the touched dates and minutes are read
+  (hours, where one job makes all tables).
 * ``visits`` and ``gold_track_summary`` have groups that grow for ever.  They add
   the differences of the roll-up's changes to their stored sums and widen their
   stored extremes.  Only a group whose extreme may have shrunk is recomputed.
@@ -411,22 +412,22 @@ class Pipeline:
                 self.spark, before=n,
                 only=lambda log: log.where(where).join(delta, key, "left_semi"))
             both = delta.join(old.select(*key, F.struct(*MEASURES).alias("before")), key, "left")
-            grown = both.where(~F.col("shrunk")).select(
-                *key,
-                *[(F.col(c) + F.coalesce(was[c], F.lit(0))).alias(c) for c in SUMS],
-                *[F.least(F.col(c), was[c]).alias(c) for c in LOWS],
-                *[F.greatest(F.col(c), was[c]).alias(c) for c in HIGHS],
-                "before",
-            )
+            grown = {
+                **{c: F.col(c) + F.coalesce(was[c], F.lit(0)) for c in SUMS},
+                **{c: F.least(F.col(c), was[c]) for c in LOWS},
+                **{c: F.greatest(F.col(c), was[c]) for c in HIGHS},
+            }
             redo = delta.where("shrunk").select(*key)
             near_redo = _near_tracks(redo)
             if near_redo is not None:
                 source = self.tables[VIEWS[name].source].current(
                     self.spark, before=upto + 1,
                     only=lambda log: log.where(near_redo).join(redo, key, "left_semi"))
-                again = both.where("shrunk").select(*key, "before").join(roll_up(source, key), key, "left")
-                grown = grown.unionByName(again)
-            table.write(n, grown.withColumn(DELETED, F.coalesce(F.col("hits") <= 0, F.lit(True))))
+                again = roll_up(source, key).select(*key, F.struct(*MEASURES).alias("again"))
+                both = both.join(again, key, "left")
+                grown = {c: F.when(F.col("shrunk"), F.col("again")[c]).otherwise(v) for c, v in grown.items()}
+            out = both.select(*key, *[grown[c].alias(c) for c in MEASURES], "before")
+            table.write(n, out.withColumn(DELETED, F.coalesce(F.col("hits") <= 0, F.lit(True))))
         finally:
             delta.unpersist()
 
